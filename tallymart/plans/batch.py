@@ -36,16 +36,20 @@ from tallymart.workdir import new_folder
 log = logging.getLogger(__name__)
 
 
-@dataclass(frozen=True)
 class Layout:
     """Where the stores of one installation lie."""
 
-    base: str
-
-    def __getattr__(self, store: str) -> str:
-        if store.startswith("_"):
-            raise AttributeError(store)
-        return f"{self.base}/{store}"
+    def __init__(self, base: str) -> None:
+        self.ledger = f"{base}/ledger"
+        self.manifest = f"{base}/manifest"
+        self.error_files = f"{base}/error_files"
+        self.fact = f"{base}/fact"
+        self.customer_mart = f"{base}/customer_mart"
+        self.sales_mart = f"{base}/sales_mart"
+        self.sales_mart_by_month = f"{base}/sales_mart_by_month"
+        self.customer_monthly = f"{base}/customer_monthly"
+        self.sales_person_monthly = f"{base}/sales_person_monthly"
+        self.report = f"{base}/report"
 
 
 @dataclass(frozen=True)
@@ -77,6 +81,10 @@ def check_files(
 
     The inbox is only read. One row per file reaches the driver, as for any file listing.
     """
+    # The listing is written down first: a file that arrives meanwhile belongs to the next run.
+    frozen = new_folder(spark, "listing")
+    writers.write_parquet(listing, frozen)
+    listing = spark.read.schema(listing.schema).parquet(frozen)
     csv = [r.file_location for r in listing.where(F.col("file_name").endswith(".csv")).collect()]
     verdicts = source_files.manifest(spark, inbox, listing, csv)
     writers.write_parquet(verdicts, writers.run_path(layout.manifest, run_id))
@@ -231,12 +239,12 @@ def run_batch(
     """
     check_dimensions(dims)
     results = []
-    open_files = ledger.unfinished(ledger.read(spark, layout.ledger)).select("run_id", "file_location")
-    runs = sorted(r.run_id for r in open_files.select("run_id").distinct().collect())
+    open_runs = ledger.unfinished(ledger.read(spark, layout.ledger)).select("run_id").distinct()
+    runs = sorted(r.run_id for r in open_runs.collect())
     if runs and on_unfinished == "fail":
         raise UnfinishedRun(f"not finished: {', '.join(runs)}")
     for earlier in runs:
-        own = open_files.where(F.col("run_id") == earlier)
+        own = read_store(spark, writers.run_path(layout.manifest, earlier), MANIFEST).select("file_location")
         listing = source_files.list_files(spark, inbox).join(own, "file_location", "left_semi")
         results.append(process_files(spark, inbox, listing, dims, layout, earlier, database))
     listing = pending_files(spark, inbox, layout)

@@ -6,6 +6,11 @@ MONEY = T.DecimalType(18, 2)
 # Money as the target database declares it.
 TABLE_MONEY = T.DecimalType(10, 2)
 
+
+def _table(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
+
+
 # The columns every sales file must carry, in canonical order.
 MANDATORY = [
     "customer_id",
@@ -49,46 +54,92 @@ FACT_PARTITIONS = ["row_status", "sales_month", "ingest_batch"]
 ROW_OK = "ok"
 ROW_BAD = "bad"
 
-CUSTOMER = T.StructType.fromDDL(
-    "customer_id bigint, first_name string, last_name string, address string, pincode string,"
-    " phone_number string, customer_joining_date date"
+CUSTOMER = _table(
+    customer_id=T.LongType(),
+    first_name=T.StringType(),
+    last_name=T.StringType(),
+    address=T.StringType(),
+    pincode=T.StringType(),
+    phone_number=T.StringType(),
+    customer_joining_date=T.DateType(),
 )
-STORE = T.StructType.fromDDL(
-    "id bigint, address string, store_pincode string, store_manager_name string,"
-    " store_opening_date date, reviews string"
+STORE = _table(
+    id=T.LongType(),
+    address=T.StringType(),
+    store_pincode=T.StringType(),
+    store_manager_name=T.StringType(),
+    store_opening_date=T.DateType(),
+    reviews=T.StringType(),
 )
-SALES_TEAM = T.StructType.fromDDL(
-    "id bigint, first_name string, last_name string, manager_id bigint, is_manager string,"
-    " address string, pincode string, joining_date date"
+SALES_TEAM = _table(
+    id=T.LongType(),
+    first_name=T.StringType(),
+    last_name=T.StringType(),
+    manager_id=T.LongType(),
+    is_manager=T.StringType(),
+    address=T.StringType(),
+    pincode=T.StringType(),
+    joining_date=T.DateType(),
 )
 
-CUSTOMER_MART = T.StructType.fromDDL(
-    "customer_id bigint, first_name string, last_name string, address string, pincode string,"
-    " phone_number string, sales_date date, total_cost decimal(18,2)"
+CUSTOMER_MART = _table(
+    customer_id=T.LongType(),
+    first_name=T.StringType(),
+    last_name=T.StringType(),
+    address=T.StringType(),
+    pincode=T.StringType(),
+    phone_number=T.StringType(),
+    sales_date=T.DateType(),
+    total_cost=MONEY,
 )
-SALES_MART = T.StructType.fromDDL(
-    "store_id bigint, sales_person_id bigint, sales_person_first_name string,"
-    " sales_person_last_name string, store_manager_name string, manager_id bigint,"
-    " is_manager string, sales_person_address string, sales_person_pincode string,"
-    " sales_date date, total_cost decimal(18,2), sales_month string"
+SALES_MART = _table(
+    store_id=T.LongType(),
+    sales_person_id=T.LongType(),
+    sales_person_first_name=T.StringType(),
+    sales_person_last_name=T.StringType(),
+    store_manager_name=T.StringType(),
+    manager_id=T.LongType(),
+    is_manager=T.StringType(),
+    sales_person_address=T.StringType(),
+    sales_person_pincode=T.StringType(),
+    sales_date=T.DateType(),
+    total_cost=MONEY,
+    sales_month=T.StringType(),
 )
-CUSTOMER_MONTHLY = T.StructType.fromDDL(
-    "customer_id bigint, full_name string, address string, phone_number string,"
-    " sales_date_month string, total_sales decimal(18,2)"
+CUSTOMER_MONTHLY = _table(
+    customer_id=T.LongType(),
+    full_name=T.StringType(),
+    address=T.StringType(),
+    phone_number=T.StringType(),
+    sales_date_month=T.StringType(),
+    total_sales=MONEY,
 )
-SALES_PERSON_MONTHLY = T.StructType.fromDDL(
-    "store_id bigint, sales_person_id bigint, full_name string, sales_month string,"
-    " total_sales decimal(18,2), incentive decimal(18,2)"
+SALES_PERSON_MONTHLY = _table(
+    store_id=T.LongType(),
+    sales_person_id=T.LongType(),
+    full_name=T.StringType(),
+    sales_month=T.StringType(),
+    total_sales=MONEY,
+    incentive=MONEY,
 )
 
 OPEN = "A"
 CLOSED = "I"
-LEDGER_EVENT = T.StructType.fromDDL(
-    "file_name string, file_location string, run_id string, event_time timestamp, status string"
+LEDGER_EVENT = _table(
+    file_name=T.StringType(),
+    file_location=T.StringType(),
+    run_id=T.StringType(),
+    event_time=T.TimestampType(),
+    status=T.StringType(),
 )
-MANIFEST = T.StructType.fromDDL(
-    "file_location string, file_name string, length bigint, header array<string>,"
-    " missing_columns array<string>, status string, reason string"
+MANIFEST = _table(
+    file_location=T.StringType(),
+    file_name=T.StringType(),
+    length=T.LongType(),
+    header=T.ArrayType(T.StringType()),
+    missing_columns=T.ArrayType(T.StringType()),
+    status=T.StringType(),
+    reason=T.StringType(),
 )
 ACCEPTED = "accepted"
 REJECTED = "rejected"

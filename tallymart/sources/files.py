@@ -36,9 +36,11 @@ def list_files(spark: SparkSession, inbox: str) -> DataFrame:
     )
 
 
-def _text(spark: SparkSession, inbox: str, files: Sequence[str] | None) -> DataFrame:
-    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
-    return reader.text([literal_path(f) for f in files] if files is not None else inbox)
+def _csv_text(spark: SparkSession, inbox: str, files: Sequence[str] | None) -> DataFrame:
+    if files:
+        return spark.read.text([literal_path(f) for f in files])
+    glob = "*.csv" if files is None else ""
+    return spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(inbox)
 
 
 def header_lines(
@@ -50,7 +52,7 @@ def header_lines(
     task, so the line order within a file comes from the row id, which grows along each file.
     Each task keeps one line per file before anything is shuffled.
     """
-    first_blocks = _text(spark, inbox, files).where(
+    first_blocks = _csv_text(spark, inbox, files).where(
         (F.col("_metadata.file_block_start") == 0) & F.col("value").rlike(r"[^\x00-\x20]")
     )
     numbered = first_blocks.select(

@@ -1,9 +1,10 @@
 """Sales files to the typed fact."""
 
+import operator
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,43 +23,56 @@ from tallymart.schemas import (
 from tallymart.sources.files import literal_path
 
 
+_RAW_LINE = "raw_line"
+
+
 def _extra_name(position: int) -> str:
     # Extra columns are read by position under names no file can clash with.
     return f"extra_{position}"
 
 
 def csv_schema(header: Sequence[str]) -> T.StructType:
-    """Read schema for files with this header: mandatory columns typed, extras as text."""
-    fields = [
-        T.StructField(name, SALES_TYPES[name])
-        if name in MANDATORY
-        else T.StructField(_extra_name(i), T.StringType())
-        for i, name in enumerate(header)
-    ]
-    return T.StructType([*fields, T.StructField(UNPARSED, T.StringType())])
+    """Read schema for files with this header: every field as text, in file order."""
+    names = [name if name in MANDATORY else _extra_name(i) for i, name in enumerate(header)]
+    return T.StructType([T.StructField(name, T.StringType()) for name in [*names, _RAW_LINE]])
+
+
+def _typed(name: str) -> Column:
+    text = F.nullif(F.col(name), F.lit(""))
+    if name == "sales_date":
+        return F.try_to_date(text, "yyyy-MM-dd")
+    return text.try_cast(SALES_TYPES[name])
+
+
+def _unfit(name: str) -> Column:
+    return (F.col(name) != "") & _typed(name).isNull()
 
 
 def read_signature(spark: SparkSession, header: Sequence[str], files: Sequence[str]) -> DataFrame:
     """All files sharing one header as canonical rows.
 
-    A row that does not fit the types or the number of columns keeps its raw line in
-    `unparsed_line`. Every row is parsed in full whatever columns are used later, so a row is
-    judged the same way by every query.
+    A row with too few or too many fields, or with a field that does not fit its type, carries its
+    text in `unparsed_line`. The conversion is spelled out instead of left to the CSV reader,
+    which checks only the columns a query happens to use: here the verdict on a row depends on
+    all of its columns, whatever is selected later.
     """
-    extras = [F.col(_extra_name(i)) for i, name in enumerate(header) if name not in MANDATORY]
+    fields = [name if name in MANDATORY else _extra_name(i) for i, name in enumerate(header)]
+    extras = [F.col(f) for f in fields if f not in MANDATORY]
+    typed = [name for name in MANDATORY if name != "product_name"]
     raw = (
         spark.read.schema(csv_schema(header))
         .option("header", "true")
         .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", UNPARSED)
+        .option("columnNameOfCorruptRecord", _RAW_LINE)
         .option("columnPruning", "false")
-        .option("dateFormat", "yyyy-MM-dd")
         .csv([literal_path(f) for f in files])
     )
+    unfit = reduce(operator.or_, [F.coalesce(_unfit(name), F.lit(False)) for name in typed])
+    joined = F.concat_ws(",", *[F.coalesce(f, F.lit("")) for f in fields])
     return raw.select(
-        *MANDATORY,
+        *[(_typed(name) if name in typed else F.col(name)).alias(name) for name in MANDATORY],
         fold_extras(extras).alias(ADDITIONAL),
-        UNPARSED,
+        F.coalesce(F.col(_RAW_LINE), F.when(unfit, joined)).alias(UNPARSED),
         F.col("_metadata.file_path").alias("source_file"),
     )
 

@@ -54,7 +54,7 @@ def read_store(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     `2023-03` stay text.
     """
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).parquet(path).select(*schema.names)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -5,7 +5,8 @@ import logging
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.errors import NoCsvFiles, NoValidFiles
+from tallymart import ledger
+from tallymart.errors import NoCsvFiles, NoSourceFiles, NoValidFiles
 from tallymart.plans.batch import Database, Layout, check_dimensions, process_files
 from tallymart.plans.marts import Dimensions
 
@@ -40,18 +41,19 @@ def ingest_available(
     """Take in every file that arrived since the last call, then stop.
 
     The checkpoint remembers the files already taken. A micro-batch that is replayed after a
-    failure has the same files and the same run id, and so replaces what it wrote before. A
-    batch without any acceptable file is recorded in the manifest and does not stop the stream.
+    failure has the same files and the same run id, and so replaces what it wrote before. Files
+    that another run closed in the ledger are passed over. A batch without any acceptable file is recorded in the manifest and does not stop the stream.
     """
     check_dimensions(dims)
 
     def take(batch: DataFrame, epoch: int) -> None:
         query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-        files = [tuple(r) for r in batch.collect()]
-        listing = spark.createDataFrame(files, batch.schema)
+        run_id = f"{query}-{epoch}"
+        others = ledger.read(spark, layout.ledger).where(F.col("run_id") != run_id)
+        listing = ledger.unprocessed(batch, others)
         try:
-            process_files(spark, inbox, listing, dims, layout, f"{query}-{epoch}", database)
-        except (NoCsvFiles, NoValidFiles) as reason:
+            process_files(spark, inbox, listing, dims, layout, run_id, database)
+        except (NoSourceFiles, NoCsvFiles, NoValidFiles) as reason:
             log.warning("batch %d holds nothing to process: %s", epoch, reason)
 
     query = (
