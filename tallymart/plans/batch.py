@@ -6,11 +6,10 @@ simply run again under the same id. One writer at a time is assumed.
 
 import logging
 import time
-from collections import defaultdict
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymart import ledger
@@ -62,6 +61,17 @@ class Database:
     sales_team_table: str = "sales_team_data_mart"
 
 
+@dataclass(frozen=True)
+class Options:
+    """`clustered_drops`: each file holds sales of a few months only, as daily files do. The fact
+    is then written without a shuffle. Otherwise rows are first gathered by month, so that files
+    covering many months do not leave one small file per month and task.
+    """
+
+    clustered_drops: bool = False
+    database: Database | None = None
+
+
 @dataclass(frozen=True)
 class RunResult:
     run_id: str
@@ -76,43 +86,66 @@ def new_run_id() -> str:
 
 def check_files(
     spark: SparkSession, inbox: str, listing: DataFrame, layout: Layout, run_id: str
-) -> list[Row]:
+) -> DataFrame:
     """Judge the listed files, record the verdicts, and copy refused CSV text to the error area.
 
-    The inbox is only read. One row per file reaches the driver, as for any file listing.
+    The inbox is only read. Of the files only their paths reach the driver, where Spark keeps the
+    listing of everything it reads anyway.
     """
     # The listing is written down first: a file that arrives meanwhile belongs to the next run.
     frozen = new_folder(spark, "listing")
     writers.write_parquet(listing, frozen)
     listing = spark.read.schema(listing.schema).parquet(frozen)
-    csv = [r.file_location for r in listing.where(F.col("file_name").endswith(".csv")).collect()]
-    verdicts = source_files.manifest(spark, inbox, listing, csv)
-    writers.write_parquet(verdicts, writers.run_path(layout.manifest, run_id))
-    rows = read_store(spark, writers.run_path(layout.manifest, run_id), MANIFEST).collect()
-    refused = [r.file_location for r in rows if r.status == REJECTED and r.file_name.endswith(".csv")]
+    csv = paths_of(listing.where(F.col("file_name").endswith(".csv")))
+    path = writers.run_path(layout.manifest, run_id)
+    writers.write_parquet(source_files.manifest(spark, inbox, listing, csv), path)
+    verdicts = read_store(spark, path, MANIFEST)
+    refused = paths_of(verdicts.where((F.col("status") == REJECTED) & F.col("missing_columns").isNotNull()))
     if refused:
         writers.write_parquet(
             source_files.rejected_lines(spark, refused), writers.run_path(layout.error_files, run_id)
         )
-    return rows
+    return verdicts
+
+
+def paths_of(files: DataFrame) -> list[str]:
+    return [r.file_location for r in files.select("file_location").collect()]
 
 
-def require_processable(rows: Sequence[Row]) -> None:
-    if not rows:
+def count_files(verdicts: DataFrame) -> tuple[int, int]:
+    """How many files were accepted and refused; raises when there is nothing to process."""
+    row = verdicts.agg(
+        F.count(F.lit(1)).alias("all"),
+        F.count_if(F.col("file_name").endswith(".csv")).alias("csv"),
+        F.count_if(F.col("status") == ACCEPTED).alias("accepted"),
+    ).first()
+    if row["all"] == 0:
         raise NoSourceFiles("no file to process")
-    if not any(r.file_name.endswith(".csv") for r in rows):
+    if row["csv"] == 0:
         raise NoCsvFiles("no CSV file to process")
-    if not any(r.status == ACCEPTED for r in rows):
+    if row["accepted"] == 0:
         raise NoValidFiles("no CSV file has all mandatory columns")
+    return row["accepted"], row["all"] - row["accepted"]
 
 
-def ingest(spark: SparkSession, accepted: Sequence[Row], layout: Layout, run_id: str) -> None:
+def files_by_header(verdicts: DataFrame) -> dict[tuple[str, ...], list[str]]:
+    """Paths of the accepted files, by header."""
+    accepted = verdicts.where(F.col("status") == ACCEPTED)
+    headers = [r.header for r in accepted.select("header").distinct().collect()]
+    return {
+        tuple(header): paths_of(accepted.where(F.col("header") == F.array(*map(F.lit, header))))
+        for header in headers
+    }
+
+
+def ingest(
+    spark: SparkSession, verdicts: DataFrame, layout: Layout, run_id: str, clustered: bool = False
+) -> None:
     """Parse the accepted files once, into the fact store."""
-    by_header: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for row in accepted:
-        by_header[tuple(row.header)].append(row.file_location)
-    rows = to_store_rows(read_sales(spark, by_header), run_id)
-    writers.write_partitioned(rows, layout.fact, FACT_PARTITIONS, only_touched=True)
+    rows = to_store_rows(read_sales(spark, files_by_header(verdicts)), run_id)
+    writers.write_partitioned(
+        rows, layout.fact, FACT_PARTITIONS, only_touched=True, rebalance=not clustered
+    )
 
 
 def _shuffles(dims: Dimensions) -> bool:
@@ -185,27 +218,24 @@ def process_files(
     dims: Dimensions,
     layout: Layout,
     run_id: str,
-    database: Database | None = None,
+    options: Options = Options(),
 ) -> RunResult:
     """Take the listed files through one whole run. Repeating it changes nothing."""
-    rows = check_files(spark, inbox, listing, layout, run_id)
-    require_processable(rows)
-    accepted = [r for r in rows if r.status == ACCEPTED]
-    opened = read_store(spark, writers.run_path(layout.manifest, run_id), MANIFEST).where(
-        F.col("status") == ACCEPTED
-    )
+    verdicts = check_files(spark, inbox, listing, layout, run_id)
+    accepted, rejected = count_files(verdicts)
+    opened = verdicts.where(F.col("status") == ACCEPTED)
     ledger.append(ledger.open_events(opened, run_id), layout.ledger)
-    ingest(spark, accepted, layout, run_id)
+    ingest(spark, verdicts, layout, run_id, options.clustered_drops)
     batch = read_fact(spark, layout.fact).where(F.col("ingest_batch") == run_id)
     months = tuple(r.sales_month for r in batch.select("sales_month").distinct().collect())
     publish_details(spark, batch, dims, layout, run_id)
     if months:
         publish_months(spark, dims, layout, months)
-        if database is not None:
-            publish_tables(spark, layout, database)
+        if options.database is not None:
+            publish_tables(spark, layout, options.database)
     ledger.append(ledger.close_events(opened, run_id), layout.ledger)
-    log.info("run %s: %d files taken, %d refused", run_id, len(accepted), len(rows) - len(accepted))
-    return RunResult(run_id, len(accepted), len(rows) - len(accepted), months)
+    log.info("run %s: %d files taken, %d refused", run_id, accepted, rejected)
+    return RunResult(run_id, accepted, rejected, months)
 
 
 def pending_files(spark: SparkSession, inbox: str, layout: Layout) -> DataFrame:
@@ -230,7 +260,7 @@ def run_batch(
     layout: Layout,
     run_id: str | None = None,
     on_unfinished: str = "resume",
-    database: Database | None = None,
+    options: Options = Options(),
 ) -> list[RunResult]:
     """Process everything new in the inbox.
 
@@ -239,16 +269,18 @@ def run_batch(
     """
     check_dimensions(dims)
     results = []
-    open_runs = ledger.unfinished(ledger.read(spark, layout.ledger)).select("run_id").distinct()
-    runs = sorted(r.run_id for r in open_runs.collect())
+    open_files = ledger.unfinished(ledger.read(spark, layout.ledger)).select("run_id", "file_location")
+    runs = sorted(r.run_id for r in open_files.select("run_id").distinct().collect())
     if runs and on_unfinished == "fail":
         raise UnfinishedRun(f"not finished: {', '.join(runs)}")
     for earlier in runs:
-        own = read_store(spark, writers.run_path(layout.manifest, earlier), MANIFEST).select("file_location")
+        judged = read_store(spark, writers.run_path(layout.manifest, earlier), MANIFEST)
+        own = open_files.where(F.col("run_id") == earlier).select("file_location")
+        own = own.union(judged.select("file_location"))
         listing = source_files.list_files(spark, inbox).join(own, "file_location", "left_semi")
-        results.append(process_files(spark, inbox, listing, dims, layout, earlier, database))
+        results.append(process_files(spark, inbox, listing, dims, layout, earlier, options))
     listing = pending_files(spark, inbox, layout)
     if results and listing.isEmpty():
         return results
-    results.append(process_files(spark, inbox, listing, dims, layout, run_id or new_run_id(), database))
+    results.append(process_files(spark, inbox, listing, dims, layout, run_id or new_run_id(), options))
     return results

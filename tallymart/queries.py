@@ -13,7 +13,7 @@ from tallymart import ledger, schemas
 from tallymart.functions.columns import fold_extras, sales_month
 from tallymart.operators import joins, ranking, totals
 from tallymart.plans import marts, star
-from tallymart.plans.batch import Layout, ingest, run_batch
+from tallymart.plans.batch import Layout, files_by_header, ingest, paths_of, run_batch
 from tallymart.schemas import ACCEPTED, ADDITIONAL, CANONICAL, MANDATORY
 from tallymart.sinks import writers
 from tallymart.sources import files, sales
@@ -220,7 +220,7 @@ def header_manifest(spark: SparkSession, folder: str) -> DataFrame:
 def rejected_file_lines(spark: SparkSession, folder: str) -> DataFrame:
     inbox = _drops(spark, folder)
     refused = files.manifest(spark, inbox).where((F.col("status") != ACCEPTED) & F.col("missing_columns").isNotNull())
-    lines = files.rejected_lines(spark, [r.file_location for r in refused.select("file_location").collect()])
+    lines = files.rejected_lines(spark, paths_of(refused))
     # Header lines, one per file, are not counted: the number of files is up to the writer.
     return (
         lines.where(~F.col("line").startswith("customer_id,"))
@@ -229,23 +229,17 @@ def rejected_file_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _accepted(spark: SparkSession, inbox: str) -> list:
-    return files.manifest(spark, inbox).where(F.col("status") == ACCEPTED).collect()
-
-
 def csv_ingest_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     inbox = new_folder(spark, "inbox")
     _drop(star.sales_lines(spark, folder), f"{inbox}/all")
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for row in _accepted(spark, inbox):
-        by_header.setdefault(tuple(row.header), []).append(row.file_location)
+    by_header = files_by_header(files.manifest(spark, inbox))
     return sales.read_sales(spark, by_header).select(*CANONICAL)
 
 
 def mixed_header_ingest(spark: SparkSession, folder: str) -> DataFrame:
     inbox = _drops(spark, folder)
     layout = Layout(new_folder(spark, "stores"))
-    ingest(spark, _accepted(spark, inbox), layout, "mixed")
+    ingest(spark, files.manifest(spark, inbox), layout, "mixed")
     return read_fact(spark, layout.fact).select(*CANONICAL, "sales_month")
 
 
@@ -256,7 +250,7 @@ def bad_row_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     listed = F.when(F.col("l_returnflag") == "R", F.concat(F.lit("<"), person, F.lit(">"))).otherwise(person)
     lines = star.sales_lines(spark, folder).withColumn("sales_person_id", listed)
     _drop(lines.select(*MANDATORY), f"{inbox}/all")
-    ingest(spark, _accepted(spark, inbox), layout, "quarantine")
+    ingest(spark, files.manifest(spark, inbox), layout, "quarantine")
     return read_bad_rows(spark, layout.fact).select("unparsed_line", "ingest_batch")
 
 

@@ -73,3 +73,13 @@ def read_bad_rows(spark: SparkSession, path: str) -> DataFrame:
         .where(F.col("row_status") == ROW_BAD)
         .select("source_file", "unparsed_line", "ingest_batch")
     )
+
+
+def snapshot(df: DataFrame, path: str) -> DataFrame:
+    """A Parquet copy of a database table.
+
+    A run reads each dimension several times; from the copy it always sees the same rows, the
+    database is read once, and Spark knows the size when it chooses how to join.
+    """
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

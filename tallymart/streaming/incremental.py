@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallymart import ledger
 from tallymart.errors import NoCsvFiles, NoSourceFiles, NoValidFiles
-from tallymart.plans.batch import Database, Layout, check_dimensions, process_files
+from tallymart.plans.batch import Layout, Options, check_dimensions, process_files
 from tallymart.plans.marts import Dimensions
 
 log = logging.getLogger(__name__)
@@ -36,23 +36,27 @@ def ingest_available(
     layout: Layout,
     checkpoint: str,
     files_per_batch: int | None = None,
-    database: Database | None = None,
+    options: Options = Options(),
 ) -> None:
     """Take in every file that arrived since the last call, then stop.
 
     The checkpoint remembers the files already taken. A micro-batch that is replayed after a
     failure has the same files and the same run id, and so replaces what it wrote before. Files
-    that another run closed in the ledger are passed over. A batch without any acceptable file is recorded in the manifest and does not stop the stream.
+    that another run closed in the ledger are passed over. A batch without any acceptable file is
+    recorded in the manifest and does not stop the stream.
     """
     check_dimensions(dims)
 
     def take(batch: DataFrame, epoch: int) -> None:
-        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-        run_id = f"{query}-{epoch}"
+        # Kept in the checkpoint, so it is the same after a restart.
+        stream_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if stream_id is None:
+            raise RuntimeError("the id of the stream is unknown")
+        run_id = f"{stream_id}-{epoch}"
         others = ledger.read(spark, layout.ledger).where(F.col("run_id") != run_id)
         listing = ledger.unprocessed(batch, others)
         try:
-            process_files(spark, inbox, listing, dims, layout, run_id, database)
+            process_files(spark, inbox, listing, dims, layout, run_id, options)
         except (NoSourceFiles, NoCsvFiles, NoValidFiles) as reason:
             log.warning("batch %d holds nothing to process: %s", epoch, reason)
 

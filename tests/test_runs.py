@@ -8,7 +8,8 @@ from fixtures import HEADER, dimensions, rows, sale, sales_frame, write_csv
 from tallymart import ledger, schemas
 from tallymart.errors import NoCsvFiles, NoSourceFiles, NoValidFiles, UnfinishedRun
 from tallymart.plans import batch, marts
-from tallymart.plans.batch import Layout, run_batch
+from tallymart.__main__ import main
+from tallymart.plans.batch import Database, Layout, Options, run_batch
 from tallymart.sinks import writers
 from tallymart.sources.tables import read_bad_rows, read_fact, read_store
 from tallymart.streaming.incremental import ingest_available
@@ -164,6 +165,55 @@ def test_replayed_micro_batch_changes_nothing(spark, dims, tmp_path):
     assert read_fact(spark, layout.fact).count() == 4
 
 
+def test_clustered_drops_give_the_same_marts(spark, dims, tmp_path):
+    inbox, layout = tmp_path / "inbox", Layout(str(tmp_path / "out"))
+    write_csv(inbox / "a.csv", HEADER, as_sales(MARCH + LATE))
+    run_batch(spark, str(inbox), dims, layout, options=Options(clustered_drops=True))
+    assert monthly(spark, layout) == expected(spark, dims, MARCH + LATE)
+
+
+def test_database_tables_receive_all_months(spark, dims, tmp_path, monkeypatch):
+    inbox, layout = tmp_path / "inbox", Layout(str(tmp_path / "out"))
+    write_csv(inbox / "a.csv", HEADER, as_sales(MARCH + LATE))
+    calls = {}
+    monkeypatch.setattr(writers, "write_jdbc", lambda df, url, table, props, mode: calls.update({table: (rows(df), mode)}))
+    run_batch(spark, str(inbox), dims, layout, options=Options(database=Database("jdbc:x", {})))
+    assert set(calls) == {"customers_data_mart", "sales_team_data_mart"}
+    assert {len(r) for r, _ in calls.values()} == {4, 5} and {m for _, m in calls.values()} == {"overwrite"}
+
+
+def test_command_line(spark, dims, tmp_path):
+    inbox, base, tables = tmp_path / "inbox", tmp_path / "out", tmp_path / "dims"
+    for name, df in (("customer", dims.customer), ("store", dims.store), ("sales_team", dims.team)):
+        df.write.parquet(str(tables / name))
+    write_csv(inbox / "a.csv", HEADER, as_sales(MARCH))
+    common = ["--inbox", str(inbox), "--base", str(base), "--dimensions", str(tables)]
+    main(["batch", *common])
+    write_csv(inbox / "b.csv", HEADER, as_sales(LATE))
+    main(["stream", *common, "--checkpoint", str(tmp_path / "ck")])
+    # The stream saw a.csv too, and passed it over: a run had closed it.
+    assert monthly(spark, Layout(str(base))) == expected(spark, dims, MARCH + LATE)
+    with pytest.raises(SystemExit):
+        main(["stream", *common])
+
+
+def test_dimensions_from_a_database_are_copied_once(spark, dims, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrameReader
+
+    from tallymart.plans.load import dimensions_from_jdbc
+
+    frames, calls = {"customer": dims.customer, "store": dims.store, "sales_team": dims.team}, []
+
+    def jdbc(self, **kw):
+        calls.append(kw)
+        return frames[kw["table"]]
+
+    monkeypatch.setattr(DataFrameReader, "jdbc", jdbc)
+    got = dimensions_from_jdbc(spark, "jdbc:x", {}, str(tmp_path / "copy"), {"customer": ("customer_id", 1, 9, 3)})
+    assert rows(got.team) == rows(dims.team) and rows(got.customer) == rows(dims.customer)
+    assert [c.get("numPartitions") for c in calls] == [3, None, None]
+
+
 def test_large_dimensions_are_joined_once(spark, dims, tmp_path):
     inbox, layout = tmp_path / "inbox", Layout(str(tmp_path / "out"))
     write_csv(inbox / "a.csv", HEADER, as_sales(MARCH))
