@@ -61,7 +61,7 @@ def main(argv: list[str] | None = None) -> None:
     for result in run_batch(
         spark, args.inbox, dims, layout, on_unfinished=args.on_unfinished, options=options
     ):
-        print(f"run {result.run_id}: {result.accepted} files taken, {result.rejected} refused")
+        print(f"run {result.run_id}: {result.accepted} files taken, {result.rejected} refused, {result.bad_rows} bad rows")
 
 
 if __name__ == "__main__":

@@ -22,6 +22,7 @@ from tallymart.schemas import (
     CUSTOMER_MONTHLY,
     FACT_PARTITIONS,
     MANIFEST,
+    NO_HEADER,
     REJECTED,
     SALES_MART,
     SALES_PERSON_MONTHLY,
@@ -29,7 +30,7 @@ from tallymart.schemas import (
 from tallymart.sinks import writers
 from tallymart.sources import files as source_files
 from tallymart.sources.sales import read_sales, to_store_rows
-from tallymart.sources.tables import read_fact, read_store, require_unique
+from tallymart.sources.tables import read_bad_rows, read_fact, read_store, require_unique
 from tallymart.workdir import new_folder
 
 log = logging.getLogger(__name__)
@@ -77,6 +78,7 @@ class RunResult:
     run_id: str
     accepted: int
     rejected: int
+    bad_rows: int
     months: tuple[str | None, ...]
 
 
@@ -100,6 +102,9 @@ def check_files(
     path = writers.run_path(layout.manifest, run_id)
     writers.write_parquet(source_files.manifest(spark, inbox, listing, csv), path)
     verdicts = read_store(spark, path, MANIFEST)
+    unread = paths_of(verdicts.where(F.col("reason") == NO_HEADER))
+    if unread and not source_files.first_lines(spark, inbox, unread).isEmpty():
+        raise RuntimeError("the header pass missed a header")
     refused = paths_of(verdicts.where((F.col("status") == REJECTED) & F.col("missing_columns").isNotNull()))
     if refused:
         writers.write_parquet(
@@ -234,8 +239,9 @@ def process_files(
         if options.database is not None:
             publish_tables(spark, layout, options.database)
     ledger.append(ledger.close_events(opened, run_id), layout.ledger)
-    log.info("run %s: %d files taken, %d refused", run_id, accepted, rejected)
-    return RunResult(run_id, accepted, rejected, months)
+    bad_rows = read_bad_rows(spark, layout.fact).where(F.col("ingest_batch") == run_id).count()
+    log.info("run %s: %d files taken, %d refused, %d bad rows", run_id, accepted, rejected, bad_rows)
+    return RunResult(run_id, accepted, rejected, bad_rows, months)
 
 
 def pending_files(spark: SparkSession, inbox: str, layout: Layout) -> DataFrame:

@@ -13,7 +13,7 @@ from tallymart import ledger, schemas
 from tallymart.functions.columns import fold_extras, sales_month
 from tallymart.operators import joins, ranking, totals
 from tallymart.plans import marts, star
-from tallymart.plans.batch import Layout, files_by_header, ingest, paths_of, run_batch
+from tallymart.plans.batch import Layout, check_files, files_by_header, ingest, paths_of, run_batch
 from tallymart.schemas import ACCEPTED, ADDITIONAL, CANONICAL, MANDATORY
 from tallymart.sinks import writers
 from tallymart.sources import files, sales
@@ -217,6 +217,10 @@ def header_manifest(spark: SparkSession, folder: str) -> DataFrame:
     ).distinct()
 
 
+def _verdicts(spark: SparkSession, inbox: str, layout: Layout) -> DataFrame:
+    return check_files(spark, inbox, files.list_files(spark, inbox), layout, "run")
+
+
 def rejected_file_lines(spark: SparkSession, folder: str) -> DataFrame:
     inbox = _drops(spark, folder)
     refused = files.manifest(spark, inbox).where((F.col("status") != ACCEPTED) & F.col("missing_columns").isNotNull())
@@ -232,14 +236,14 @@ def rejected_file_lines(spark: SparkSession, folder: str) -> DataFrame:
 def csv_ingest_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     inbox = new_folder(spark, "inbox")
     _drop(star.sales_lines(spark, folder), f"{inbox}/all")
-    by_header = files_by_header(files.manifest(spark, inbox))
+    by_header = files_by_header(_verdicts(spark, inbox, Layout(new_folder(spark, "stores"))))
     return sales.read_sales(spark, by_header).select(*CANONICAL)
 
 
 def mixed_header_ingest(spark: SparkSession, folder: str) -> DataFrame:
     inbox = _drops(spark, folder)
     layout = Layout(new_folder(spark, "stores"))
-    ingest(spark, files.manifest(spark, inbox), layout, "mixed")
+    ingest(spark, _verdicts(spark, inbox, layout), layout, "mixed")
     return read_fact(spark, layout.fact).select(*CANONICAL, "sales_month")
 
 
@@ -250,7 +254,7 @@ def bad_row_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     listed = F.when(F.col("l_returnflag") == "R", F.concat(F.lit("<"), person, F.lit(">"))).otherwise(person)
     lines = star.sales_lines(spark, folder).withColumn("sales_person_id", listed)
     _drop(lines.select(*MANDATORY), f"{inbox}/all")
-    ingest(spark, files.manifest(spark, inbox), layout, "quarantine")
+    ingest(spark, _verdicts(spark, inbox, layout), layout, "quarantine")
     return read_bad_rows(spark, layout.fact).select("unparsed_line", "ingest_batch")
 
 

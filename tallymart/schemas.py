@@ -143,3 +143,4 @@ MANIFEST = _table(
 )
 ACCEPTED = "accepted"
 REJECTED = "rejected"
+NO_HEADER = "no header"

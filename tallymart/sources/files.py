@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.schemas import ACCEPTED, MANDATORY, REJECTED
+from tallymart.schemas import ACCEPTED, MANDATORY, NO_HEADER, REJECTED
 
 _GLOB_CHARACTERS = re.compile(r"([{}\[\]*?\\])")
 # A comma that has an even number of quotes to its right separates two names.
@@ -18,49 +18,66 @@ def literal_path(path: str) -> str:
     return _GLOB_CHARACTERS.sub(r"\\\1", path)
 
 
+def file_columns() -> list[Column]:
+    """What identifies a file, from a frame or stream of the binary reader."""
+    return [
+        F.col("path").alias("file_location"),
+        F.substring_index("path", "/", -1).alias("file_name"),
+        F.col("length"),
+        F.col("_metadata.file_path").alias("file_uri"),
+    ]
+
+
 def list_files(spark: SparkSession, inbox: str) -> DataFrame:
     """Every non-empty file below `inbox`, of any extension: one row per file.
 
     Only file status is read, never content: the binary reader prunes the content column.
     """
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(inbox)
-        .select(
-            F.col("path").alias("file_location"),
-            F.col("_metadata.file_name").alias("file_name"),
-            F.col("length"),
-            F.col("_metadata.file_path").alias("file_uri"),
-        )
-    )
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    return reader.load(inbox).select(*file_columns())
 
 
-def _csv_text(spark: SparkSession, inbox: str, files: Sequence[str] | None) -> DataFrame:
-    if files:
-        return spark.read.text([literal_path(f) for f in files])
-    glob = "*.csv" if files is None else ""
-    return spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(inbox)
+def _one_split_per_task(spark: SparkSession) -> SparkSession:
+    """A session whose scans never put two files into one task; all else as in `spark`.
 
+    When opening a file is counted as costly as reading a whole split, no task has room for a
+    second one.
+    """
+    child = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if child.conf.get(key, None) != value:
+            child.conf.set(key, value)
+    child.conf.unset("spark.sql.files.maxPartitionNum")
+    child.conf.set("spark.sql.files.openCostInBytes", spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    return child
 
-def header_lines(
-    spark: SparkSession, inbox: str, files: Sequence[str] | None = None
-) -> DataFrame:
-    """The header line of each CSV file, found in one distributed pass over the text.
 
-    The header is the first line that is not blank, as in the CSV reader. Small files share a
-    task, so the line order within a file comes from the row id, which grows along each file.
-    Each task keeps one line per file before anything is shuffled.
-    """
-    first_blocks = _csv_text(spark, inbox, files).where(
+def first_lines(spark: SparkSession, inbox: str, files: Sequence[str] | None = None) -> DataFrame:
+    """Lines of the first block of each CSV file that are not blank."""
+    if files:
+        lines = spark.read.text([literal_path(f) for f in files])
+    else:
+        reader = spark.read.option("recursiveFileLookup", "true")
+        lines = reader.option("pathGlobFilter", "*.csv" if files is None else "").text(inbox)
+    return lines.where(
         (F.col("_metadata.file_block_start") == 0) & F.col("value").rlike(r"[^\x00-\x20]")
     )
-    numbered = first_blocks.select(
+
+
+def header_lines(spark: SparkSession, inbox: str, files: Sequence[str] | None = None) -> DataFrame:
+    """The header line of each CSV file: its first line that is not blank, as in the CSV reader.
+
+    One pass over the text, without sort or shuffle: as no two files share a task, the header is
+    the first line of its task, which is what the lower 33 bits of the row id count.
+    """
+    lines = first_lines(_one_split_per_task(spark), inbox, files)
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    numbered = lines.select(
         F.col("_metadata.file_path").alias("file_uri"),
-        "value",
-        F.monotonically_increasing_id().alias("line_id"),
+        F.col("value").alias("header_line"),
+        place.alias("place"),
     )
-    return numbered.groupBy("file_uri").agg(F.min_by("value", "line_id").alias("header_line"))
+    return numbered.where(F.col("place") == 0).drop("place")
 
 
 def header_names(line: Column) -> Column:
@@ -94,6 +111,8 @@ def manifest(
 ) -> DataFrame:
     """One row per listed file with the verdict on it.
 
+    Each use of the result passes over the text again; write it down to use it more than once.
+
     A file is accepted when it ends in `.csv` and its header has every mandatory column. A CSV
     file whose lines are all blank has no header and is refused.
     """
@@ -111,7 +130,7 @@ def manifest(
     )
     reason = (
         F.when(~F.col("is_csv"), F.lit("not a .csv file"))
-        .when(F.col("header").isNull(), F.lit("no header"))
+        .when(F.col("header").isNull(), F.lit(NO_HEADER))
         .when(F.size("missing_columns") > 0, F.concat(F.lit("missing "), F.array_join("missing_columns", ", ")))
     )
     return judged.select(

@@ -9,6 +9,7 @@ from tallymart import ledger
 from tallymart.errors import NoCsvFiles, NoSourceFiles, NoValidFiles
 from tallymart.plans.batch import Layout, Options, check_dimensions, process_files
 from tallymart.plans.marts import Dimensions
+from tallymart.sources.files import file_columns
 
 log = logging.getLogger(__name__)
 
@@ -21,12 +22,7 @@ def new_files(spark: SparkSession, inbox: str, files_per_batch: int | None = Non
     reader = reader.option("recursiveFileLookup", "true")
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.load(inbox).select(
-        F.col("path").alias("file_location"),
-        F.col("_metadata.file_name").alias("file_name"),
-        "length",
-        F.col("_metadata.file_path").alias("file_uri"),
-    )
+    return reader.load(inbox).select(*file_columns())
 
 
 def ingest_available(

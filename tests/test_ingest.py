@@ -56,6 +56,17 @@ def test_headers_of_split_and_compressed_files(spark, tmp_path):
     assert got["z.csv.gz"].reason == "not a .csv file"
 
 
+def test_header_pass_needs_neither_sort_nor_shuffle(spark, tmp_path):
+    for i in range(40):
+        write_csv(tmp_path / "inbox" / f"part {i}.csv", [*HEADER, f"extra{i}"], [[*sale(1, 121, 1, "2023-03-04", 50), i]] * i)
+    df = files.header_lines(spark, str(tmp_path / "inbox"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan
+    assert sorted(r.header_line for r in df.collect()) == sorted(",".join([*HEADER, f"extra{i}"]) for i in range(40))
+    names = {r.file_name for r in files.list_files(spark, str(tmp_path / "inbox")).collect()}
+    assert "part 7.csv" in names
+
+
 def test_header_names_follow_the_csv_reader(spark, tmp_path):
     lines = ['a,b', '"a, b",c', 'a,A,b,', '"say ""hi""",x', ' a,b ']
     df = spark.createDataFrame([(s,) for s in lines], "line string")

@@ -41,6 +41,7 @@ def monthly(spark, layout):
 
 
 def expected(spark, dims, data):
+    data = [(c, s, p, d or None, t) for c, s, p, d, t in data]
     fact = sales_frame(spark, data)
     customers = marts.customer_monthly(fact, dims).select(*schemas.CUSTOMER_MONTHLY.names)
     sellers = marts.sales_person_monthly(fact, dims).select(*schemas.SALES_PERSON_MONTHLY.names)
@@ -56,7 +57,7 @@ def test_batch_run_publishes_everything(spark, dims, tmp_path):
     (inbox / "notes.txt").write_text("hi")
     before = sorted(p for p in inbox.rglob("*"))
     (result,) = run_batch(spark, str(inbox), dims, layout, run_id="r1")
-    assert (result.accepted, result.rejected, result.months) == (3, 2, ("2023-03",))
+    assert (result.accepted, result.rejected, result.bad_rows, result.months) == (3, 2, 1, ("2023-03",))
     assert sorted(p for p in inbox.rglob("*")) == before
     assert monthly(spark, layout) == expected(spark, dims, MARCH)
     assert read_fact(spark, layout.fact).count() == 4
@@ -165,6 +166,18 @@ def test_replayed_micro_batch_changes_nothing(spark, dims, tmp_path):
     assert read_fact(spark, layout.fact).count() == 4
 
 
+def test_sales_without_a_date_form_a_month_of_their_own(spark, dims, tmp_path):
+    inbox, layout = tmp_path / "inbox", Layout(str(tmp_path / "out"))
+    undated = [(1, 121, 1, "", "3.00"), (1, 121, 2, "", "4.00")]
+    write_csv(inbox / "a.csv", HEADER, as_sales(MARCH + undated[:1]))
+    (result,) = run_batch(spark, str(inbox), dims, layout, run_id="1")
+    assert set(result.months) == {"2023-03", None} and result.bad_rows == 0
+    write_csv(inbox / "b.csv", HEADER, as_sales(undated[1:]))
+    (result,) = run_batch(spark, str(inbox), dims, layout, run_id="2")
+    assert result.months == (None,)
+    assert monthly(spark, layout) == expected(spark, dims, MARCH + undated)
+
+
 def test_clustered_drops_give_the_same_marts(spark, dims, tmp_path):
     inbox, layout = tmp_path / "inbox", Layout(str(tmp_path / "out"))
     write_csv(inbox / "a.csv", HEADER, as_sales(MARCH + LATE))
