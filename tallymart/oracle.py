@@ -201,14 +201,8 @@ ORACLE: dict[str, str] = {
         " incentive AS total_incentive FROM incentives"
     ),
     "customer_table_rows": _star(
-        "SELECT CAST(customer_id AS INT) AS customer_id, full_name, address, phone_number,"
-        " CAST(sales_date_month || '-01' AS DATE) AS sales_date_month,"
-        " CAST(total_sales AS DECIMAL(10,2)) AS total_sales FROM customer_totals"
-    ),
-    "sales_person_table_rows": _star(
-        "SELECT CAST(store_id AS INT) AS store_id, CAST(sales_person_id AS INT) AS sales_person_id, full_name,"
-        " sales_month, CAST(total_sales AS DECIMAL(10,2)) AS total_sales,"
-        " CAST(incentive AS DECIMAL(10,2)) AS incentive FROM incentives"
+        "SELECT customer_id, full_name, address, phone_number,"
+        " CAST(sales_date_month || '-01' AS DATE) AS sales_date_month, total_sales FROM customer_totals"
     ),
     "ledger_events": f"WITH {_LEDGER} SELECT * FROM events",
     "ledger_latest": f"WITH {_LEDGER} SELECT * FROM latest",

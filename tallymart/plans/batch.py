@@ -211,7 +211,7 @@ def publish_tables(spark: SparkSession, layout: Layout, database: Database) -> N
     sellers = read_store(spark, layout.sales_person_monthly, SALES_PERSON_MONTHLY)
     for rows, name in (
         (writers.customer_table_rows(customers), database.customer_table),
-        (writers.sales_person_table_rows(sellers), database.sales_team_table),
+        (sellers, database.sales_team_table),
     ):
         writers.write_jdbc(rows, database.url, name, database.properties, mode="overwrite")
 

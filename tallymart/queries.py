@@ -290,10 +290,6 @@ def customer_table_rows(spark: SparkSession, folder: str) -> DataFrame:
     return writers.customer_table_rows(customer_monthly_sales(spark, folder))
 
 
-def sales_person_table_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return writers.sales_person_table_rows(sales_person_incentive(spark, folder))
-
-
 # --- ledger: every order is a dropped file ---------------------------------------------------
 
 
@@ -416,7 +412,6 @@ QUERIES: dict[str, Query] = {
             run_stamped_publish,
             monthly_csv_report,
             customer_table_rows,
-            sales_person_table_rows,
             ledger_events,
             ledger_latest,
             ledger_unfinished,

@@ -3,8 +3,6 @@
 from pyspark.sql import types as T
 
 MONEY = T.DecimalType(18, 2)
-# Money as the target database declares it.
-TABLE_MONEY = T.DecimalType(10, 2)
 
 
 def _table(**columns: T.DataType) -> T.StructType:

@@ -5,8 +5,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymart.schemas import TABLE_MONEY
-
 
 def write_parquet(df: DataFrame, path: str) -> None:
     """Replace the table at `path`."""
@@ -64,26 +62,18 @@ def write_jdbc(
 
 
 def customer_table_rows(monthly: DataFrame) -> DataFrame:
-    """Customer totals as the database table declares them: the month is its first day."""
+    """Customer totals as the database table takes them: the month is its first day.
+
+    Ids and money keep their width; a value the table's declaration has no room for is refused by
+    the database, not cut here.
+    """
     return monthly.select(
-        F.col("customer_id").cast("int").alias("customer_id"),
+        "customer_id",
         "full_name",
         "address",
         "phone_number",
         F.to_date(F.concat("sales_date_month", F.lit("-01"))).alias("sales_date_month"),
-        F.col("total_sales").cast(TABLE_MONEY).alias("total_sales"),
-    )
-
-
-def sales_person_table_rows(monthly: DataFrame) -> DataFrame:
-    """Salesperson totals as the database table declares them."""
-    return monthly.select(
-        F.col("store_id").cast("int").alias("store_id"),
-        F.col("sales_person_id").cast("int").alias("sales_person_id"),
-        "full_name",
-        "sales_month",
-        F.col("total_sales").cast(TABLE_MONEY).alias("total_sales"),
-        F.col("incentive").cast(TABLE_MONEY).alias("incentive"),
+        "total_sales",
     )
 
 
