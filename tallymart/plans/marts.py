@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallymart.operators.joins import enrich_sales, known_only
 from tallymart.operators.ranking import with_incentive
 from tallymart.operators.totals import customer_names, customer_totals, seller_names, seller_totals
-from tallymart.schemas import CUSTOMER_MART
+from tallymart.schemas import CUSTOMER_MART, SALES_MART
 
 
 @dataclass(frozen=True)
@@ -36,21 +36,9 @@ def customer_mart(sales: DataFrame) -> DataFrame:
 
 
 def sales_mart(sales: DataFrame) -> DataFrame:
-    """Detail mart of the sales team from enriched sales."""
-    return sales.select(
-        "store_id",
-        "sales_person_id",
-        "sales_person_first_name",
-        "sales_person_last_name",
-        "store_manager_name",
-        "manager_id",
-        "is_manager",
-        "sales_person_address",
-        "sales_person_pincode",
-        "sales_date",
-        "total_cost",
-        F.expr("substring(cast(sales_date as string), 1, 7) AS sales_month"),
-    )
+    """Detail mart of the sales team from enriched sales, with the month of each sale."""
+    month = F.expr("substring(cast(sales_date AS string), 1, 7)")
+    return sales.withColumn("sales_month", month).select(*SALES_MART.names)
 
 
 def _known(sales: DataFrame, dims: Dimensions, customer: bool = True, team: bool = True) -> DataFrame:

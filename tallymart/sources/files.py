@@ -12,6 +12,11 @@ _GLOB_CHARACTERS = re.compile(r"([{}\[\]*?\\])")
 # A comma that has an even number of quotes to its right separates two names.
 _NAME_SEPARATOR = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
+# Blank lines, then the first line with a visible character; a byte order mark is not part of it.
+_FIRST_LINE = r"^\uFEFF?(?:[\x00-\x20]*[\r\n])?([^\r\n]*[^\x00-\x20][^\r\n]*)"
+# Files up to this size, in bytes, are read as one value to find their header.
+SMALL_FILE = 32 << 20
+
 
 def literal_path(path: str) -> str:
     """A path Spark reads as it is written, although its name holds glob characters."""
@@ -52,32 +57,44 @@ def _one_split_per_task(spark: SparkSession) -> SparkSession:
     return child
 
 
+def _text(
+    spark: SparkSession, inbox: str, files: Sequence[str] | None, whole: bool = False
+) -> DataFrame:
+    if files:
+        return spark.read.text([literal_path(f) for f in files], wholetext=whole)
+    reader = spark.read.option("recursiveFileLookup", "true")
+    reader = reader.option("pathGlobFilter", "*.csv" if files is None else "")
+    return reader.text(inbox, wholetext=whole)
+
+
 def first_lines(spark: SparkSession, inbox: str, files: Sequence[str] | None = None) -> DataFrame:
     """Lines of the first block of each CSV file that are not blank."""
-    if files:
-        lines = spark.read.text([literal_path(f) for f in files])
-    else:
-        reader = spark.read.option("recursiveFileLookup", "true")
-        lines = reader.option("pathGlobFilter", "*.csv" if files is None else "").text(inbox)
-    return lines.where(
+    return _text(spark, inbox, files).where(
         (F.col("_metadata.file_block_start") == 0) & F.col("value").rlike(r"[^\x00-\x20]")
     )
 
 
-def header_lines(spark: SparkSession, inbox: str, files: Sequence[str] | None = None) -> DataFrame:
+def header_lines(
+    spark: SparkSession,
+    inbox: str,
+    files: Sequence[str] | None = None,
+    small: int = SMALL_FILE,
+) -> DataFrame:
     """The header line of each CSV file: its first line that is not blank, as in the CSV reader.
 
-    One pass over the text, without sort or shuffle: as no two files share a task, the header is
-    the first line of its task, which is what the lower 33 bits of the row id count.
+    One pass over the text without sort or shuffle. Files up to `small` bytes are one value each,
+    many to a task, and the line is cut out of the text. Larger ones are read by line and in
+    splits: as no two share a task, the header is the first line of its task, which is what the
+    lower 33 bits of the row id count. The size filters keep each scan to its own files.
     """
-    lines = first_lines(_one_split_per_task(spark), inbox, files)
+    uri, size = F.col("_metadata.file_path").alias("file_uri"), F.col("_metadata.file_size")
+    texts = _text(spark, inbox, files, whole=True).where(size <= small)
+    cut = texts.select(uri, F.regexp_extract("value", _FIRST_LINE, 1).alias("header_line"))
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    numbered = lines.select(
-        F.col("_metadata.file_path").alias("file_uri"),
-        F.col("value").alias("header_line"),
-        place.alias("place"),
-    )
-    return numbered.where(F.col("place") == 0).drop("place")
+    lines = first_lines(_one_split_per_task(spark), inbox, files).where(size > small)
+    numbered = lines.select(uri, F.col("value").alias("header_line"), place.alias("place"))
+    first = numbered.where(F.col("place") == 0).drop("place")
+    return cut.where(F.col("header_line") != "").unionByName(first)
 
 
 def header_names(line: Column) -> Column:

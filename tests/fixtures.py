@@ -36,19 +36,19 @@ def sales_frame(spark, rows):
 
 def dimensions(spark) -> Dimensions:
     customers = [
-        (1, "Saanvi", "Krishna", "Delhi", "122009", "9173121081", date(2021, 1, 20)),
-        (2, "Dhanush", "Sahni", "Delhi", "122009", "9155328165", date(2022, 3, 27)),
-        (3, "Yasmin", None, "Delhi", "122009", "9191478300", date(2023, 4, 8)),
+        (1, "Mira", "Holt", "Lund", "10001", "555-0101", date(2020, 2, 1)),
+        (2, "Jonas", "Berg", "Lund", "10001", "555-0102", date(2021, 2, 1)),
+        (3, "Ines", None, "Lund", "10001", "555-0103", date(2022, 2, 1)),
     ]
     stores = [
-        (121, "Delhi", "122009", "Manish", date(2022, 1, 15), "Great store."),
-        (122, "Delhi", "110011", "Nikita", date(2021, 8, 10), "Good choice."),
+        (121, "Main Street 1", "20001", "Osman", date(2019, 1, 1), "Well sorted."),
+        (122, "Harbour 7", "20002", "Petra", date(2019, 6, 1), "Easy parking."),
     ]
     team = [
-        (1, "Rahul", "Verma", 10, "N", "Delhi", "122007", date(2020, 5, 1)),
-        (2, "Priya", "Singh", 10, "N", "Delhi", "122007", date(2020, 5, 1)),
-        (3, "Amit", "Sharma", 10, "N", "Delhi", "122007", date(2020, 5, 1)),
-        (4, "Sneha", None, 10, "N", "Delhi", "122007", date(2020, 5, 1)),
+        (1, "Ada", "Quist", 10, "N", "Lund", "10002", date(2020, 5, 1)),
+        (2, "Bo", "Rask", 10, "N", "Lund", "10002", date(2020, 5, 1)),
+        (3, "Cleo", "Sand", 10, "N", "Lund", "10002", date(2020, 5, 1)),
+        (4, "Dina", None, 10, "N", "Lund", "10002", date(2020, 5, 1)),
     ]
     return Dimensions(
         spark.createDataFrame(customers, schemas.CUSTOMER),

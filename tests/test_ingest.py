@@ -3,6 +3,7 @@ import shutil
 from datetime import date
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from fixtures import HEADER, rows, sale, write_csv
@@ -56,17 +57,56 @@ def test_headers_of_split_and_compressed_files(spark, tmp_path):
     assert got["z.csv.gz"].reason == "not a .csv file"
 
 
-def test_header_pass_needs_neither_sort_nor_shuffle(spark, tmp_path):
+@pytest.mark.parametrize("small", [0, 200, 1 << 20])
+def test_header_pass_needs_neither_sort_nor_shuffle(spark, tmp_path, small):
+    inbox = tmp_path / "inbox"
     for i in range(40):
-        write_csv(tmp_path / "inbox" / f"part {i}.csv", [*HEADER, f"extra{i}"], [[*sale(1, 121, 1, "2023-03-04", 50), i]] * i)
-    df = files.header_lines(spark, str(tmp_path / "inbox"))
+        write_csv(inbox / f"part {i}.csv", [*HEADER, f"extra{i}"], [[*sale(1, 121, 1, "2023-03-04", 50), i]] * i)
+    df = files.header_lines(spark, str(inbox), small=small)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Sort" not in plan
     assert sorted(r.header_line for r in df.collect()) == sorted(",".join([*HEADER, f"extra{i}"]) for i in range(40))
-    names = {r.file_name for r in files.list_files(spark, str(tmp_path / "inbox")).collect()}
+    names = {r.file_name for r in files.list_files(spark, str(inbox)).collect()}
     assert "part 7.csv" in names
 
 
+@pytest.mark.parametrize("small", [0, 1 << 20])
+def test_header_is_the_first_line_with_a_visible_character(spark, tmp_path, small):
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    texts = {
+        "plain": b"a,b\n1,2\n",
+        "windows": b"\r\n  \r\na,b\r\n1,2\r\n",
+        "old": b"a,b\r1,2\r",
+        "mark": b"\xef\xbb\xbfa,b\n1,2\n",
+        "indented": b"\n\t a,b \n1,2\n",
+        "only": b"a,b",
+        "blank": b" \n\t\n",
+        "accents": "\n\u00e9t\u00e9,b\n".encode(),
+    }
+    for name, content in texts.items():
+        (inbox / f"{name}.csv").write_bytes(content)
+    got = {r.file_uri.rsplit("/", 1)[1].removesuffix(".csv"): r.header_line for r in files.header_lines(spark, str(inbox), small=small).collect()}
+    assert got == {
+        "plain": "a,b", "windows": "a,b", "old": "a,b", "mark": "a,b", "indented": "\t a,b ", "only": "a,b", "accents": "\u00e9t\u00e9,b",
+    }
+    for name, line in got.items():
+        assert spark.read.option("header", True).csv(str(inbox / f"{name}.csv")).columns == line.split(","), name
+
+
+def test_each_header_scan_opens_only_its_own_files(spark, tmp_path):
+    inbox = tmp_path / "inbox"
+    for i in range(5):
+        write_csv(inbox / f"small{i}.csv", HEADER, [])
+    write_csv(inbox / "large.csv", HEADER, [sale(1, 121, 1, "2023-03-04", 50)] * 1000)
+    text = files._text(spark, str(inbox), None, whole=True).where(F.col("_metadata.file_size") > 10000)
+    assert text.rdd.getNumPartitions() == 1
+    assert text.select("_metadata.file_name").collect()[0][0] == "large.csv"
+    scan = text._jdf.queryExecution().executedPlan().collectLeaves().head()
+    scan.execute().count()
+    assert scan.metrics().apply("numFiles").value() == 1
+
+
 def test_header_names_follow_the_csv_reader(spark, tmp_path):
     lines = ['a,b', '"a, b",c', 'a,A,b,', '"say ""hi""",x', ' a,b ']
     df = spark.createDataFrame([(s,) for s in lines], "line string")
