@@ -37,17 +37,18 @@ def csv_schema(header: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in [*names, _RAW_LINE]])
 
 
+_DAY = r"^\d{4}-\d{2}-\d{2}$"
+
+
 def _typed(name: str) -> Column:
+    """The field as its type; null where the text is empty or does not fit."""
     text = F.nullif(F.col(name), F.lit(""))
     if name == "sales_date":
-        return F.try_to_date(text, "yyyy-MM-dd")
+        # A cast alone would also take other spellings of a date.
+        text = F.when(text.rlike(_DAY), text)
     return text.try_cast(SALES_TYPES[name])
 
 
-def _unfit(name: str) -> Column:
-    return (F.col(name) != "") & _typed(name).isNull()
-
-
 def read_signature(spark: SparkSession, header: Sequence[str], files: Sequence[str]) -> DataFrame:
     """All files sharing one header as canonical rows.
 
@@ -67,13 +68,21 @@ def read_signature(spark: SparkSession, header: Sequence[str], files: Sequence[s
         .option("columnPruning", "false")
         .csv([literal_path(f) for f in files])
     )
-    unfit = reduce(operator.or_, [F.coalesce(_unfit(name), F.lit(False)) for name in typed])
+    # Each field is converted once, below; the verdict on the row compares the result with the text.
+    converted = raw.select(
+        *fields,
+        _RAW_LINE,
+        F.col("_metadata.file_path").alias("source_file"),
+        *[_typed(name).alias(f"typed_{name}") for name in typed],
+    )
+    unfit = [(F.col(name) != "") & F.col(f"typed_{name}").isNull() for name in typed]
+    unfit = reduce(operator.or_, [F.coalesce(one, F.lit(False)) for one in unfit])
     joined = F.concat_ws(",", *[F.coalesce(f, F.lit("")) for f in fields])
-    return raw.select(
-        *[(_typed(name) if name in typed else F.col(name)).alias(name) for name in MANDATORY],
+    return converted.select(
+        *[F.col(f"typed_{name}" if name in typed else name).alias(name) for name in MANDATORY],
         fold_extras(extras).alias(ADDITIONAL),
         F.coalesce(F.col(_RAW_LINE), F.when(unfit, joined)).alias(UNPARSED),
-        F.col("_metadata.file_path").alias("source_file"),
+        "source_file",
     )
 
 
