@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import pathlib
 import uuid
+import zipfile
 
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +15,23 @@ KEY, PRINT = "_k", "_f"
 NO_ID = -(2**63)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors once, through Spark's own file server, so that their Python can import it."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    top = pathlib.Path(__file__).resolve().parents[2]
+    path = pathlib.Path(SparkFiles.getRootDirectory()) / f"package-{uuid.uuid4().hex}.zip"
+    with zipfile.ZipFile(path, "w") as out:
+        for file in sorted(pathlib.Path(__file__).resolve().parents[1].rglob("*.py")):
+            out.write(file, file.relative_to(top))
+    context.addPyFile(str(path))
+    _shipped.add(context.applicationId)
+
+
 def folder(spark: SparkSession, name: str) -> str:
     """A new folder below spark.checkpoint.dir, which all executors share; below the warehouse where that is unset, as in tests."""
     base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_llm"
@@ -35,6 +55,7 @@ def row_key(id_column: str = "doc_id", text_column: str = "text") -> list[Column
 
 def keyed(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Key, print and text alone: no other column can clash."""
+    ship(docs.sparkSession)
     return docs.select(*row_key(id_column, text_column), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
 
 
@@ -43,6 +64,7 @@ def id_back(name: str = "doc_id") -> Column:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
