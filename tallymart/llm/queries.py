@@ -1,7 +1,7 @@
 """The queries of this subpackage and the SQL each is compared with; None stands where SQL cannot express a query."""
 
-from tallymart.llm import decontaminate, line_dedup, packing, quality_gam, quality_rules, warc
+from tallymart.llm import decontaminate, line_dedup, packing, quality_gam, quality_rules, substring_dedup, suffix_dedup, warc
 
-MODULES = [quality_gam, line_dedup, packing, warc, decontaminate, quality_rules]
+MODULES = [quality_gam, line_dedup, packing, warc, decontaminate, quality_rules, substring_dedup, suffix_dedup]
 QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
 ORACLE = {name: sql for m in MODULES for name, sql in m.SQL.items()}
