@@ -372,7 +372,7 @@ def _bounded(percent: int):
 
 @dataclass(frozen=True)
 class Similar:
-    """rows: row key, n_shingles, cid (class), component (smallest row key reachable); links: verified pairs of classes."""
+    """rows: row key, n_shingles, cid (class), root (of its component), component (smallest id reachable); links: verified pairs of classes."""
 
     rows: DataFrame
     links: DataFrame
@@ -424,7 +424,7 @@ def similar(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Similar:
     members = profiles.select(KEY, PRINT, "n", "c1", "c2").join(classes.select("n", "c1", "c2", "cid", F.col(f"first.{KEY}").alias("least")), ["n", "c1", "c2"], "left")
     members = members.join(roots.select(F.col("node").alias("cid"), "root"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     least = members.where("cid IS NOT NULL").groupBy("root").agg(F.min("least").alias("component"))
-    rows = members.join(least, "root", "left").select(KEY, PRINT, F.col("n").alias("n_shingles"), "cid", F.coalesce("component", KEY).alias("component"))
+    rows = members.join(least, "root", "left").select(KEY, PRINT, F.col("n").alias("n_shingles"), "cid", "root", F.coalesce("component", KEY).alias("component"))
     return Similar(rows, links)
 
 
@@ -447,9 +447,9 @@ def one_of_each_group(docs: DataFrame, **options) -> DataFrame:
 
     Of rows that share the smallest id of a component, that with the smallest print stays."""
     rows = similar(docs, **options).rows
-    group = F.when(F.col("cid").isNull(), F.struct(F.lit(1).alias("empty"), F.col(KEY).alias("id"), F.col(PRINT).alias("print")))
-    group = F.coalesce(group, F.struct(F.lit(0).alias("empty"), F.col("component").alias("id"), F.lit(0).cast("long").alias("print")))
-    stay = rows.groupBy(group.alias("group")).agg(F.min(F.struct(KEY, PRINT)).alias("first")).select("first.*")
+    # A row without words is a group of its own.
+    alone = F.when(F.col("root").isNull(), F.struct(KEY, PRINT))
+    stay = rows.groupBy("root", alone.alias("alone")).agg(F.min(F.struct(KEY, PRINT)).alias("first")).select("first.*")
     whole = docs.select(*row_key(), F.struct("*").alias("_row")).join(stay, [KEY, PRINT], "left_semi")
     return whole.dropDuplicates([KEY, PRINT]).select("_row.*")
 

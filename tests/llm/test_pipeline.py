@@ -1,0 +1,90 @@
+"""Queries against their SQL, the pipeline against a plain version, and what the entry module does without the subpackage."""
+
+import os
+import pathlib
+import shutil
+import subprocess
+import sys
+
+import duckdb
+import pytest
+from helpers import edge_documents, frame, lorem, save
+from test_documents import clean_lines, groups, judged
+
+import __spark_entry__ as contract
+import corpus_pipeline
+from tallymart.llm import packing, quality_gam
+from tallymart.llm.queries import ORACLE, QUERIES
+
+FOLDER = os.environ.get("ORACLE_DIR", "/root/testdata/sf0.001")
+TABLES = ["documents", "pages", "benchmark", "labels", "conversations"]
+
+
+def test_every_operator_has_a_query():
+    assert sorted(int(x[2:].split("_")[0]) for x in QUERIES) == list(range(1, 11))
+    assert set(QUERIES) | {"pipeline"} <= set(contract.queries())
+    assert set(QUERIES) - set(ORACLE) == {"op2_quality_gam", "op4_best_fit_packing"}
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_equals_sql(spark, name):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{FOLDER}/{t}.parquet')")
+    result = con.execute(ORACLE[name])
+    names = [c[0] for c in result.description]
+    got = QUERIES[name](spark, FOLDER)
+    assert sorted(got.columns) == sorted(names)
+    assert sorted(map(str, (tuple(r) for r in got.select(names).collect()))) == sorted(map(str, result.fetchall()))
+
+
+@pytest.fixture(scope="module")
+def corpus(spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("corpus"))
+    good = [(i, t) for i, t in edge_documents() if i is not None]
+    good += [(100 + k, " ".join(lorem(200 + k, 80)) + ".") for k in range(40)]
+    bad = [(200 + k, " ".join(w + "$$$" for w in lorem(300 + k, 80))) for k in range(40)]
+    labels = [(i, 1) for i, _ in good[20:]] + [(i, 0) for i, _ in bad]
+    item = [(1, " ".join(lorem(210, 80)[10:40])), (2, "never seen")]
+    save(frame(spark, good + bad, extra=["source"]), folder, "documents")
+    save(spark.createDataFrame(labels, "doc_id long, quality int"), folder, "labels")
+    save(frame(spark, item, "item_id"), folder, "benchmark")
+    return folder, good + bad, item
+
+
+def test_pipeline(spark, corpus):
+    folder, rows, items = corpus
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    model = quality_gam.train(docs, spark.read.parquet(f"{folder}/labels.parquet").where(~quality_gam.held_out()))
+    scores = {r[quality_gam.KEY]: r.score for r in quality_gam.score(docs, model).collect()}
+    left = [(i, t) for i, t in rows if scores[i] >= 0.7]
+    assert not {i for i, _ in left} & set(range(200, 240)) and {i for i, _ in left} >= set(range(100, 140))
+    left = [(i, None if t is None else kept) for (i, t), (_, _, _, kept) in zip(left, clean_lines(left), strict=True)]
+    smallest = {i: c for i, _, c in groups(left)}
+    left = [(i, t) for i, t in left if smallest[i] == i]
+    left = [(i, t) for (i, t), verdict in zip(left, judged(left, items), strict=True) if not verdict[4]]
+    assert 110 not in {i for i, _ in left}
+    want = packing.packed(frame(spark, left))
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    got = corpus_pipeline.run(spark, folder)
+    assert sorted(map(tuple, got.select(columns).collect())) == sorted(map(tuple, want.select(columns).collect()))
+
+
+def test_stages_keep_the_columns(spark, corpus, tmp_path):
+    folder, _, _ = corpus
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    assert [len(s) for s in corpus_pipeline.STAGES] == [2] * 5
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs, folder).columns == docs.columns
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs.limit(0), folder).write.parquet(f"{tmp_path}/{k}")
+        assert spark.read.parquet(f"{tmp_path}/{k}").count() == 0
+
+
+def test_the_rest_works_without_the_subpackage(tmp_path):
+    top = pathlib.Path(contract.__file__).parent
+    for name in ("__spark_entry__.py", "tallymart"):
+        copy = shutil.copytree if (top / name).is_dir() else shutil.copy
+        copy(top / name, tmp_path / name, **({"ignore": shutil.ignore_patterns("llm", "__pycache__")} if copy is shutil.copytree else {}))
+    code = "import __spark_entry__ as e; q = e.queries(); assert len(q) > 30 and not any(x.startswith('op') for x in q) and set(q) == set(e.oracle_sql())"
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env=os.environ | {"PYTHONPATH": ""})
