@@ -1,7 +1,8 @@
-"""The run ledger: which file was opened by which run, and whether that run finished.
+"""The run ledger: which delivery was opened by which run, and whether that run finished.
 
-An append-only log of events. The state of a file is its latest event; a file is known by its
-full path.
+An append-only log of events. The state of a delivery is its latest event; a delivery is known by the
+full path, modification time and length of its file, so a new drop under an old path is a new one.
+Events written before times were kept stand for every delivery under their path.
 """
 
 from datetime import datetime
@@ -9,18 +10,43 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.schemas import CLOSED, LEDGER_EVENT, OPEN
+from tallymart.schemas import CLOSED, IDENTITY, LEDGER_EVENT, LOST, OPEN
 from tallymart.sources.tables import read_store
 
 
+def with_identity(files: DataFrame) -> DataFrame:
+    """The files with every column of their identity; null where the listing lacks it."""
+    kinds = {"modification_time": "timestamp", "length": "bigint"}
+    absent = {c: F.lit(None).cast(kind) for c, kind in kinds.items() if c not in files.columns}
+    return files.withColumns(absent) if absent else files
+
+
+def same_delivery(left: str, right: str) -> Column:
+    """Equal identity of a file of `left` and an event of `right`."""
+    same = [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in IDENTITY[1:]]
+    known = same[0] & same[1]
+    return (F.col(f"{left}.{IDENTITY[0]}") == F.col(f"{right}.{IDENTITY[0]}")) & (
+        F.col(f"{right}.modification_time").isNull() | known
+    )
+
+
+def among(files: DataFrame, deliveries: DataFrame, how: str = "left_semi") -> DataFrame:
+    """The files that are (or, with "left_anti", are not) among the given deliveries."""
+    left = with_identity(files).alias("f")
+    right = with_identity(deliveries).select(*IDENTITY).alias("e")
+    return left.join(right, same_delivery("f", "e"), how).select(*[f"f.{c}" for c in files.columns])
+
+
 def _events(files: DataFrame, run_id: str | Column, status: str, at: datetime | Column | None) -> DataFrame:
     stamp = F.current_timestamp() if at is None else at if isinstance(at, Column) else F.lit(at)
-    return files.select(
+    return with_identity(files).select(
         "file_name",
         "file_location",
         (run_id if isinstance(run_id, Column) else F.lit(run_id)).alias("run_id"),
         stamp.cast("timestamp").alias("event_time"),
         F.lit(status).alias("status"),
+        "modification_time",
+        "length",
     )
 
 
@@ -38,6 +64,13 @@ def close_events(
     return _events(files, run_id, CLOSED, at)
 
 
+def lost_events(
+    files: DataFrame, run_id: str | Column, at: datetime | Column | None = None
+) -> DataFrame:
+    """The run died and these files are no longer there to repeat it."""
+    return _events(files, run_id, LOST, at)
+
+
 def append(events: DataFrame, path: str) -> None:
     events.select(*LEDGER_EVENT.names).write.mode("append").parquet(path)
 
@@ -47,12 +80,12 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 
 def latest(events: DataFrame) -> DataFrame:
-    """One row per file: when its last run opened it, when that was closed, and its status.
+    """One row per delivery: when its last run opened it, when that was ended, and its status.
 
     Of two events with the same time the closing one is the later.
     """
     order = F.struct("event_time", "status")
-    by_file = events.groupBy("file_location").agg(
+    by_file = events.groupBy(*IDENTITY).agg(
         F.max_by(F.struct("file_name", "run_id", "event_time", "status"), order).alias("last"),
         F.max(F.when(F.col("status") == OPEN, F.col("event_time"))).alias("created_date"),
     )
@@ -61,8 +94,10 @@ def latest(events: DataFrame) -> DataFrame:
         "file_location",
         F.col("last.run_id").alias("run_id"),
         "created_date",
-        F.when(F.col("last.status") == CLOSED, F.col("last.event_time")).alias("updated_date"),
+        F.when(F.col("last.status") != OPEN, F.col("last.event_time")).alias("updated_date"),
         F.col("last.status").alias("status"),
+        "modification_time",
+        "length",
     )
 
 
@@ -73,11 +108,9 @@ def unfinished(events: DataFrame) -> DataFrame:
 
 def left_behind(files: DataFrame, events: DataFrame) -> DataFrame:
     """The distinct listed files an earlier run opened and did not close."""
-    open_files = unfinished(events).select("file_location")
-    return files.join(open_files, "file_location", "left_semi").distinct()
+    return among(files, unfinished(events)).distinct()
 
 
 def unprocessed(files: DataFrame, events: DataFrame) -> DataFrame:
     """Listed files without a closing event; nothing has to be moved out of the inbox."""
-    closed = latest(events).where(F.col("status") == CLOSED).select("file_location")
-    return files.join(closed, "file_location", "left_anti")
+    return among(files, latest(events).where(F.col("status") == CLOSED), "left_anti")

@@ -3,50 +3,18 @@
 Dimension keys are unique, so no join multiplies rows; a sale whose customer, store or
 salesperson is unknown is dropped by the inner joins.
 
-No join forces a broadcast by itself. Spark broadcasts a side whose known size is under
-`spark.sql.autoBroadcastJoinThreshold` and otherwise shuffles both sides, where adaptive
-execution splits skewed partitions. `broadcast_if_small` measures a side Spark has no size for,
-such as a database table. `join_hot_keys` is for large dimensions and fact keys that hold much of
-the data: it does not depend on the skew settings of the session.
+Spark broadcasts a side whose known size is under `spark.sql.autoBroadcastJoinThreshold` and otherwise
+shuffles both sides, where adaptive execution splits skewed partitions. `join_hot_keys` is for large
+dimensions and fact keys that hold much of the data: it does not depend on the skew settings of the
+session. `enrich_sales` takes it for customers when it is given a share.
 """
 
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# Bytes a row takes in a broadcast table besides its values.
-_ROW_OVERHEAD = 64
-
-
-def _value_bytes(field: T.StructField) -> Column:
-    value = F.col(f"`{field.name}`")
-    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-        return F.coalesce(F.octet_length(value), F.lit(0)) + 16
-    return F.lit(max(8, 16 if isinstance(field.dataType, T.DecimalType) else 8))
-
-
-def measured_bytes(df: DataFrame) -> int:
-    """In-memory size of a frame, from one aggregation over it; a single row reaches the driver."""
-    row = sum((_value_bytes(f) for f in df.schema.fields), F.lit(_ROW_OVERHEAD)).cast("bigint")
-    return df.agg(F.coalesce(F.sum(row), F.lit(0)).alias("bytes")).first().bytes
-
-
-def broadcast_limit(df: DataFrame) -> int:
-    """The session's own bound on broadcast sides, in bytes; -1 when broadcasts are off."""
-    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-    number = text.removesuffix("b")
-    if number and number[-1] in units:
-        return int(number[:-1]) * units[number[-1]]
-    return int(number)
-
-
-def broadcast_if_small(df: DataFrame) -> DataFrame:
-    """The frame with a broadcast hint when its measured size is within the session's bound."""
-    return F.broadcast(df) if measured_bytes(df) <= broadcast_limit(df) else df
 
+from tallymart.workdir import new_folder
 
 def with_customer(fact: DataFrame, customer: DataFrame) -> DataFrame:
     """Sales with the customer's name, address, pincode and phone."""
@@ -82,11 +50,23 @@ def with_sales_person(sales: DataFrame, team: DataFrame) -> DataFrame:
 
 
 def enrich_sales(
-    fact: DataFrame, customer: DataFrame, store: DataFrame, team: DataFrame
+    fact: DataFrame,
+    customer: DataFrame,
+    store: DataFrame,
+    team: DataFrame,
+    hot_share: float | None = None,
 ) -> DataFrame:
-    """The star join: every sale with its customer, store and salesperson, names unique."""
+    """The star join: every sale with its customer, store and salesperson, names unique.
+
+    With `hot_share`, customers that hold more than that share of the sales are joined apart.
+    """
     lines = fact.select("customer_id", "store_id", "sales_date", "sales_person_id", "total_cost")
-    return with_sales_person(with_store(with_customer(lines, customer), store), team)
+    if hot_share is None:
+        sold = with_customer(lines, customer)
+    else:
+        people = customer.select("customer_id", "first_name", "last_name", "address", "pincode", "phone_number")
+        sold = join_hot_keys(lines, people, "customer_id", "customer_id", hot_share)
+    return with_sales_person(with_store(sold, store), team)
 
 
 def known_only(sales: DataFrame, dimension: DataFrame, key: str, dimension_key: str) -> DataFrame:
@@ -105,7 +85,11 @@ def join_hot_keys(
     is what allows broadcasting them. All other rows take the ordinary join, where no key holds
     more than `share`. The result has the fact's columns and the dimension's except its key.
     """
+    # Written down, so that the fact is counted once for the total and the keys.
+    path = new_folder(fact.sparkSession, "key-counts")
     counts = fact.groupBy(F.col(key).alias("hot_key")).count()
+    counts.write.parquet(path)
+    counts = fact.sparkSession.read.schema(counts.schema).parquet(path)
     total = counts.agg(F.sum("count")).first()[0] or 0
     hot = counts.where((F.col("count") > total * share) & F.col("hot_key").isNotNull())
     hot_keys = [r.hot_key for r in hot.select("hot_key").collect()]

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tallymart.functions.columns import incentive
 from tallymart.operators.joins import same_values
+from tallymart.workdir import new_folder
 
 GROUP = ["store_id", "sales_month"]
 
@@ -35,40 +36,36 @@ def top_sellers(totals: DataFrame) -> DataFrame:
     return mark_top(totals).where("is_top").drop("is_top")
 
 
-def with_rank(totals: DataFrame, rows_per_band: int = 1_000_000) -> DataFrame:
+def with_rank(totals: DataFrame) -> DataFrame:
     """Totals with `rnk`: `rank() OVER (PARTITION BY store, month ORDER BY total DESC)`.
 
-    A group larger than `rows_per_band` is cut into bands of falling totals. Equal totals always
-    share a band, so a row's rank is the number of rows in earlier bands plus its rank within
-    its own band, and no task has to sort a whole group. Smaller groups are a single band.
+    A row's rank is one more than the number of rows with a larger total in its group. Equal totals
+    are counted first, with partial counts before the shuffle. The distinct totals are dealt over
+    ranges of (store, month, falling total), cut where the data are, so no task holds more than its
+    range however large or skewed a group is. Counts are summed up within a range, and over the
+    ranges of a group from one number per range.
     """
-    spans = totals.groupBy(*GROUP).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("total_sales").cast("double").alias("low"),
-        F.max("total_sales").cast("double").alias("high"),
+    spark = totals.sparkSession
+    falling = F.col("total_sales").desc_nulls_last()
+    counts = totals.groupBy(*GROUP, "total_sales").agg(F.count(F.lit(1)).alias("n"))
+    ranged = counts.repartitionByRange(*GROUP, falling).withColumn("range", F.spark_partition_id())
+    # Written down: cut a second time, the ranges could be others.
+    path = new_folder(spark, "rank")
+    ranged.write.parquet(path)
+    ranged = spark.read.schema(ranged.schema).parquet(path)
+    earlier = (Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy(*GROUP, "range").agg(F.sum("n").alias("size"))
+    over_ranges = F.sum("size").over(Window.partitionBy(*GROUP).orderBy("range").rowsBetween(*earlier))
+    offsets = sizes.select(*GROUP, "range", F.coalesce(over_ranges, F.lit(0)).alias("before"))
+    in_range = F.sum("n").over(Window.partitionBy(*GROUP, "range").orderBy(falling).rowsBetween(*earlier))
+    placed = ranged.withColumn("larger", F.coalesce(in_range, F.lit(0)))
+    ranks = (
+        placed.alias("p")
+        .join(offsets.alias("o"), same_values("p", "o", [*GROUP, "range"]))
+        .select(*[f"p.{c}" for c in GROUP], "p.total_sales", (F.col("larger") + F.col("before") + 1).cast("int").alias("rnk"))
     )
-    bands = F.ceil(F.col("n") / F.lit(rows_per_band))
-    depth = (F.col("high") - F.col("total_sales").cast("double")) / (F.col("high") - F.col("low"))
-    band = (
-        F.when(F.col("total_sales").isNull(), bands)
-        .when((bands == 1) | (F.col("high") == F.col("low")), F.lit(0))
-        .otherwise(F.least(F.floor(depth * bands), bands - 1))
-    )
-    banded = (
-        totals.alias("t")
-        .join(spans.alias("s"), same_values("t", "s", GROUP))
-        .select("t.*", band.cast("bigint").alias("band"))
-    )
-    sizes = banded.groupBy(*GROUP, "band").agg(F.count(F.lit(1)).alias("size"))
-    earlier = Window.partitionBy(*GROUP).orderBy("band").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        *GROUP, "band", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("before")
-    )
-    within = Window.partitionBy(*GROUP, "band").orderBy(F.desc("total_sales"))
-    ranked = banded.withColumn("place", F.rank().over(within))
     return (
-        ranked.alias("r")
-        .join(offsets.alias("o"), same_values("r", "o", [*GROUP, "band"]))
-        .select("r.*", (F.col("place") + F.col("before")).cast("int").alias("rnk"))
-        .drop("place", "band")
+        totals.alias("t")
+        .join(ranks.alias("k"), same_values("t", "k", [*GROUP, "total_sales"]))
+        .select("t.*", "k.rnk")
     )

@@ -15,6 +15,7 @@ def with_group_total(rows: DataFrame, keys: Sequence[str], amount: str, name: st
     A window would move each group as a whole to one task. Here the sums are taken first, with
     partial sums before the shuffle, and joined back to the rows; a join splits a group that
     holds much of the data, a window cannot. Null keys form a group, as in a window.
+    The rows are read twice: let them be a stored table, such as a detail mart.
     """
     totals = rows.groupBy(*keys).agg(money_total(F.col(amount)).alias(name))
     return (

@@ -188,8 +188,10 @@ ORACLE: dict[str, str] = {
         " sales_month FROM fact WHERE l_returnflag IN ('A', 'N')"
     ),
     "bad_row_quarantine": _fact(
-        "SELECT concat_ws(',', customer_id, store_id, product_name, sales_date, '<' || sales_person_id || '>', price,"
-        " quantity, total_cost) AS unparsed_line, 'quarantine' AS ingest_batch FROM fact WHERE l_returnflag = 'R'"
+        "SELECT concat_ws(',', customer_id, store_id, product_name, sales_date,"
+        " CASE WHEN l_returnflag = 'R' THEN '\"<' || sales_person_id || ', 0>\"' ELSE CAST(sales_person_id AS VARCHAR) END,"
+        " price, quantity, total_cost || CASE WHEN l_returnflag = 'N' THEN '5' ELSE '' END) AS unparsed_line,"
+        " 'quarantine' AS ingest_batch FROM fact WHERE l_returnflag = 'R' OR (l_returnflag = 'N' AND l_linestatus = 'F')"
     ),
     "partitioned_mart_readback": _star(f"SELECT {_SALES_MART} FROM enriched"),
     "parquet_mart_roundtrip": _star(f"SELECT {_CUSTOMER_MART} FROM enriched"),
@@ -217,4 +219,6 @@ ORACLE: dict[str, str] = {
     "batch_run": _MONTHLY,
     "late_month_recompute": _CUSTOMER_MONTHLY,
     "incremental_ingest": _MONTHLY,
+    "redelivered_file_ingest": _MONTHLY,
+    "refused_then_corrected": _CUSTOMER_MONTHLY,
 }

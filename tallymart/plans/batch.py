@@ -6,32 +6,34 @@ simply run again under the same id. One writer at a time is assumed.
 
 import logging
 import time
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tallymart import ledger
 from tallymart.errors import NoCsvFiles, NoSourceFiles, NoValidFiles, UnfinishedRun
-from tallymart.operators.joins import broadcast_limit, measured_bytes
 from tallymart.plans import marts
 from tallymart.plans.marts import Dimensions
 from tallymart.schemas import (
     ACCEPTED,
     CUSTOMER_MONTHLY,
     FACT_PARTITIONS,
+    FACT_STORE,
+    IDENTITY,
     MANIFEST,
     NO_HEADER,
     REJECTED,
+    ROW_BAD,
+    ROW_OK,
     SALES_MART,
     SALES_PERSON_MONTHLY,
 )
 from tallymart.sinks import writers
 from tallymart.sources import files as source_files
 from tallymart.sources.sales import read_sales, to_store_rows
-from tallymart.sources.tables import read_bad_rows, read_fact, read_store, require_unique
-from tallymart.workdir import new_folder
+from tallymart.sources.tables import read_fact, read_store, require_unique_keys
 
 log = logging.getLogger(__name__)
 
@@ -50,16 +52,22 @@ class Layout:
         self.customer_monthly = f"{base}/customer_monthly"
         self.sales_person_monthly = f"{base}/sales_person_monthly"
         self.report = f"{base}/report"
+        # Intermediate tables, by run; a repeated run replaces its own.
+        self.work = f"{base}/work"
 
 
 @dataclass(frozen=True)
 class Database:
-    """The database that receives the monthly totals."""
+    """The database that receives the monthly totals, into staging tables.
+
+    Each run replaces their rows by those of its own months, whole months each; the database
+    merges them by deleting these months from its tables and taking over the new rows.
+    """
 
     url: str
     properties: dict[str, str]
-    customer_table: str = "customers_data_mart"
-    sales_team_table: str = "sales_team_data_mart"
+    customer_table: str = "customers_data_mart_staging"
+    sales_team_table: str = "sales_team_data_mart_staging"
 
 
 @dataclass(frozen=True)
@@ -67,10 +75,17 @@ class Options:
     """`clustered_drops`: each file holds sales of a few months only, as daily files do. The fact
     is then written without a shuffle. Otherwise rows are first gathered by month, so that files
     covering many months do not leave one small file per month and task.
+
+    `files_per_run` bounds the lists of paths that a run keeps on the driver. More files are taken
+    in further runs of the same call, until none is left.
+
+    `hot_customer_share`: customers with more than this share of the sales are joined apart.
     """
 
     clustered_drops: bool = False
     database: Database | None = None
+    files_per_run: int = 50_000
+    hot_customer_share: float | None = None
 
 
 @dataclass(frozen=True)
@@ -86,91 +101,97 @@ def new_run_id() -> str:
     return str(time.time_ns() // 1_000_000)
 
 
+@dataclass(frozen=True)
+class Judged:
+    """The verdicts of a run, as its manifest has them, and what the run needs of them on the driver."""
+
+    verdicts: DataFrame
+    rows: Sequence[Row]
+
+    def paths(self, status: str) -> list[str]:
+        return [r.file_location for r in self.rows if r.status == status]
+
+    def refused_text(self) -> list[str]:
+        return [r.file_location for r in self.rows if r.status == REJECTED and r.is_csv]
+
+    def by_header(self) -> dict[tuple[str, ...], list[str]]:
+        grouped: dict[tuple[str, ...], list[str]] = {}
+        for r in self.rows:
+            if r.status == ACCEPTED:
+                grouped.setdefault(tuple(r.header), []).append(r.file_location)
+        return grouped
+
+
 def check_files(
     spark: SparkSession, inbox: str, listing: DataFrame, layout: Layout, run_id: str
-) -> DataFrame:
-    """Judge the listed files, record the verdicts, and copy refused CSV text to the error area.
+) -> Judged:
+    """Judge the listed files, copy refused CSV text to the error area, and record the verdicts.
 
-    The inbox is only read. Of the files only their paths reach the driver, where Spark keeps the
-    listing of everything it reads anyway.
+    The inbox is only read. The manifest comes last: a run that dies before has recorded nothing,
+    and its files are judged again.
     """
+    work = writers.run_path(layout.work, run_id)
     # The listing is written down first: a file that arrives meanwhile belongs to the next run.
-    frozen = new_folder(spark, "listing")
-    writers.write_parquet(listing, frozen)
-    listing = spark.read.schema(listing.schema).parquet(frozen)
-    csv = paths_of(listing.where(F.col("file_name").endswith(".csv")))
-    path = writers.run_path(layout.manifest, run_id)
-    writers.write_parquet(source_files.manifest(spark, inbox, listing, csv), path)
-    verdicts = read_store(spark, path, MANIFEST)
-    unread = paths_of(verdicts.where(F.col("reason") == NO_HEADER))
+    writers.write_parquet(listing, f"{work}/listing")
+    listing = spark.read.schema(listing.schema).parquet(f"{work}/listing")
+    csv = [r.file_location for r in listing.where(F.col("file_name").endswith(".csv")).select("file_location").collect()]
+    writers.write_parquet(source_files.manifest(spark, inbox, listing, csv), f"{work}/verdicts")
+    verdicts = read_store(spark, f"{work}/verdicts", MANIFEST)
+    is_csv = F.col("missing_columns").isNotNull().alias("is_csv")
+    judged = Judged(verdicts, verdicts.select("file_location", "header", "status", "reason", is_csv).collect())
+    unread = [r.file_location for r in judged.rows if r.reason == NO_HEADER]
     if unread and not source_files.first_lines(spark, inbox, unread).isEmpty():
         raise RuntimeError("the header pass missed a header")
-    refused = paths_of(verdicts.where((F.col("status") == REJECTED) & F.col("missing_columns").isNotNull()))
-    if refused:
-        writers.write_parquet(
-            source_files.rejected_lines(spark, refused), writers.run_path(layout.error_files, run_id)
-        )
-    return verdicts
-
-
-def paths_of(files: DataFrame) -> list[str]:
-    return [r.file_location for r in files.select("file_location").collect()]
+    if judged.refused_text():
+        copied = source_files.rejected_lines(spark, judged.refused_text())
+        writers.write_parquet(copied, writers.run_path(layout.error_files, run_id))
+    path = writers.run_path(layout.manifest, run_id)
+    writers.write_parquet(verdicts, path)
+    return Judged(read_store(spark, path, MANIFEST), judged.rows)
 
 
-def count_files(verdicts: DataFrame) -> tuple[int, int]:
+def count_files(judged: Judged) -> tuple[int, int]:
     """How many files were accepted and refused; raises when there is nothing to process."""
-    row = verdicts.agg(
-        F.count(F.lit(1)).alias("all"),
-        F.count_if(F.col("file_name").endswith(".csv")).alias("csv"),
-        F.count_if(F.col("status") == ACCEPTED).alias("accepted"),
-    ).first()
-    if row["all"] == 0:
+    accepted = len(judged.paths(ACCEPTED))
+    if not judged.rows:
         raise NoSourceFiles("no file to process")
-    if row["csv"] == 0:
+    if not any(r.is_csv for r in judged.rows):
         raise NoCsvFiles("no CSV file to process")
-    if row["accepted"] == 0:
+    if not accepted:
         raise NoValidFiles("no CSV file has all mandatory columns")
-    return row["accepted"], row["all"] - row["accepted"]
-
-
-def files_by_header(verdicts: DataFrame) -> dict[tuple[str, ...], list[str]]:
-    """Paths of the accepted files, by header."""
-    accepted = verdicts.where(F.col("status") == ACCEPTED)
-    headers = [r.header for r in accepted.select("header").distinct().collect()]
-    return {
-        tuple(header): paths_of(accepted.where(F.col("header") == F.array(*map(F.lit, header))))
-        for header in headers
-    }
+    return accepted, len(judged.rows) - accepted
 
 
 def ingest(
-    spark: SparkSession, verdicts: DataFrame, layout: Layout, run_id: str, clustered: bool = False
+    spark: SparkSession,
+    by_header: Mapping[tuple[str, ...], Sequence[str]],
+    layout: Layout,
+    run_id: str,
+    clustered: bool = False,
 ) -> None:
     """Parse the accepted files once, into the fact store."""
-    rows = to_store_rows(read_sales(spark, files_by_header(verdicts)), run_id)
+    rows = to_store_rows(read_sales(spark, by_header), run_id)
     writers.write_partitioned(
         rows, layout.fact, FACT_PARTITIONS, only_touched=True, rebalance=not clustered
     )
 
 
-def _shuffles(dims: Dimensions) -> bool:
-    frames = (dims.customer, dims.store, dims.team)
-    return any(measured_bytes(d) > broadcast_limit(d) for d in frames)
-
-
 def publish_details(
-    spark: SparkSession, fact: DataFrame, dims: Dimensions, layout: Layout, run_id: str
+    spark: SparkSession,
+    fact: DataFrame,
+    dims: Dimensions,
+    layout: Layout,
+    run_id: str,
+    hot_share: float | None = None,
 ) -> None:
     """The detail marts of one run, beside those of earlier runs.
 
-    With broadcast dimensions the star join costs less than storing its result, so each mart
-    runs it. With a dimension that needs a shuffle it runs once and both marts read the result.
+    The star join runs once; its result is stored with the run and read by both marts.
     """
-    sales = marts.enriched(fact, dims)
-    if _shuffles(dims):
-        folder = new_folder(spark, "enriched")
-        writers.write_parquet(sales, folder)
-        sales = spark.read.schema(sales.schema).parquet(folder)
+    folder = writers.run_path(layout.work, run_id) + "/enriched"
+    joined = marts.enriched(fact, dims, hot_share)
+    writers.write_parquet(joined, folder)
+    sales = spark.read.schema(joined.schema).parquet(folder)
     sales_mart_path = writers.run_path(layout.sales_mart, run_id)
     writers.write_parquet(marts.customer_mart(sales), writers.run_path(layout.customer_mart, run_id))
     writers.write_parquet(marts.sales_mart(sales), sales_mart_path)
@@ -205,10 +226,12 @@ def publish_months(
     writers.write_csv_report(marts.sales_person_report(monthly), layout.report, ["sales_month"])
 
 
-def publish_tables(spark: SparkSession, layout: Layout, database: Database) -> None:
-    """Fill the database tables with all months."""
-    customers = read_store(spark, layout.customer_monthly, CUSTOMER_MONTHLY)
-    sellers = read_store(spark, layout.sales_person_monthly, SALES_PERSON_MONTHLY)
+def publish_tables(
+    spark: SparkSession, layout: Layout, database: Database, months: Sequence[str | None]
+) -> None:
+    """Fill the staging tables of the database with the months of a run, and nothing else."""
+    customers = in_months(read_store(spark, layout.customer_monthly, CUSTOMER_MONTHLY), months, "sales_date_month")
+    sellers = in_months(read_store(spark, layout.sales_person_monthly, SALES_PERSON_MONTHLY), months, "sales_month")
     for rows, name in (
         (writers.customer_table_rows(customers), database.customer_table),
         (sellers, database.sales_team_table),
@@ -216,6 +239,21 @@ def publish_tables(spark: SparkSession, layout: Layout, database: Database) -> N
         writers.write_jdbc(rows, database.url, name, database.properties, mode="overwrite")
 
 
+def publish(
+    spark: SparkSession, dims: Dimensions, layout: Layout, run_id: str, options: Options
+) -> tuple[int, tuple[str | None, ...]]:
+    """Publish what the run has in the fact store; how many bad rows it has, and its months."""
+    own = F.col("ingest_batch") == run_id
+    parts = read_store(spark, layout.fact, FACT_STORE).where(own).groupBy("row_status", "sales_month").count().collect()
+    months = tuple(r.sales_month for r in parts if r.row_status == ROW_OK)
+    publish_details(spark, read_fact(spark, layout.fact).where(own), dims, layout, run_id, options.hot_customer_share)
+    if months:
+        publish_months(spark, dims, layout, months)
+        if options.database is not None:
+            publish_tables(spark, layout, options.database, months)
+    return sum(r["count"] for r in parts if r.row_status == ROW_BAD), months
+
+
 def process_files(
     spark: SparkSession,
     inbox: str,
@@ -226,37 +264,52 @@ def process_files(
     options: Options = Options(),
 ) -> RunResult:
     """Take the listed files through one whole run. Repeating it changes nothing."""
-    verdicts = check_files(spark, inbox, listing, layout, run_id)
-    accepted, rejected = count_files(verdicts)
-    opened = verdicts.where(F.col("status") == ACCEPTED)
+    judged = check_files(spark, inbox, listing, layout, run_id)
+    accepted, rejected = count_files(judged)
+    opened = judged.verdicts.where(F.col("status") == ACCEPTED)
     ledger.append(ledger.open_events(opened, run_id), layout.ledger)
-    ingest(spark, verdicts, layout, run_id, options.clustered_drops)
-    batch = read_fact(spark, layout.fact).where(F.col("ingest_batch") == run_id)
-    months = tuple(r.sales_month for r in batch.select("sales_month").distinct().collect())
-    publish_details(spark, batch, dims, layout, run_id)
-    if months:
-        publish_months(spark, dims, layout, months)
-        if options.database is not None:
-            publish_tables(spark, layout, options.database)
+    ingest(spark, judged.by_header(), layout, run_id, options.clustered_drops)
+    bad_rows, months = publish(spark, dims, layout, run_id, options)
     ledger.append(ledger.close_events(opened, run_id), layout.ledger)
-    bad_rows = read_bad_rows(spark, layout.fact).where(F.col("ingest_batch") == run_id).count()
     log.info("run %s: %d files taken, %d refused, %d bad rows", run_id, accepted, rejected, bad_rows)
     return RunResult(run_id, accepted, rejected, bad_rows, months)
 
 
 def pending_files(spark: SparkSession, inbox: str, layout: Layout) -> DataFrame:
-    """Files in the inbox that no run has closed or refused."""
+    """Deliveries in the inbox that no run has closed or refused."""
     refused = read_store(spark, layout.manifest, MANIFEST).where(F.col("status") == REJECTED)
     listed = source_files.list_files(spark, inbox)
-    return ledger.unprocessed(listed, ledger.read(spark, layout.ledger)).join(
-        refused.select("file_location"), "file_location", "left_anti"
-    )
+    return ledger.among(ledger.unprocessed(listed, ledger.read(spark, layout.ledger)), refused, "left_anti")
 
 
 def check_dimensions(dims: Dimensions) -> None:
-    require_unique(dims.customer, "customer_id")
-    require_unique(dims.store, "id")
-    require_unique(dims.team, "id")
+    require_unique_keys((dims.customer, "customer_id"), (dims.store, "id"), (dims.team, "id"))
+
+
+def _repeat(
+    spark: SparkSession,
+    inbox: str,
+    dims: Dimensions,
+    layout: Layout,
+    run_id: str,
+    open_files: DataFrame,
+    options: Options,
+) -> RunResult | None:
+    """Do a dead run again with those of its files that are there, and record the others as lost.
+
+    If none is left, what the run has stored of them is published.
+    """
+    opened = open_files.where(F.col("run_id") == run_id)
+    judged = read_store(spark, writers.run_path(layout.manifest, run_id), MANIFEST)
+    own = ledger.with_identity(opened).select(*IDENTITY).union(judged.select(*IDENTITY))
+    listing = ledger.among(source_files.list_files(spark, inbox), own)
+    lost = ledger.among(opened, listing, "left_anti")
+    # First: the manifest, which the listing is made of, is replaced when the run is done again.
+    ledger.append(ledger.lost_events(lost, run_id), layout.ledger)
+    if ledger.among(opened, listing).isEmpty():
+        publish(spark, dims, layout, run_id, options)
+        return None
+    return process_files(spark, inbox, listing, dims, layout, run_id, options)
 
 
 def run_batch(
@@ -268,25 +321,38 @@ def run_batch(
     on_unfinished: str = "resume",
     options: Options = Options(),
 ) -> list[RunResult]:
-    """Process everything new in the inbox.
+    """Process everything new in the inbox, in runs of at most `options.files_per_run` files.
 
     Runs that never closed their files are done again first, each under its own id and with its
-    own files, or stop this run when `on_unfinished` is "fail".
+    own files, or stop this call when `on_unfinished` is "fail". A run whose files are refused does
+    not stop those after it; the call fails if no run could take a file.
     """
     check_dimensions(dims)
     results = []
-    open_files = ledger.unfinished(ledger.read(spark, layout.ledger)).select("run_id", "file_location")
+    open_files = ledger.unfinished(ledger.read(spark, layout.ledger))
     runs = sorted(r.run_id for r in open_files.select("run_id").distinct().collect())
     if runs and on_unfinished == "fail":
         raise UnfinishedRun(f"not finished: {', '.join(runs)}")
     for earlier in runs:
-        judged = read_store(spark, writers.run_path(layout.manifest, earlier), MANIFEST)
-        own = open_files.where(F.col("run_id") == earlier).select("file_location")
-        own = own.union(judged.select("file_location"))
-        listing = source_files.list_files(spark, inbox).join(own, "file_location", "left_semi")
-        results.append(process_files(spark, inbox, listing, dims, layout, earlier, options))
-    listing = pending_files(spark, inbox, layout)
-    if results and listing.isEmpty():
-        return results
-    results.append(process_files(spark, inbox, listing, dims, layout, run_id or new_run_id(), options))
+        # Read anew: the events of the run before it are in the ledger by now.
+        still_open = ledger.unfinished(ledger.read(spark, layout.ledger))
+        repeated = _repeat(spark, inbox, dims, layout, earlier, still_open, options)
+        results += [repeated] if repeated else []
+    first, count, refusal, more = run_id or new_run_id(), 0, None, True
+    while more:
+        name = first if not count else f"{first}.{count}"
+        listing = pending_files(spark, inbox, layout).orderBy(*IDENTITY).limit(options.files_per_run)
+        try:
+            done = process_files(spark, inbox, listing, dims, layout, name, options)
+            results.append(done)
+            more = done.accepted + done.rejected == options.files_per_run
+        except NoSourceFiles:
+            if not (count or results or runs):
+                raise
+            break
+        except (NoCsvFiles, NoValidFiles) as refused:
+            refusal, more = refused, not pending_files(spark, inbox, layout).isEmpty()
+        count += 1
+    if refusal is not None and not results:
+        raise refusal
     return results

@@ -26,8 +26,8 @@ class Dimensions:
     team_keys: DataFrame | None = None
 
 
-def enriched(fact: DataFrame, dims: Dimensions) -> DataFrame:
-    return enrich_sales(fact, dims.customer, dims.store, dims.team)
+def enriched(fact: DataFrame, dims: Dimensions, hot_share: float | None = None) -> DataFrame:
+    return enrich_sales(fact, dims.customer, dims.store, dims.team, hot_share)
 
 
 def customer_mart(sales: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ fresh folder in the shared folder of the cluster, then run the engine on that in
 
 from collections.abc import Callable
 
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,8 +14,8 @@ from tallymart import ledger, schemas
 from tallymart.functions.columns import fold_extras, sales_month
 from tallymart.operators import joins, ranking, totals
 from tallymart.plans import marts, star
-from tallymart.plans.batch import Layout, check_files, files_by_header, ingest, paths_of, run_batch
-from tallymart.schemas import ACCEPTED, ADDITIONAL, CANONICAL, MANDATORY
+from tallymart.plans.batch import Judged, Layout, check_files, ingest, run_batch
+from tallymart.schemas import ADDITIONAL, CANONICAL, MANDATORY
 from tallymart.sinks import writers
 from tallymart.sources import files, sales
 from tallymart.sources.tables import read_bad_rows, read_fact, read_store
@@ -64,6 +65,13 @@ def sales_mart(spark: SparkSession, folder: str) -> DataFrame:
     return marts.sales_mart(_enriched(spark, folder))
 
 
+def _stored(mart: DataFrame) -> DataFrame:
+    """A detail mart as a run stores it: what reads it twice does not join twice."""
+    path = new_folder(mart.sparkSession, "mart")
+    writers.write_parquet(mart, path)
+    return mart.sparkSession.read.schema(mart.schema).parquet(path)
+
+
 # --- monthly totals, windows, ranks ----------------------------------------------------------
 
 
@@ -72,14 +80,14 @@ def customer_monthly_sales(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def customer_monthly_sales_window(spark: SparkSession, folder: str) -> DataFrame:
-    return totals.customer_monthly_of(customer_mart(spark, folder))
+    return totals.customer_monthly_of(_stored(customer_mart(spark, folder)))
 
 
 def customer_line_totals(spark: SparkSession, folder: str) -> DataFrame:
     lines = customer_mart(spark, folder).select(
         "customer_id", "sales_date", "total_cost", sales_month(F.col("sales_date")).alias("sales_date_month")
     )
-    return totals.with_group_total(lines, ["customer_id", "sales_date_month"], "total_cost", "month_total")
+    return totals.with_group_total(_stored(lines), ["customer_id", "sales_date_month"], "total_cost", "month_total")
 
 
 def sales_person_line_totals(spark: SparkSession, folder: str) -> DataFrame:
@@ -87,7 +95,7 @@ def sales_person_line_totals(spark: SparkSession, folder: str) -> DataFrame:
         "store_id", "sales_person_id", "sales_date", "sales_month", "total_cost"
     )
     return totals.with_group_total(
-        lines, ["store_id", "sales_person_id", "sales_month"], "total_cost", "month_total"
+        _stored(lines), ["store_id", "sales_person_id", "sales_month"], "total_cost", "month_total"
     )
 
 
@@ -100,7 +108,7 @@ def sales_person_monthly(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sales_person_monthly_window(spark: SparkSession, folder: str) -> DataFrame:
-    return totals.sales_person_monthly_of(sales_mart(spark, folder))
+    return totals.sales_person_monthly_of(_stored(sales_mart(spark, folder)))
 
 
 def sales_person_rank(spark: SparkSession, folder: str) -> DataFrame:
@@ -217,14 +225,15 @@ def header_manifest(spark: SparkSession, folder: str) -> DataFrame:
     ).distinct()
 
 
-def _verdicts(spark: SparkSession, inbox: str, layout: Layout) -> DataFrame:
+def _judged(spark: SparkSession, inbox: str, layout: Layout) -> Judged:
     return check_files(spark, inbox, files.list_files(spark, inbox), layout, "run")
 
 
 def rejected_file_lines(spark: SparkSession, folder: str) -> DataFrame:
     inbox = _drops(spark, folder)
-    refused = files.manifest(spark, inbox).where((F.col("status") != ACCEPTED) & F.col("missing_columns").isNotNull())
-    lines = files.rejected_lines(spark, paths_of(refused))
+    layout = Layout(new_folder(spark, "stores"))
+    _judged(spark, inbox, layout)
+    lines = spark.read.parquet(layout.error_files)
     # Header lines, one per file, are not counted: the number of files is up to the writer.
     return (
         lines.where(~F.col("line").startswith("customer_id,"))
@@ -236,14 +245,14 @@ def rejected_file_lines(spark: SparkSession, folder: str) -> DataFrame:
 def csv_ingest_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     inbox = new_folder(spark, "inbox")
     _drop(star.sales_lines(spark, folder), f"{inbox}/all")
-    by_header = files_by_header(_verdicts(spark, inbox, Layout(new_folder(spark, "stores"))))
-    return sales.read_sales(spark, by_header).select(*CANONICAL)
+    judged = _judged(spark, inbox, Layout(new_folder(spark, "stores")))
+    return sales.read_sales(spark, judged.by_header()).select(*CANONICAL)
 
 
 def mixed_header_ingest(spark: SparkSession, folder: str) -> DataFrame:
     inbox = _drops(spark, folder)
     layout = Layout(new_folder(spark, "stores"))
-    ingest(spark, _verdicts(spark, inbox, layout), layout, "mixed")
+    ingest(spark, _judged(spark, inbox, layout).by_header(), layout, "mixed")
     return read_fact(spark, layout.fact).select(*CANONICAL, "sales_month")
 
 
@@ -251,10 +260,13 @@ def bad_row_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     inbox = new_folder(spark, "inbox")
     layout = Layout(new_folder(spark, "stores"))
     person = F.col("sales_person_id").cast("string")
-    listed = F.when(F.col("l_returnflag") == "R", F.concat(F.lit("<"), person, F.lit(">"))).otherwise(person)
-    lines = star.sales_lines(spark, folder).withColumn("sales_person_id", listed)
+    listed = F.when(F.col("l_returnflag") == "R", F.concat(F.lit("<"), person, F.lit(", 0>"))).otherwise(person)
+    cost = F.col("total_cost").cast("string")
+    # A part of a cent does not fit, and is not rounded away.
+    exact = F.when((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "F"), F.concat(cost, F.lit("5"))).otherwise(cost)
+    lines = star.sales_lines(spark, folder).withColumns({"sales_person_id": listed, "total_cost": exact})
     _drop(lines.select(*MANDATORY), f"{inbox}/all")
-    ingest(spark, _verdicts(spark, inbox, layout), layout, "quarantine")
+    ingest(spark, _judged(spark, inbox, layout).by_header(), layout, "quarantine")
     return read_bad_rows(spark, layout.fact).select("unparsed_line", "ingest_batch")
 
 
@@ -323,7 +335,7 @@ def _order_files(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame
 def ledger_events(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "ledger")
     ledger.append(_order_files(spark, folder)[1], path)
-    return _plain_times(ledger.read(spark, path))
+    return _plain_times(ledger.read(spark, path)).drop("modification_time", "length")
 
 
 def _plain_times(df: DataFrame) -> DataFrame:
@@ -332,7 +344,7 @@ def _plain_times(df: DataFrame) -> DataFrame:
 
 
 def ledger_latest(spark: SparkSession, folder: str) -> DataFrame:
-    return _plain_times(ledger.latest(_order_files(spark, folder)[1]))
+    return _plain_times(ledger.latest(_order_files(spark, folder)[1])).drop("modification_time", "length")
 
 
 def ledger_unfinished(spark: SparkSession, folder: str) -> DataFrame:
@@ -374,6 +386,41 @@ def incremental_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return read_store(spark, layout.sales_person_monthly, schemas.SALES_PERSON_MONTHLY)
 
 
+def _deliver(lines: DataFrame, inbox: str, name: str) -> None:
+    """CSV files of fixed names, in place of any delivered under them before."""
+    made = new_folder(lines.sparkSession, "made")
+    _drop(lines, made)
+    store, source = fs.FileSystem.from_uri(made)
+    target = fs.FileSystem.from_uri(inbox)[1]
+    store.create_dir(target, recursive=True)
+    parts = sorted(f.path for f in store.get_file_info(fs.FileSelector(source)) if f.base_name.endswith(".csv"))
+    for i, part in enumerate(parts):
+        store.move(part, f"{target}/{name}-{i}.csv")
+
+
+def redelivered_file_ingest(spark: SparkSession, folder: str) -> DataFrame:
+    """The same path gets a second content: both deliveries count."""
+    inbox, layout = new_folder(spark, "inbox"), Layout(new_folder(spark, "stores"))
+    dims = star.dimensions(spark, folder)
+    for half in _halves(spark, folder):
+        _deliver(half.select(*MANDATORY), inbox, "sales")
+        run_batch(spark, inbox, dims, layout)
+    return read_store(spark, layout.sales_person_monthly, schemas.SALES_PERSON_MONTHLY)
+
+
+def refused_then_corrected(spark: SparkSession, folder: str) -> DataFrame:
+    """A refused file is corrected in place and taken by the next run."""
+    inbox, layout = new_folder(spark, "inbox"), Layout(new_folder(spark, "stores"))
+    dims = star.dimensions(spark, folder)
+    first, second = (half.select(*MANDATORY) for half in _halves(spark, folder))
+    _deliver(first, inbox, "good")
+    _deliver(second.drop("store_id"), inbox, "fixed")
+    run_batch(spark, inbox, dims, layout)
+    _deliver(second, inbox, "fixed")
+    run_batch(spark, inbox, dims, layout)
+    return read_store(spark, layout.customer_monthly, schemas.CUSTOMER_MONTHLY)
+
+
 QUERIES: dict[str, Query] = {
     "sales_fact": sales_fact,
     "enriched_sales": _enriched,
@@ -419,6 +466,8 @@ QUERIES: dict[str, Query] = {
             batch_run,
             late_month_recompute,
             incremental_ingest,
+            redelivered_file_ingest,
+            refused_then_corrected,
         )
     },
 }

@@ -52,6 +52,7 @@ FACT_PARTITIONS = ["row_status", "sales_month", "ingest_batch"]
 ROW_OK = "ok"
 ROW_BAD = "bad"
 
+# The columns of the tables below are those that users and databases know.
 CUSTOMER = _table(
     customer_id=T.LongType(),
     first_name=T.StringType(),
@@ -123,16 +124,22 @@ SALES_PERSON_MONTHLY = _table(
 
 OPEN = "A"
 CLOSED = "I"
+LOST = "L"
+# What tells one delivery from another, also under one path.
+IDENTITY = ["file_location", "modification_time", "length"]
 LEDGER_EVENT = _table(
     file_name=T.StringType(),
     file_location=T.StringType(),
     run_id=T.StringType(),
     event_time=T.TimestampType(),
     status=T.StringType(),
+    modification_time=T.TimestampType(),
+    length=T.LongType(),
 )
 MANIFEST = _table(
     file_location=T.StringType(),
     file_name=T.StringType(),
+    modification_time=T.TimestampType(),
     length=T.LongType(),
     header=T.ArrayType(T.StringType()),
     missing_columns=T.ArrayType(T.StringType()),

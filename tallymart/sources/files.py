@@ -14,7 +14,8 @@ _NAME_SEPARATOR = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
 # Blank lines, then the first line with a visible character; a byte order mark is not part of it.
 _FIRST_LINE = r"^\uFEFF?(?:[\x00-\x20]*[\r\n])?([^\r\n]*[^\x00-\x20][^\r\n]*)"
-# Files up to this size, in bytes, are read as one value to find their header.
+# Files up to this size, in bytes, are read as one value to find their header. Both ways give the same rows;
+# the bound keeps a single value small.
 SMALL_FILE = 32 << 20
 
 
@@ -28,6 +29,7 @@ def file_columns() -> list[Column]:
     return [
         F.col("path").alias("file_location"),
         F.substring_index("path", "/", -1).alias("file_name"),
+        F.col("modificationTime").alias("modification_time"),
         F.col("length"),
         F.col("_metadata.file_path").alias("file_uri"),
     ]
@@ -153,6 +155,7 @@ def manifest(
     return judged.select(
         "file_location",
         "file_name",
+        "modification_time",
         "length",
         "header",
         "missing_columns",

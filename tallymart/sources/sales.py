@@ -37,6 +37,7 @@ def csv_schema(header: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in [*names, _RAW_LINE]])
 
 
+_WIDE = T.DecimalType(38, 18)
 _DAY = r"^\d{4}-\d{2}-\d{2}$"
 
 
@@ -46,7 +47,11 @@ def _typed(name: str) -> Column:
     if name == "sales_date":
         # A cast alone would also take other spellings of a date.
         text = F.when(text.rlike(_DAY), text)
-    return text.try_cast(SALES_TYPES[name])
+    value = text.try_cast(SALES_TYPES[name])
+    if isinstance(SALES_TYPES[name], T.DecimalType):
+        # A cast alone would round; parts of a cent do not fit.
+        value = F.when(text.try_cast(_WIDE) == value, value)
+    return value
 
 
 def read_signature(spark: SparkSession, header: Sequence[str], files: Sequence[str]) -> DataFrame:
@@ -77,7 +82,7 @@ def read_signature(spark: SparkSession, header: Sequence[str], files: Sequence[s
     )
     unfit = [(F.col(name) != "") & F.col(f"typed_{name}").isNull() for name in typed]
     unfit = reduce(operator.or_, [F.coalesce(one, F.lit(False)) for one in unfit])
-    joined = F.concat_ws(",", *[F.coalesce(f, F.lit("")) for f in fields])
+    joined = F.to_csv(F.struct(*fields))
     return converted.select(
         *[F.col(f"typed_{name}" if name in typed else name).alias(name) for name in MANDATORY],
         fold_extras(extras).alias(ADDITIONAL),

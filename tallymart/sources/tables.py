@@ -1,5 +1,7 @@
 """Tables the engine reads: dimensions from files or a database, and its own stores."""
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,6 +49,18 @@ def require_unique(dimension: DataFrame, key: str) -> DataFrame:
     return dimension
 
 
+def require_unique_keys(*dimensions: tuple[DataFrame, str]) -> None:
+    """Raises when a key occurs twice in its dimension: one query over all of them."""
+    keys = [
+        dimension.where(F.col(key).isNotNull()).select(F.lit(f"{i}: {key}").alias("key"), F.col(key).cast("string").alias("value"))
+        for i, (dimension, key) in enumerate(dimensions)
+    ]
+    every = reduce(DataFrame.union, keys)
+    repeated = every.groupBy("key", "value").count().where(F.col("count") > 1).select("key").take(1)
+    if repeated:
+        raise DuplicateKeys(f"{repeated[0].key.partition(': ')[2]} is not unique")
+
+
 def read_store(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A Parquet store of ours. Before its first write it is an empty table.
 

@@ -1,6 +1,5 @@
-"""Where intermediate tables go."""
+"""Where intermediate tables go that belong to no installation."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -9,14 +8,14 @@ from pyspark.sql import SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in spark.checkpoint.dir.
 
-    Only a local session without that setting falls back to a temporary folder.
+    A local session without that setting takes a folder below its warehouse.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    return tempfile.gettempdir()
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:

@@ -164,12 +164,24 @@ def test_untypable_rows_are_set_aside_whatever_is_selected(spark, tmp_path):
     assert bad == {
         "q,121,sugar,2023-03-04,1,50,1,50,cash",
         "1,121,sugar,2023-13-45,1,50,1,50,cash",
-        "1,121,sugar,2023-03-04,[1, 2, 3],50,1,50,cash",
+        '1,121,sugar,2023-03-04,"[1, 2, 3]",50,1,50,cash',
         "1,121,sugar",
     }
     assert df.count() == 5
 
 
+def test_parts_of_cents_and_quotes_are_kept(spark, tmp_path):
+    inbox = tmp_path / "inbox"
+    good = sale(1, 121, 1, "2023-03-04", "50.10")
+    write_csv(inbox / "a.csv", HEADER, [good, [*good[:-1], "0.005"], [*good[:-1], "7.500"], ["q", 121, "salt, fine", *good[3:]]])
+    df = sales.read_sales(spark, by_header(spark, inbox))
+    assert rows(df.where(F.col(UNPARSED).isNull()).select("total_cost")) == [(Decimal("50.10"),), (Decimal("7.50"),)]
+    assert {r[0] for r in df.where(F.col(UNPARSED).isNotNull()).select(UNPARSED).collect()} == {
+        "1,121,sugar,2023-03-04,1,50.10,1,0.005",
+        'q,121,"salt, fine",2023-03-04,1,50.10,1,50.10',
+    }
+
+
 def test_stacking(spark):
     a = spark.createDataFrame([(1, "x")], "a int, b string")
     b = spark.createDataFrame([("y", 2)], "b string, a int")

@@ -21,6 +21,7 @@ MARCH = [
     (1, 121, 3, "2023-03-31", "50.00"),
     (3, 122, 4, "2023-03-09", "9.00"),
 ]
+MOST_JOBS = 60
 LATE = [(2, 121, 3, "2023-03-30", "70.00"), (2, 121, 1, "2023-05-01", "5.00")]
 
 
@@ -207,14 +208,130 @@ def test_clustered_drops_give_the_same_marts(spark, dims, tmp_path):
     assert monthly(spark, layout) == expected(spark, dims, MARCH + LATE)
 
 
-def test_database_tables_receive_all_months(spark, dims, tmp_path, monkeypatch):
+def test_database_receives_the_months_of_the_run(spark, dims, tmp_path, monkeypatch):
     inbox, layout = tmp_path / "inbox", Layout(str(tmp_path / "out"))
-    write_csv(inbox / "a.csv", HEADER, as_sales(MARCH + LATE))
     calls = {}
     monkeypatch.setattr(writers, "write_jdbc", lambda df, url, table, props, mode: calls.update({table: (rows(df), mode)}))
-    run_batch(spark, str(inbox), dims, layout, options=Options(database=Database("jdbc:x", {})))
-    assert set(calls) == {"customers_data_mart", "sales_team_data_mart"}
+    options = Options(database=Database("jdbc:x", {}))
+    write_csv(inbox / "a.csv", HEADER, as_sales(MARCH + LATE))
+    run_batch(spark, str(inbox), dims, layout, options=options)
+    assert set(calls) == {"customers_data_mart_staging", "sales_team_data_mart_staging"}
     assert {len(r) for r, _ in calls.values()} == {4, 5} and {m for _, m in calls.values()} == {"overwrite"}
+    write_csv(inbox / "b.csv", HEADER, as_sales([(1, 121, 1, "2023-05-09", "1.00")]))
+    run_batch(spark, str(inbox), dims, layout, options=options)
+    assert {str(r[4]) for r in calls["customers_data_mart_staging"][0]} == {"2023-05-01"}
+    assert {r[3] for r in calls["sales_team_data_mart_staging"][0]} == {"2023-05"}
+
+
+def set_time(path, days):
+    then = os.stat(path).st_mtime + days * 86400
+    os.utime(path, (then, then))
+
+
+def test_stream_takes_files_with_an_old_time(spark, dims, tmp_path):
+    inbox, layout, checkpoint = tmp_path / "inbox", Layout(str(tmp_path / "out")), str(tmp_path / "ck")
+    write_csv(inbox / "a.csv", HEADER, as_sales(MARCH))
+    ingest_available(spark, str(inbox), dims, layout, checkpoint)
+    set_time(write_csv(inbox / "b.csv", HEADER, as_sales(LATE)), -30)
+    ingest_available(spark, str(inbox), dims, layout, checkpoint)
+    assert monthly(spark, layout) == expected(spark, dims, MARCH + LATE)
+
+
+@pytest.mark.parametrize("stream", [False, True])
+def test_new_content_under_an_old_path_is_taken(spark, dims, tmp_path, stream):
+    inbox, layout, checkpoint = tmp_path / "inbox", Layout(str(tmp_path / "out")), str(tmp_path / "ck")
+
+    def take():
+        if stream:
+            ingest_available(spark, str(inbox), dims, layout, checkpoint)
+        else:
+            run_batch(spark, str(inbox), dims, layout)
+
+    write_csv(inbox / "ok.csv", HEADER, as_sales(MARCH))
+    write_csv(inbox / "fix.csv", HEADER[1:], [r[1:] for r in as_sales(LATE[:1])])
+    take()
+    set_time(write_csv(inbox / "ok.csv", HEADER, as_sales(LATE[1:])), 5)
+    set_time(write_csv(inbox / "fix.csv", HEADER, as_sales(LATE[:1])), 5)
+    take()
+    assert monthly(spark, layout) == expected(spark, dims, MARCH + LATE)
+
+
+def test_refused_text_is_kept_when_a_run_dies_before_its_manifest(spark, dims, tmp_path, monkeypatch):
+    inbox, layout = tmp_path / "inbox", Layout(str(tmp_path / "out"))
+    write_csv(inbox / "bad.csv", HEADER[1:], [["x"] * 7])
+    write_csv(inbox / "a.csv", HEADER, as_sales(MARCH))
+    whole = writers.write_parquet
+
+    def dies(df, path):
+        if path.startswith(layout.error_files):
+            raise RuntimeError("lost")
+        whole(df, path)
+
+    monkeypatch.setattr(writers, "write_parquet", dies)
+    with pytest.raises(RuntimeError):
+        run_batch(spark, str(inbox), dims, layout, run_id="1")
+    monkeypatch.undo()
+    (result,) = run_batch(spark, str(inbox), dims, layout, run_id="2")
+    assert (result.accepted, result.rejected) == (1, 1)
+    assert ",".join(["x"] * 7) in {r.line for r in spark.read.parquet(layout.error_files).collect()}
+
+
+def test_a_missed_header_is_noticed_before_anything_is_recorded(spark, dims, tmp_path, monkeypatch):
+    inbox, layout = tmp_path / "inbox", Layout(str(tmp_path / "out"))
+    write_csv(inbox / "a.csv", HEADER, as_sales(MARCH))
+    right = batch.source_files.header_lines
+    monkeypatch.setattr(batch.source_files, "header_lines", lambda *a, **k: right(*a, **k).where("false"))
+    with pytest.raises(RuntimeError, match="missed a header"):
+        run_batch(spark, str(inbox), dims, layout, run_id="1")
+    monkeypatch.undo()
+    (result,) = run_batch(spark, str(inbox), dims, layout, run_id="2")
+    assert result.accepted == 1
+    assert monthly(spark, layout) == expected(spark, dims, MARCH)
+
+
+def test_vanished_files_of_a_dead_run_do_not_stop_later_runs(spark, dims, tmp_path, monkeypatch):
+    inbox, layout = tmp_path / "inbox", Layout(str(tmp_path / "out"))
+    gone = write_csv(inbox / "gone.csv", HEADER, as_sales(MARCH[:2]))
+
+    def crash(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(batch, "ingest", crash)
+    with pytest.raises(RuntimeError):
+        run_batch(spark, str(inbox), dims, layout, run_id="1")
+    monkeypatch.undo()
+    gone.unlink()
+    write_csv(inbox / "b.csv", HEADER, as_sales(MARCH[2:]))
+    (result,) = run_batch(spark, str(inbox), dims, layout, run_id="2")
+    assert result.accepted == 1
+    state = {r.file_name: r.status for r in ledger.latest(ledger.read(spark, layout.ledger)).collect()}
+    assert state == {"gone.csv": "L", "b.csv": "I"}
+    write_csv(inbox / "gone.csv", HEADER, as_sales(MARCH[:2]))
+    run_batch(spark, str(inbox), dims, layout, run_id="3")
+    assert monthly(spark, layout) == expected(spark, dims, MARCH)
+
+
+def test_runs_keep_bounded_lists_of_paths(spark, dims, tmp_path):
+    inbox, layout = tmp_path / "inbox", Layout(str(tmp_path / "out"))
+    write_csv(inbox / "0.csv", HEADER[1:], [])
+    for i, row in enumerate(as_sales(MARCH + LATE)):
+        write_csv(inbox / f"{i + 1}.csv", [*HEADER, f"extra{i}"], [[*row, "x"]])
+    results = run_batch(spark, str(inbox), dims, layout, run_id="r", options=Options(files_per_run=3))
+    assert [(r.run_id, r.accepted, r.rejected) for r in results] == [("r", 2, 1), ("r.1", 3, 0), ("r.2", 1, 0)]
+    assert monthly(spark, layout) == expected(spark, dims, MARCH + LATE)
+
+
+def test_a_run_takes_few_jobs(spark, dims, tmp_path):
+    inbox, layout = tmp_path / "inbox", Layout(str(tmp_path / "out"))
+    write_csv(inbox / "a.csv", HEADER, as_sales(MARCH))
+    run_batch(spark, str(inbox), dims, layout)
+    write_csv(inbox / "b.csv", HEADER, as_sales(LATE))
+    spark.sparkContext.setJobGroup("counted", "one small new file")
+    try:
+        run_batch(spark, str(inbox), dims, layout)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("counted")) <= MOST_JOBS
 
 
 def test_command_line(spark, dims, tmp_path):

@@ -94,3 +94,19 @@ def test_broadcasts_off_give_the_same_marts(spark, settings):
     wanted = rows(marts.sales_person_monthly(fact, dims)), rows(marts.customer_monthly(fact, dims))
     settings(spark__sql__autoBroadcastJoinThreshold="-1")
     assert (rows(marts.sales_person_monthly(fact, dims)), rows(marts.customer_monthly(fact, dims))) == wanted
+
+
+@pytest.mark.parametrize("name", ["customer_line_totals", "sales_person_line_totals", "customer_monthly_sales_window", "sales_person_monthly_window"])
+def test_totals_on_every_row_scan_the_fact_once(spark, monkeypatch, tmp_path, name):
+    from tallymart import queries
+
+    scans = []
+    whole = writers.write_parquet
+
+    def write(df, path):
+        scans.append(df._jdf.queryExecution().executedPlan().toString().count("lineitem.parquet"))
+        whole(df, path)
+
+    monkeypatch.setattr(writers, "write_parquet", write)
+    plan = queries.QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert scans == [1] and "lineitem" not in plan
