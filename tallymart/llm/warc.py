@@ -1,10 +1,10 @@
 """A deterministic, sharded WARC writer and the reader of its archives.
 
-1. Every page gets its record's size, compressed as a gzip member of its own, and its payload's digest. Records are range-sorted by
-   page_id; running sums of the sizes (within ranges by a window, across ranges by the ranges' sums) give each record the archive it
-   belongs to: a new one begins whenever `roll_bytes` are full. That depends on pages alone, not on how many tasks there are.
+1. Every page's record is made and compressed once, as a gzip member of its own. Records are range-sorted by page_id; running sums of
+   the sizes (within ranges by a window, across ranges by the ranges' sums) give each record the archive it belongs to: a new one
+   begins whenever `roll_bytes` are full. That depends on pages alone, not on how many tasks there are.
 2. One task writes one archive, records in order, under a temporary name with the attempt in it. Headers and digests are made from the
-   payload; a payload already seen is written as a revisit record that refers to the response.
+   payload; a payload already seen is a revisit record that refers to the response.
 3. Tasks return name, size, records and digest of what they wrote; Spark keeps one attempt of each. A second job gives those files
    their final names, which can be repeated at will. The manifest is written last: an archive counts if it is in the manifest.
 
@@ -24,17 +24,20 @@ import uuid
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallymart.llm.shared import NO_ID, folder, ship, stored, table
+from tallymart.llm.shared import NO_ID, folder, narrow, ship, stored, table
 
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ID = "urn:x-page:"
 SMALL = 1000
+#: Tables of revisits and of archives are broadcast up to so many rows; beyond it the same joins shuffle.
+BROADCAST_ROWS = 500_000
 
 
 def record(page: int, url: str | None, payload: bytes, refers: int | None, date: str = DATE) -> bytes:
@@ -62,11 +65,30 @@ def member(data: bytes) -> bytes:
     return made.compress(data) + made.flush()
 
 
-def _sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each page's record, compressed: what goes into an archive as it is."""
     for b in batches:
-        rows = zip(*(b.column(c).to_pylist() for c in ("page", "url", "html", "refers")), strict=True)
-        size = [len(member(record(page, url, (html or "").encode(), refers))) for page, url, html, refers in rows]
-        yield pa.RecordBatch.from_arrays([b.column("page"), b.column("print"), b.column("refers"), pa.array(size, pa.int64())], names=["page", "print", "refers", "size"])
+        for start in range(0, b.num_rows, 256):
+            part = b.slice(start, 256)
+            rows = zip(*(part.column(c).to_pylist() for c in ("page", "url", "html", "refers")), strict=True)
+            made = [member(record(page, url, (html or "").encode(), refers)) for page, url, html, refers in rows]
+            sizes = pa.array([len(m) for m in made], pa.int64())
+            yield pa.RecordBatch.from_arrays([part.column("page"), part.column("print"), sizes, pa.array(made, pa.binary())], names=["page", "print", "size", "member"])
+
+
+def _placed(pages: np.ndarray, prints: np.ndarray):
+    """Adds the archive of each member: the last whose first (page, print) is not behind it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            page, prints_ = b.column("page").to_numpy(), b.column("print").to_numpy()
+            low, high = np.searchsorted(pages, page, "left"), np.searchsorted(pages, page, "right")
+            archive = low - 1
+            for k in np.flatnonzero(high > low):  # an archive begins with this page: its print decides
+                archive[k] = low[k] - 1 + np.searchsorted(prints[low[k] : high[k]], prints_[k], "right")
+            yield pa.RecordBatch.from_arrays([pa.array(archive.astype(np.int64)), *(b.column(c) for c in ("page", "print", "member"))], names=["archive", "page", "print", "member"])
+
+    return run
 
 
 WRITTEN = "archive long, part string, bytes long, records long, sha1 string"
@@ -86,13 +108,13 @@ def _write(base: str):
             done.append((now, out[1], out[2], out[3], out[4].hexdigest()))
 
         for b in batches:
-            for archive, page, url, html, refers in zip(*(b.column(c).to_pylist() for c in ("archive", "page", "url", "html", "refers")), strict=True):
+            for archive, data in zip(b.column("archive").to_pylist(), b.column("member"), strict=True):
                 if archive != now:
                     if out:
                         close()
                     part = f"_parts/{archive:08d}-{attempt}.warc.gz"
                     now, out = archive, [store.open_output_stream(f"{top}/{part}", compression=None), part, 0, 0, hashlib.sha1()]
-                data = member(record(page, url, (html or "").encode(), refers))
+                data = data.as_py()
                 out[0].write(data)
                 out[4].update(data)
                 out[2] += len(data)
@@ -135,7 +157,7 @@ def referred(pages: DataFrame, small: int = SMALL) -> DataFrame:
     sums = rows.select("page", "print", F.sha1(html).alias("sha1")).where(F.octet_length(html) >= small)
     most = sums.groupBy("sha1").agg(F.max("page").alias("last"), F.count(F.lit(1)).alias("n")).where("n > 1").select("sha1", "last")
     later = sums.join(most, "sha1").where((F.col("page") < F.col("last"))).select("page", "print", F.col("last").alias("refers")).distinct()
-    return rows.join(later, ["page", "print"], "left")
+    return rows.join(narrow(later, BROADCAST_ROWS), ["page", "print"], "left")
 
 
 def write_archives(pages: DataFrame, base: str, roll_bytes: int = 16 << 20, small: int = SMALL) -> DataFrame:
@@ -143,9 +165,10 @@ def write_archives(pages: DataFrame, base: str, roll_bytes: int = 16 << 20, smal
     spark = pages.sparkSession
     ship(spark)
     rows = referred(pages, small)
-    sized = rows.mapInArrow(_sized, "page long, print long, refers long, size long")
+    members = stored(rows.mapInArrow(_members, "page long, print long, size long, member binary"), "op6-members")
+    sizes = members.select("page", "print", "size")
     # Written, so that a row stays in its range however often it is read.
-    ranged = stored(sized.repartitionByRange("page", "print").withColumn("range", F.spark_partition_id()), "op6-sizes")
+    ranged = stored(sizes.repartitionByRange("page", "print").withColumn("range", F.spark_partition_id()), "op6-sizes")
     sums = ranged.groupBy("range").agg(F.sum("size").alias("sum")).orderBy("range").collect()  # one row per task
     before, total = [], 0
     for r in sums:
@@ -153,13 +176,13 @@ def write_archives(pages: DataFrame, base: str, roll_bytes: int = 16 << 20, smal
         total += r["sum"]
     offsets = F.broadcast(spark.createDataFrame(before, "range int, before long"))
     inside = F.sum("size").over(Window.partitionBy("range").orderBy("page", "print").rowsBetween(Window.unboundedPreceding, -1))
-    order = F.row_number().over(Window.partitionBy("range").orderBy("page", "print"))
-    placed = ranged.select("*", F.coalesce(inside, F.lit(0)).alias("inside"), order.alias("row")).join(offsets, "range")
-    placed = placed.select("page", "print", "refers", F.floor((F.col("before") + F.col("inside")) / roll_bytes).alias("archive"))
-    # Rows equal in id and print go to one archive, each once.
-    placed = placed.groupBy("page", "print", "refers").agg(F.min("archive").alias("archive"))
-    source = rows.select("page", "print", "url", "html").join(placed, ["page", "print"])
-    written = source.repartition("archive").sortWithinPartitions("archive", "page", "print").mapInArrow(_write(base), WRITTEN)
+    placed = ranged.select("*", F.coalesce(inside, F.lit(0)).alias("inside")).join(offsets, "range")
+    placed = placed.select("page", "print", F.floor((F.col("before") + F.col("inside")) / roll_bytes).alias("archive"))
+    # One row per archive: its first page.
+    firsts = sorted(r.first for r in placed.groupBy("archive").agg(F.min(F.struct("page", "print")).alias("first")).select("first").collect())
+    edges = [np.array([r[k] for r in firsts], np.int64) for k in (0, 1)]
+    dealt = members.mapInArrow(_placed(*edges), "archive long, page long, print long, member binary")
+    written = dealt.repartition("archive").sortWithinPartitions("archive", "page", "print").mapInArrow(_write(base), WRITTEN)
     written = stored(written, "op6-written")
     committed = written.select("archive", "part", "bytes", "records", "sha1").mapInArrow(_commit(base), "archive long, file string, bytes long, records long, sha1 string")
     committed.write.mode("overwrite").parquet(f"{base}/manifest")
@@ -222,7 +245,7 @@ def read_archives(spark: SparkSession, base: str, with_payload: bool = True) ->
     manifest = spark.read.parquet(f"{base}/manifest")
     files = spark.read.format("binaryFile").option("pathGlobFilter", "pages-*.warc.gz").load(base)
     files = files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
-    found = manifest.select("file", "bytes", "sha1").join(files, "file")
+    found = files.join(narrow(manifest.select("file", "bytes", "sha1"), BROADCAST_ROWS), "file")
     return found.mapInArrow(_parsed(with_payload), READ if with_payload else READ.rpartition(",")[0])
 
 
