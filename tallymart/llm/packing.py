@@ -10,7 +10,7 @@ full are treated as pieces of their fill and laid together, by fewer packers. On
 bins is bounded by tasks times `open_bins`.
 
 Tokenising: byte-level splits never join a character to white space behind it, so a text is cut before white space (`chunks`), and equal
-chunks are encoded once per task. Texts with other white space than ASCII's are encoded whole. Ids equal those of the whole text.
+chunks are encoded once per worker, as long as it remembers them. Texts with other white space than ASCII's are encoded whole. Ids equal those of the whole text.
 
 Defined cases: a null or empty text is the end id alone; rows that share an id are packed each; a document of exactly one sequence is one
 piece; an empty table gives an empty result.
@@ -34,7 +34,7 @@ from tallymart.llm.shared import KEY, PRINT, id_back, keyed, stored, table
 
 #: White space that is not ASCII's, and ASCII's separators, for which cutting before white space is not proven.
 OTHER_SPACE = re.compile(rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
-KNOWN_CHUNKS = 400_000
+KNOWN_CHUNKS = 1_000_000
 
 
 class BestFit:
@@ -75,13 +75,15 @@ class BestFit:
 
 
 class Encoder:
-    """Ids of whole batches. Holds the ids of at most KNOWN_CHUNKS chunks."""
+    """Ids of whole slices. Holds the ids of at most KNOWN_CHUNKS chunks."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # A byte-level token's string has one character for each of its bytes.
+        self.bytes = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(self.tokenizer.get_vocab_size())], np.int64)
         self._forget()
 
     def _forget(self) -> None:
@@ -90,11 +92,23 @@ class Encoder:
         self.count = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
-    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    def _singly(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.tokenizer.encode_batch([t.decode() for t in texts], add_special_tokens=False)]
         count = np.fromiter(map(len, found), np.int64, len(found))
         return np.fromiter((i for ids in found for i in ids), np.uint32, int(count.sum())), count
 
+    def _joined(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Chunks that begin with white space and do not end with it, as one text: cut again where their bytes end."""
+        if not texts:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        ids = np.array(self.tokenizer.encode(b"".join(texts).decode(), add_special_tokens=False).ids, np.uint32)
+        ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
+        reached = np.cumsum(self.bytes[ids])
+        last = np.searchsorted(reached, ends)
+        if reached[-1] != ends[-1] or (reached[last] != ends).any():
+            return self._singly(texts)
+        return ids, np.diff(last + 1, prepend=0)
+
     def encode(self, texts: scan.Texts) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all documents, where each document's begin)."""
         buf, off = texts.buf, texts.off
@@ -102,22 +116,25 @@ class Encoder:
         cut = np.zeros(len(buf) + 1, bool)
         cut[1:-1] = space[1:] & ~space[:-1]
         cut[off] = True
+        odd = np.zeros(len(texts), bool)
         for m in OTHER_SPACE.finditer(buf.tobytes()):  # such a document is one chunk
-            d = int(np.searchsorted(off, m.start(), "right")) - 1
+            odd[int(np.searchsorted(off, m.start(), "right")) - 1] = True
+        for d in np.flatnonzero(odd):
             cut[off[d] + 1 : off[d + 1]] = False
         start = np.flatnonzero(cut[:-1])
         end = np.append(start[1:], len(buf))
         first = np.searchsorted(start, off)
         hashes = scan.spans_hash(scan.byte_sums(buf), start, end)
         new, at, which = np.unique(hashes, return_index=True, return_inverse=True)
-        place, count = self._look_up(new, at, buf, start, end)
+        joins = space[start] & ~space[end - 1] & ~np.repeat(odd, np.diff(first)) if len(start) else np.zeros(0, bool)
+        place, count = self._look_up(new, at, buf, start, end, joins)
         # The ids of all chunks in order.
         n = count[which]
         total = np.concatenate([[0], np.cumsum(n)])
         ids = self.ids[np.repeat(place[which] - total[:-1], n) + np.arange(total[-1])]
         return ids, total[first]
 
-    def _look_up(self, new: np.ndarray, at: np.ndarray, buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _look_up(self, new, at, buf, start, end, joins) -> tuple[np.ndarray, np.ndarray]:
         if len(self.known) + len(new) > KNOWN_CHUNKS:
             self._forget()
         where = np.searchsorted(self.known, new)
@@ -126,20 +143,31 @@ class Encoder:
         known[inside] = self.known[where[inside]] == new[inside]
         if not known.all():
             todo = at[~known]
-            ids, count = self._encode([buf[a:b].tobytes().decode() for a, b in zip(start[todo].tolist(), end[todo].tolist(), strict=True)])
-            place = len(self.ids) + np.cumsum(count) - count
-            self.ids = np.concatenate([self.ids, ids])
-            keys = np.concatenate([self.known, new[~known]])
-            order = np.argsort(keys, kind="stable")
-            self.known = keys[order]
-            self.place = np.concatenate([self.place, place])[order]
-            self.count = np.concatenate([self.count, count])[order]
+            whole = buf.tobytes()
+            texts = [whole[a:b] for a, b in zip(start[todo].tolist(), end[todo].tolist(), strict=True)]
+            count, place = np.zeros(len(todo), np.int64), np.zeros(len(todo), np.int64)
+            for pick, encode in ((np.flatnonzero(joins[todo]), self._joined), (np.flatnonzero(~joins[todo]), self._singly)):
+                ids, n = encode([texts[k] for k in pick.tolist()])
+                count[pick], place[pick] = n, len(self.ids) + np.cumsum(n) - n
+                self.ids = np.concatenate([self.ids, ids])
+            into = where[~known]
+            self.known, self.place, self.count = (np.insert(x, into, y) for x, y in ((self.known, new[~known]), (self.place, place), (self.count, count)))
             where = np.searchsorted(self.known, new)
         return self.place[where], self.count[where]
 
 
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder_of(path: str) -> Encoder:
+    """One per Python worker: what it knows serves all tasks of the worker."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
+
+
 PIECES = pa.schema(
-    [(KEY, pa.int64()), (PRINT, pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("task", pa.int64()), ("bin", pa.int64()), ("offset", pa.int64()), ("fill", pa.int64()), ("ids", pa.list_(pa.uint32()))]
+    [(KEY, pa.int64()), (PRINT, pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("task", pa.int64()), ("bin", pa.int64()), ("offset", pa.int64()), ("fill", pa.int64()), ("ids", pa.list_(pa.int64()))]
 )
 PIECES_SQL = f"{KEY} long, {PRINT} long, piece int, start long, length long, ids_crc32 long, task long, bin long, offset long, fill long"
 
@@ -148,7 +176,7 @@ def _pieces(tokenizer: str, end_id: int, size: int, open_bins: int, with_ids: bo
     """Pieces with their bin in this task. Bins left open at the end come as rows of their own: piece -1, and their fill."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, packer, task = Encoder(tokenizer), BestFit(size, open_bins), TaskContext.get().partitionId()
+        encoder, packer, task = encoder_of(tokenizer), BestFit(size, open_bins), TaskContext.get().partitionId()
         schema = PIECES if with_ids else pa.schema(list(PIECES)[:-1])
         for b in batches:
             keys, prints = b.column(KEY).to_numpy(), b.column(PRINT).to_numpy()
@@ -171,7 +199,7 @@ def _pieces(tokenizer: str, end_id: int, size: int, open_bins: int, with_ids: bo
                 crc = [zlib.crc32(memoryview(little)[a : a + 4 * n]) for a, n in zip(raw.tolist(), length.tolist(), strict=True)]
                 columns = [keys[i:j][doc], prints[i:j][doc], piece, begin, length, crc, np.full(len(doc), task), bins, places, np.zeros(len(doc), np.int64)]
                 if with_ids:  # pieces are in the order of the ids
-                    columns.append(pa.ListArray.from_arrays(pa.array(np.append(at, len(ids)), pa.int32()), pa.array(ids, pa.uint32())))
+                    columns.append(pa.ListArray.from_arrays(pa.array(np.append(at, len(ids)), pa.int32()), pa.array(ids.astype(np.int64))))
                 yield scan.batch(schema, *columns)
         left = packer.left()
         if left:
