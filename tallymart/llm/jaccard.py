@@ -1,17 +1,17 @@
 """N-gram Jaccard join by signature trees.
 
 A document's set is its distinct word shingles, as 64-bit hashes. Two documents link when 100 * intersection >= percent * union.
-1. One pass makes each row's set size, set hash and signature (a bitmap with a bit per hash, as wide as the set is large), and reports
+1. One pass makes each row's set size, set hash and signature (a bitmap with a bit per hash, some four times as wide as the set is large), and reports
    shingles that are frequent in its slice. Rows with equal sets are one class; from here on one row stands for each class.
 2. Shingles are ordered, those frequent in the corpus last. Linked sets share a shingle among the first |set| - ceil(0.8 |set|) + 1 of
    each in any order, so every class is dealt to the buckets of these prefix shingles. No bucket can hold a large part of the rows: a
    class has one row in a bucket and as many rows as its prefix is long.
-3. In each bucket, classes next to one another by size are candidates; those that are verified give provisional components. A large
-   group of near copies mostly becomes one component here, with a number of pairs linear in its size.
+3. In the buckets of some shingles, classes near one another by size are candidates; those that are verified give
+   provisional components. A large group of near copies mostly becomes one component here, with a number of pairs linear in its size.
 4. Buckets that still hold several components are joined with signature trees: nodes hold the OR of the bitmaps below and the range of
    set sizes. A dual traversal from the root drops pairs of nodes (later of rows) whose sizes, places of the shared shingle, or bitmaps
    allow no sufficient overlap. Rows of one component are not compared. Large buckets are dealt in blocks.
-5. Candidates are verified with the whole texts, and components are made of all links.
+5. Candidates are verified with the whole texts, a few for each pair of components at a time, as one link joins them.
 
 Every link between different components has been verified or ruled out by a bound, so components are exact; links within one component
 are not all listed. Defined cases: a text without words has an empty set and links with nothing; rows that share an id link like others;
@@ -38,6 +38,9 @@ BROADCAST_ROWS = 500_000
 REPORT, SHARE = 3, 500
 #: Rows of a leaf, and rows of a block of a bucket that is dealt over several tasks.
 LEAF, BLOCK = 32, 20_000
+#: Provisional components come from the buckets of each EACH-th shingle, and there from rows so many STEPS apart, in ROUNDS orders. They
+#: only save comparisons: what they do not join is left to the trees.
+EACH, STEPS, ROUNDS = 4, (1, 2, 3, 5, 8, 13, 21), 1
 
 
 @dataclass
@@ -68,8 +71,8 @@ def sets_of(texts: scan.Texts, shingle: int) -> Sets:
 
 
 def _width(size: np.ndarray) -> np.ndarray:
-    """Bits of a signature: a power of two not below the set's size, 64 to 4096."""
-    return (1 << np.clip(np.ceil(np.log2(np.maximum(size, 1))).astype(np.int64), 6, 12)).astype(np.int64)
+    """Bits of a signature: a power of two not below four times the set's size, 64 to 16384."""
+    return (1 << np.clip(np.ceil(np.log2(np.maximum(4 * size, 1))).astype(np.int64), 6, 14)).astype(np.int64)
 
 
 PROFILE = pa.schema(
@@ -162,19 +165,28 @@ def _may_link(n1, n2, p1, p2, percent: int) -> np.ndarray:
 
 
 def _neighbours(percent: int):
-    """Candidates: neighbours of a bucket sorted by (token, size, class)."""
+    """Candidates of different components: rows a few STEPS apart in a bucket sorted by (token, size, class).
+
+    Of the pairs of two components, each batch gives the first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        held = tuple(np.zeros(0, np.int64) for _ in range(5))
         for b in batches:
-            token, cid, n, pos = (b.column(k).to_numpy().astype(np.int64) for k in range(4))
-            if held is not None:
-                token, cid, n, pos = (np.append(h, c) for h, c in zip(held, (token, cid, n, pos), strict=True))
-            if len(token):
-                ok = (token[1:] == token[:-1]) & _may_link(n[1:], n[:-1], pos[1:], pos[:-1], percent)
-                x, y = cid[:-1][ok], cid[1:][ok]
-                yield scan.batch(PAIR, np.minimum(x, y), np.maximum(x, y))
-                held = tuple(c[-1:] for c in (token, cid, n, pos))
+            old = len(held[0])
+            rows = tuple(np.append(h, b.column(k).to_numpy().astype(np.int64)) for k, h in enumerate(held))
+            token, cid, n, _, comp = rows
+            pairs = [np.zeros((0, 4), np.int64)]
+            for step in STEPS:
+                late = np.arange(max(old, step), len(token))
+                early = late - step
+                ok = (token[late] == token[early]) & (comp[late] != comp[early]) & (100 * np.minimum(n[late], n[early]) >= percent * np.maximum(n[late], n[early]))
+                late, early = late[ok], early[ok]
+                ends = np.sort(np.column_stack([comp[early], comp[late]]), axis=1)
+                pairs.append(np.column_stack([ends, np.sort(np.column_stack([cid[early], cid[late]]), axis=1)]))
+            found = np.concatenate(pairs)
+            found = found[np.unique(found[:, :2], axis=0, return_index=True)[1]]
+            yield scan.batch(PAIR, found[:, 2].copy(), found[:, 3].copy())
+            held = tuple(c[-max(STEPS) :] for c in rows)
 
     return run
 
@@ -399,17 +411,24 @@ def similar(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Similar:
     dealt = dealt.repartition("token").sortWithinPartitions("token", "n", "cid")
     shared = stored(dealt.mapInArrow(_shared, "token long, cid long, n int, pos int"), "op5-shared")
 
-    near = shared.repartition("token").sortWithinPartitions("token", "n", "cid").mapInArrow(_neighbours(percent), "a long, b long").where("a != b").distinct()
     signs = classes.select("cid", "n", "bits")
-    asked = stored(_with_signs(near, signs, percent), "op5-near")
-    links = stored(_verified(asked, standing, shingle, percent), "op5-links")
-    provisional = components(links, "op5-provisional")
+    pair = ["a", "b"]
+    links = asked = known = None
+    for turn in range(ROUNDS):
+        early = _with_components(shared.where(F.pmod("token", F.lit(EACH)) == 0), known)
+        # Rows of one size come in another order each time.
+        near = early.repartition("token").sortWithinPartitions("token", "n", F.xxhash64("cid", F.lit(turn)), "cid").mapInArrow(_neighbours(percent), "a long, b long").distinct()
+        near = near.join(asked, pair, "left_anti") if asked is not None else near
+        fresh = stored(_with_signs(near, signs, percent), "op5-near")
+        found = stored(_verified(fresh, standing, shingle, percent), "op5-links")
+        asked, links = (fresh, found) if asked is None else (asked.unionByName(fresh), links.unionByName(found))
+        known = components(_pointers(known).unionByName(found) if known is not None else found, "op5-provisional")
 
     # Buckets that hold several components, with signatures.
-    known = shared.join(provisional.select(F.col("node").alias("cid"), F.col("root").alias("comp")), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
-    mixed = known.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("rows")).where("low < high")
+    all_rows = _with_components(shared, known)
+    mixed = all_rows.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("rows")).where("low < high")
     mixed = mixed.select("token", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks"))
-    rows = known.join(mixed, "token").join(signs.select("cid", "bits"), "cid")
+    rows = all_rows.join(mixed, "token").join(signs.select("cid", "bits"), "cid")
     # A bucket of several blocks is joined block by block: a row goes to each pair of blocks that its own is in.
     own = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
@@ -417,17 +436,47 @@ def similar(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Similar:
     part = F.least("own", "other") * F.col("blocks") + F.greatest("own", "other")
     rows = rows.select("token", part.cast("int").alias("part"), "cid", "n", "pos", "comp", "bits")
     trees = rows.repartition("token", "part").sortWithinPartitions("token", "part").mapInArrow(_tree_candidates(percent), "a long, b long").distinct()
-    fresh = stored(trees.join(asked, ["a", "b"], "left_anti"), "op5-candidates")
-    links = stored(links.unionByName(_verified(fresh, standing, shingle, percent)), "op5-all-links")
-    roots = components(links, "op5-components")
+    fresh = stored(trees.join(asked, pair, "left_anti"), "op5-candidates")
+
+    # Of the candidates between two components a few are verified at a time: once one links, the others are not needed. In the end
+    # every candidate has been verified, or its components have become one.
+    few = 16
+    while True:
+        ends = known.select(F.col("node").alias("a"), F.col("root").alias("x")), known.select(F.col("node").alias("b"), F.col("root").alias("y"))
+        open_ = fresh.join(ends[0], "a", "left").join(ends[1], "b", "left").select(*pair, F.coalesce("x", "a").alias("x"), F.coalesce("y", "b").alias("y"))
+        open_ = stored(open_.where("x != y"), "op5-open")
+        if open_.isEmpty():
+            break
+        at = F.xxhash64("a", "b")
+        sides = [F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), F.pmod(at, F.lit(few)).alias("turn")]
+        picked = open_.select(*pair, *sides).groupBy("x", "y", "turn").agg(F.min(F.struct(F.xxhash64("a", "b", F.lit(few)), *pair)).alias("p"))
+        picked = stored(picked.select("p.a", "p.b"), "op5-picked")
+        found = stored(_verified(picked, standing, shingle, percent), "op5-links")
+        links = links.unionByName(found)
+        fresh = open_.select(*pair).join(picked, pair, "left_anti")
+        known = components(_pointers(known).unionByName(found), "op5-components")
+        few *= 32
 
     members = profiles.select(KEY, PRINT, "n", "c1", "c2").join(classes.select("n", "c1", "c2", "cid", F.col(f"first.{KEY}").alias("least")), ["n", "c1", "c2"], "left")
-    members = members.join(roots.select(F.col("node").alias("cid"), "root"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    members = members.join(known.select(F.col("node").alias("cid"), "root"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     least = members.where("cid IS NOT NULL").groupBy("root").agg(F.min("least").alias("component"))
     rows = members.join(least, "root", "left").select(KEY, PRINT, F.col("n").alias("n_shingles"), "cid", "root", F.coalesce("component", KEY).alias("component"))
     return Similar(rows, links)
 
 
+def _pointers(known: DataFrame) -> DataFrame:
+    """Known components as links: what is found later is added to them."""
+    return known.select(F.col("node").alias("a"), F.col("root").alias("b"))
+
+
+def _with_components(rows: DataFrame, known: DataFrame | None) -> DataFrame:
+    """Rows with the component of their class, as far as components are known."""
+    if known is None:
+        return rows.withColumn("comp", F.col("cid"))
+    roots = known.select(F.col("node").alias("cid"), F.col("root").alias("comp"))
+    return rows.join(roots, "cid", "left").select(*rows.columns, F.coalesce("comp", "cid").alias("comp"))
+
+
 def _with_signs(pairs: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
     side = lambda x: signs.select(F.col("cid").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}"))
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_bounded(percent), "a long, b long")
