@@ -36,6 +36,7 @@ DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ID = "urn:x-page:"
 SMALL = 1000
+STEP = 1 << 14
 #: Tables of revisits and of archives are broadcast up to so many rows; beyond it the same joins shuffle.
 BROADCAST_ROWS = 500_000
 
@@ -196,11 +197,17 @@ READ_SCHEMA = pa.schema(
 
 
 def parse(data: bytes) -> Iterator[dict]:
-    """Records of a gzip archive, one member each."""
-    while data:
-        opened = zlib.decompressobj(31)
-        raw = opened.decompress(data) + opened.flush()
-        data = opened.unused_data
+    """Records of a gzip archive, one member each. Reads on by small steps: what is left of the archive is never copied."""
+    view, at = memoryview(data), 0
+    while at < len(view):
+        opened, parts = zlib.decompressobj(31), []
+        while not opened.eof:
+            step = view[at : at + STEP]
+            if not len(step):
+                raise ValueError("an archive ends within a record")
+            parts.append(opened.decompress(step))
+            at += len(step) - len(opened.unused_data)
+        raw = b"".join(parts)
         head, _, rest = raw.partition(b"\r\n\r\n")
         fields = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:])
         block = rest[: int(fields["Content-Length"])]
