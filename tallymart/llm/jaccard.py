@@ -6,15 +6,19 @@ A document's set is its distinct word shingles, as 64-bit hashes. Two documents
 2. Shingles are ordered, those frequent in the corpus last. Linked sets share a shingle among the first |set| - ceil(0.8 |set|) + 1 of
    each in any order, so every class is dealt to the buckets of these prefix shingles. No bucket can hold a large part of the rows: a
    class has one row in a bucket and as many rows as its prefix is long.
-3. In the buckets of some shingles, classes near one another by size are candidates; those that are verified give
-   provisional components. A large group of near copies mostly becomes one component here, with a number of pairs linear in its size.
-4. Buckets that still hold several components are joined with signature trees: nodes hold the OR of the bitmaps below and the range of
-   set sizes. A dual traversal from the root drops pairs of nodes (later of rows) whose sizes, places of the shared shingle, or bitmaps
-   allow no sufficient overlap. Rows of one component are not compared. Large buckets are dealt in blocks.
-5. Candidates are verified with the whole texts, a few for each pair of components at a time, as one link joins them.
-
-Every link between different components has been verified or ruled out by a bound, so components are exact; links within one component
-are not all listed. Defined cases: a text without words has an empty set and links with nothing; rows that share an id link like others;
+3. Buckets are joined with signature trees: nodes hold the OR of the bitmaps below and the range of set sizes. A dual traversal from the
+   root drops pairs of nodes (later of rows) whose sizes, places of the shared shingle, or bitmaps allow no sufficient overlap. Large
+   buckets are dealt in blocks.
+4. Candidates are verified with the whole texts. All links are listed; their number grows with the square of a group's size.
+
+Where components alone are wanted (every_link=False), two things are spared:
+- Before the trees, classes near one another by size in the buckets of some shingles are candidates; those that are verified give
+  provisional components. A large group of near copies mostly becomes one component here, with a number of pairs linear in its size.
+  Only buckets that still hold several components go to the trees, and rows of one component are not compared there.
+- Candidates are verified a few for each pair of components at a time, as one link joins them.
+Every link between different components has been verified or ruled out by a bound, so components are exact in both modes.
+
+Defined cases: a text without words has an empty set and links with nothing; rows that share an id link like others;
 a null id is smaller than all others; an empty table gives an empty result.
 """
 
@@ -384,13 +388,15 @@ def _bounded(percent: int):
 
 @dataclass(frozen=True)
 class Similar:
-    """rows: row key, n_shingles, cid (class), root (of its component), component (smallest id reachable); links: verified pairs of classes."""
+    """rows: row key, n_shingles, cid (class), root (of its component), component (smallest id reachable); links: all pairs a < b of classes
+    that link, or None where components alone were asked for. Rows of one class link with one another too."""
 
     rows: DataFrame
-    links: DataFrame
+    links: DataFrame | None
 
 
-def similar(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Similar:
+def similar(docs: DataFrame, shingle: int = 5, percent: int = 80, every_link: bool = True) -> Similar:
+    """Links and components; with every_link=False components alone, without comparing rows that are known to be in one."""
     spark = docs.sparkSession
     texts = keyed(docs)
     profiles = stored(texts.mapInArrow(_profiles(shingle), PROFILE_SQL), "op5-profiles")
@@ -412,20 +418,22 @@ def similar(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Similar:
     shared = stored(dealt.mapInArrow(_shared, "token long, cid long, n int, pos int"), "op5-shared")
 
     signs = classes.select("cid", "n", "bits")
-    pair = ["a", "b"]
-    links = asked = known = None
-    for turn in range(ROUNDS):
-        early = _with_components(shared.where(F.pmod("token", F.lit(EACH)) == 0), known)
-        # Rows of one size come in another order each time.
-        near = early.repartition("token").sortWithinPartitions("token", "n", F.xxhash64("cid", F.lit(turn)), "cid").mapInArrow(_neighbours(percent), "a long, b long").distinct()
-        near = near.join(asked, pair, "left_anti") if asked is not None else near
-        fresh = stored(_with_signs(near, signs, percent), "op5-near")
-        found = stored(_verified(fresh, standing, shingle, percent), "op5-links")
-        asked, links = (fresh, found) if asked is None else (asked.unionByName(fresh), links.unionByName(found))
-        known = components(_pointers(known).unionByName(found) if known is not None else found, "op5-provisional")
+    if every_link:
+        fresh = stored(_from_trees(_with_components(shared, None), signs, percent), "op5-candidates")
+        links = stored(_verified(fresh, standing, shingle, percent), "op5-links")
+        known = components(links, "op5-components")
+    else:
+        links, known = None, _joined_components(shared, signs, standing, shingle, percent)
 
-    # Buckets that hold several components, with signatures.
-    all_rows = _with_components(shared, known)
+    members = profiles.select(KEY, PRINT, "n", "c1", "c2").join(classes.select("n", "c1", "c2", "cid", F.col(f"first.{KEY}").alias("least")), ["n", "c1", "c2"], "left")
+    members = members.join(known.select(F.col("node").alias("cid"), "root"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    least = members.where("cid IS NOT NULL").groupBy("root").agg(F.min("least").alias("component"))
+    rows = members.join(least, "root", "left").select(KEY, PRINT, F.col("n").alias("n_shingles"), "cid", "root", F.coalesce("component", KEY).alias("component"))
+    return Similar(rows, links)
+
+
+def _from_trees(all_rows: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
+    """Candidates of the signature trees: pairs of classes of different components, from the buckets that hold several."""
     mixed = all_rows.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("rows")).where("low < high")
     mixed = mixed.select("token", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks"))
     rows = all_rows.join(mixed, "token").join(signs.select("cid", "bits"), "cid")
@@ -435,7 +443,24 @@ def similar(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Similar:
     rows = rows.select("*", own.alias("own")).select("*", other.alias("other"))
     part = F.least("own", "other") * F.col("blocks") + F.greatest("own", "other")
     rows = rows.select("token", part.cast("int").alias("part"), "cid", "n", "pos", "comp", "bits")
-    trees = rows.repartition("token", "part").sortWithinPartitions("token", "part").mapInArrow(_tree_candidates(percent), "a long, b long").distinct()
+    return rows.repartition("token", "part").sortWithinPartitions("token", "part").mapInArrow(_tree_candidates(percent), "a long, b long").distinct()
+
+
+def _joined_components(shared: DataFrame, signs: DataFrame, standing: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """node, root of the components, from as few links as give them."""
+    pair = ["a", "b"]
+    asked = known = None
+    for turn in range(ROUNDS):
+        early = _with_components(shared.where(F.pmod("token", F.lit(EACH)) == 0), known)
+        # Rows of one size come in another order each time.
+        near = early.repartition("token").sortWithinPartitions("token", "n", F.xxhash64("cid", F.lit(turn)), "cid").mapInArrow(_neighbours(percent), "a long, b long").distinct()
+        near = near.join(asked, pair, "left_anti") if asked is not None else near
+        fresh = stored(_with_signs(near, signs, percent), "op5-near")
+        found = stored(_verified(fresh, standing, shingle, percent), "op5-links")
+        asked = fresh if asked is None else asked.unionByName(fresh)
+        known = components(_pointers(known).unionByName(found) if known is not None else found, "op5-provisional")
+
+    trees = _from_trees(_with_components(shared, known), signs, percent)
     fresh = stored(trees.join(asked, pair, "left_anti"), "op5-candidates")
 
     # Of the candidates between two components a few are verified at a time: once one links, the others are not needed. In the end
@@ -446,23 +471,16 @@ def similar(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Similar:
         open_ = fresh.join(ends[0], "a", "left").join(ends[1], "b", "left").select(*pair, F.coalesce("x", "a").alias("x"), F.coalesce("y", "b").alias("y"))
         open_ = stored(open_.where("x != y"), "op5-open")
         if open_.isEmpty():
-            break
+            return known
         at = F.xxhash64("a", "b")
         sides = [F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), F.pmod(at, F.lit(few)).alias("turn")]
         picked = open_.select(*pair, *sides).groupBy("x", "y", "turn").agg(F.min(F.struct(F.xxhash64("a", "b", F.lit(few)), *pair)).alias("p"))
         picked = stored(picked.select("p.a", "p.b"), "op5-picked")
         found = stored(_verified(picked, standing, shingle, percent), "op5-links")
-        links = links.unionByName(found)
         fresh = open_.select(*pair).join(picked, pair, "left_anti")
         known = components(_pointers(known).unionByName(found), "op5-components")
         few *= 32
 
-    members = profiles.select(KEY, PRINT, "n", "c1", "c2").join(classes.select("n", "c1", "c2", "cid", F.col(f"first.{KEY}").alias("least")), ["n", "c1", "c2"], "left")
-    members = members.join(known.select(F.col("node").alias("cid"), "root"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
-    least = members.where("cid IS NOT NULL").groupBy("root").agg(F.min("least").alias("component"))
-    rows = members.join(least, "root", "left").select(KEY, PRINT, F.col("n").alias("n_shingles"), "cid", "root", F.coalesce("component", KEY).alias("component"))
-    return Similar(rows, links)
-
 
 def _pointers(known: DataFrame) -> DataFrame:
     """Known components as links: what is found later is added to them."""
@@ -495,7 +513,7 @@ def one_of_each_group(docs: DataFrame, **options) -> DataFrame:
     """The rows of docs that are the first of their component, with all their columns; of rows equal in id and text, one.
 
     Of rows that share the smallest id of a component, that with the smallest print stays."""
-    rows = similar(docs, **options).rows
+    rows = similar(docs, **options, every_link=False).rows
     # A row without words is a group of its own.
     alone = F.when(F.col("root").isNull(), F.struct(KEY, PRINT))
     stay = rows.groupBy("root", alone.alias("alone")).agg(F.min(F.struct(KEY, PRINT)).alias("first")).select("first.*")
@@ -504,7 +522,7 @@ def one_of_each_group(docs: DataFrame, **options) -> DataFrame:
 
 
 def op5_jaccard_join(spark, sf_dir) -> DataFrame:
-    rows = similar(table(spark, sf_dir, "documents")).rows
+    rows = similar(table(spark, sf_dir, "documents"), every_link=False).rows
     return rows.select(id_back(), "n_shingles", F.when(F.col("component") != NO_ID, F.col("component")).alias("component_id"))
 
 

@@ -218,6 +218,35 @@ def test_jaccard_join_of_families(spark):
     assert got == expected(groups(rows))
 
 
+def test_jaccard_join_lists_every_link(spark, nothing):
+    rows = [r for s, n, c in ((11, 90, 1), (12, 40, 3), (13, 40, 4), (14, 30, 6)) for r in near_copies(s, n, c)]
+    copies = [(9000 + k, rows[k][1]) for k in range(0, len(rows), 20)]
+    sets = {i: shingles(t) for i, t in rows + copies}
+    want = set()
+    for a in sets:
+        for b in sets:
+            same = len(sets[a] & sets[b]) if a < b else 0
+            if same and 100 * same >= 80 * (len(sets[a]) + len(sets[b]) - same):
+                want.add((a, b))
+    found = jaccard.similar(frame(spark, rows + copies))
+    members = defaultdict(list)
+    for r in found.rows.collect():
+        members[r.cid].append(r[KEY])
+    classes = [(r.a, r.b) for r in found.links.collect()]
+    assert len(set(classes)) == len(classes) and all(a < b for a, b in classes)
+    # Rows of one class link, and rows of two classes where these do.
+    got = [(x, y) for a, b in [*classes, *((c, c) for c in members)] for x in members[a] for y in members[b] if a != b or x < y]
+    assert sorted((min(p), max(p)) for p in got) == sorted(want)
+    assert jaccard.similar(nothing).links.count() == 0
+
+
+def test_jaccard_join_components_alone(spark):
+    rows = [r for s, c in ((11, 1), (12, 2), (13, 4), (14, 6)) for r in near_copies(s, 40, c)]
+    found = jaccard.similar(frame(spark, rows), every_link=False)
+    assert found.links is None
+    assert by_id(found.rows, "n_shingles", "component") == expected(groups(rows))
+
+
 def test_one_of_each_group(edge):
     left = jaccard.one_of_each_group(edge)
     assert left.columns == edge.columns
