@@ -229,13 +229,16 @@ def _scores(model: Gam):
 
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Gam:
-    """A model of labels.quality, from at most max_rows labelled rows."""
+    """A model of labels.quality, from at most max_rows labelled rows: of the rows that share a labelled id, the text with the least print."""
     rows = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
     sample = rows.select(F.col("doc_id").cast("long").alias("_id"), F.col("quality").cast("int").alias("quality"))
     sample = sample.orderBy(F.xxhash64("_id"), "_id", "quality").limit(max_rows)
     texts = keyed(docs)
-    found = texts.join(F.broadcast(sample), F.col(KEY) == F.col("_id")).select("quality", "text")
-    seen = found.mapInArrow(_features, "quality int, x array<double>").limit(2 * max_rows).collect()
+    # One text an id, so that no more rows than those of the sample come back.
+    known = texts.join(F.broadcast(sample.select("_id").distinct()), F.col(KEY) == F.col("_id"), "left_semi")
+    one = known.groupBy(KEY).agg(F.min(F.struct(PRINT, "text")).alias("first")).select(KEY, "first.text")
+    found = one.join(F.broadcast(sample), F.col(KEY) == F.col("_id")).select("quality", "text")
+    seen = found.mapInArrow(_features, "quality int, x array<double>").collect()
     if not seen:
         return Gam()
     seen.sort()  # the order of arrival must not matter

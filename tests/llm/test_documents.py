@@ -471,6 +471,16 @@ def test_classifier_on_edges(spark, edge, nothing):
     assert quality_gam.good_documents(edge, some).columns == edge.columns
 
 
+def test_classifier_learns_one_text_of_a_repeated_id(spark, monkeypatch):
+    rows = [(1, " ".join(lorem(k, 20 + k))) for k in range(60)] + [(i, " ".join(lorem(100 + i, 50))) for i in range(2, 6)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 6)], "doc_id long, quality int")
+    learned = []
+    monkeypatch.setattr(quality_gam.Gam, "fit", lambda x, y: learned.append((x.tolist(), y.tolist())) or quality_gam.Gam())
+    for docs in (rows, rows[::-1]):
+        quality_gam.train(frame(spark, docs), labels, max_rows=5)
+    assert [len(y) for _, y in learned] == [5, 5] and learned[0] == learned[1]
+
+
 def test_null_id_is_given_back(edge):
     assert NO_ID not in [r[0] for r in by_id(quality_rules.judge(edge), "kept")]
     assert sha256("") == "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
