@@ -1,13 +1,12 @@
-"""Repeated byte strings by bucket-pointer refinement, as in suffix array construction.
+"""Repeated byte strings by seeds and regions over bytes. This stands in place of bucket-pointer refinement (as in suffix array construction).
 
-Positions (suffixes) are bucketed by their first q bytes. A bucket pointer is an identifier of a bucket that follows from its content, so
-that all tasks agree without a global sort. Buckets are refined by the pointers of later offsets, and the refined pointers are used
-again: the pointer of 2m bytes at x joins those of m bytes at x and at x + m, until it stands for `length` bytes.
+A pointer is a hash of the bytes at a position, so that all tasks agree on it without a global sort. Pointers are doubled: that of 2m bytes
+at x joins those of m bytes at x and at x + m, until it stands for `length` bytes. This is done for every position of every text; no
+bucket is sorted or refined by itself, and one direct hash of `length` bytes would give the same equalities.
 
-Only buckets of several members are worth refining. So the first sort is on a sample that cannot miss a repeat: the position with the
-least q-gram pointer of each window. Its bucket is split by the pointers around it (the region it stands for); members equal in them are
-settled together, and only buckets that still hold different regions are refined down to single positions (see matches.py). Within one
-document the same is done where the text is read.
+The first sort is on a sample that cannot miss a repeat: the position with the least q-byte pointer of each window. Its seed is split by
+the pointers around it (the region it stands for); members equal in them are settled together, and only seeds that still have different
+regions are compared at single positions (see matches.py). Within one document the same is done where the text is read.
 
 Every byte in a string of `length` bytes that starts earlier too, in a smaller id or before in the same document, is removed.
 
@@ -35,7 +34,7 @@ OUT_SQL = f"{KEY} long, {PRINT} long, n_bytes long, n_removed long, spans array<
 
 
 def refined(pointers: np.ndarray, later: int, count: int) -> np.ndarray:
-    """Pointers of buckets split by the pointers `later` positions on."""
+    """Pointers joined with those `later` positions on."""
     return scan.mix(pointers[:count] + scan.mix(pointers[later : later + count]))
 
 
