@@ -9,13 +9,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymart.llm.shared import stored
+from tallymart.llm.shared import narrow, stored
 
 POINTERS = pa.schema([("node", pa.int64()), ("root", pa.int64())])
 
 
 #: Links that a task joins at a time.
 HELD = 200_000
+BROADCAST_ROWS = 500_000
 
 
 def _roots(a: np.ndarray, z: np.ndarray) -> pa.RecordBatch:
@@ -52,8 +53,8 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def components(links: DataFrame, name: str = "components") -> DataFrame:
     """node, root: for each node of links (a, b) that is not the smallest of its component, the smallest.
 
-    Each round joins links within tasks, gives a node that points to several roots the smallest, and links the others to that. Rounds
-    are written; they end when no node points to several roots, or to a node that points on."""
+    Each round joins links within tasks, gives a node that points to several roots the smallest, and links the others to that. What points to a
+    node that points on is moved to where that points, so that chains over many tasks get shorter in every round. Rounds are written; they end when no node points to several roots, or to a node that points on."""
     edges = links.select(F.col("a").cast("long").alias("node"), F.col("b").cast("long").alias("root")).where("node != root")
     while True:
         # Every node comes once from what is held together, so none has many rows.
@@ -65,3 +66,5 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         wrong = seen.groupBy("node").agg(F.min(F.when(F.col("aim") == 0, F.col("root"))).alias("low"), F.max(F.when(F.col("aim") == 0, F.col("root"))).alias("high"), F.max("aim").alias("aim"))
         if wrong.where("low < high OR (aim = 1 AND low IS NOT NULL)").isEmpty():
             return stored(edges.distinct(), f"{name}-done")
+        onward = wrong.where("aim = 1 AND low IS NOT NULL").select(F.col("node").alias("root"), "low")
+        edges = edges.join(narrow(onward, BROADCAST_ROWS), "root", "left").select("node", F.coalesce("low", "root").alias("root"))

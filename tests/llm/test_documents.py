@@ -277,6 +277,30 @@ def test_tree_join_loses_no_link(picks, spread):
                 assert (a, b) in found
 
 
+def test_components_end_where_each_task_holds_few_links(spark, monkeypatch):
+    import tallymart.llm.components as module
+
+    rounds = []
+
+    def counted(df, name, write=module.stored):
+        rounds.append(name)
+        assert len(rounds) < 20
+        return write(df, name)
+
+    monkeypatch.setattr(module, "stored", counted)
+    few = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.files.openCostInBytes": str(1 << 27)}
+    before = {k: spark.conf.get(k) for k in few}
+    try:
+        for k, v in few.items():
+            spark.conf.set(k, v)
+        links = spark.range(199).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")).repartition(16, "b")
+        got = {r.node: r.root for r in components(links).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == dict.fromkeys(range(1, 200), 0)
+
+
 def test_components_of_a_long_chain(spark):
     n = 3000
     links = spark.range(n - 1).select((F.col("id") * 7919 % n).alias("a"), ((F.col("id") + 1) * 7919 % n).alias("b")).repartition(5)
