@@ -1,25 +1,27 @@
 """N-gram Jaccard join by signature trees.
 
 A document's set is its distinct word shingles, as 64-bit hashes. Two documents link when 100 * intersection >= percent * union.
-1. One pass makes each row's set size, set hash and signature (a bitmap with a bit per hash, some four times as wide as the set is large), and reports
-   shingles that are frequent in its slice. Rows with equal sets are one class; from here on one row stands for each class.
-2. Shingles are ordered, those frequent in the corpus last. Linked sets share a shingle among the first |set| - ceil(0.8 |set|) + 1 of
-   each in any order, so every class is dealt to the buckets of these prefix shingles. No bucket can hold a large part of the rows: a
-   class has one row in a bucket and as many rows as its prefix is long.
-3. Buckets are joined with signature trees: nodes hold the OR of the bitmaps below and the range of set sizes. A dual traversal from the
-   root drops pairs of nodes (later of rows) whose sizes, places of the shared shingle, or bitmaps allow no sufficient overlap. Large
-   buckets are dealt in blocks.
+1. One pass makes each row's set size, set hash and signature (a bitmap with a bit per hash, two to four times as wide as the set is large), and
+   counts the shingles of all its rows in a sketch: SLOTS counters, of which a shingle has one. The sketches of all tasks are summed.
+   Rows with equal sets are one class; from here on one row stands for each class, however often it is repeated.
+2. Shingles are ordered by rarity, as the sketch has it. The order need not be true, but is the same for all tasks. Linked sets share a
+   shingle among the first |set| - ceil(0.8 |set|) + 1 of each in any order, so every class is dealt to the buckets of these prefix
+   shingles. Rows without another of fitting size in a bucket leave it; rare shingles are mostly held by one class alone.
+   Buckets with the same leader (their smallest set) become one group, in which a class has one row, and one bitmap, whatever it shares.
+3. Groups are joined with signature trees: nodes hold the OR of the bitmaps below and the range of set sizes. A dual traversal from the
+   root drops pairs of nodes (later of rows) whose sizes, places of the shared shingles, or bitmaps allow no sufficient overlap. Large
+   groups are dealt in blocks of like sizes, and only blocks whose sizes allow a link meet.
 4. Candidates are verified with the whole texts. All links are listed; their number grows with the square of a group's size.
 
 Where components alone are wanted (every_link=False), two things are spared:
-- Before the trees, classes near one another by size in the buckets of some shingles are candidates; those that are verified give
-  provisional components. A large group of near copies mostly becomes one component here, with a number of pairs linear in its size.
-  Only buckets that still hold several components go to the trees, and rows of one component are not compared there.
+- Before the trees, classes near one another by size in a group are candidates; those that are verified give provisional components. Near
+  copies mostly become one component here, with a number of pairs linear in theirs. Only groups that still hold several components go
+  to the trees, and rows of one component are not compared there.
 - Candidates are verified a few for each pair of components at a time, as one link joins them.
 Every link between different components has been verified or ruled out by a bound, so components are exact in both modes.
 
-Defined cases: a text without words has an empty set and links with nothing; rows that share an id link like others;
-a null id is smaller than all others; an empty table gives an empty result.
+Defined cases: a text without words has an empty set and links with nothing; rows that share an id link like others; repeated rows
+get equal results; a null id is smaller than all others; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -38,13 +40,13 @@ from tallymart.llm.shared import KEY, NO_ID, PRINT, id_back, keyed, narrow, row_
 
 U = np.uint64
 BROADCAST_ROWS = 500_000
-#: A shingle is reported by a slice if in so many of its documents, and frequent if reported for one in SHARE documents of the corpus.
-REPORT, SHARE = 3, 500
-#: Rows of a leaf, and rows of a block of a bucket that is dealt over several tasks.
+#: Counters of the sketch (16 MiB as broadcast), and those of a part that is summed by itself.
+SLOT_BITS, PART_BITS = 24, 18
+#: Rows of a leaf, and rows of a block of a group that is dealt over several tasks.
 LEAF, BLOCK = 32, 20_000
-#: Provisional components come from the buckets of each EACH-th shingle, and there from rows so many STEPS apart, in ROUNDS orders. They
-#: only save comparisons: what they do not join is left to the trees.
-EACH, STEPS, ROUNDS = 4, (1, 2, 3, 5, 8, 13, 21), 1
+#: Provisional components come from rows of a group so many STEPS apart, in ROUNDS orders. They only save comparisons: what they do not
+#: join is left to the trees.
+STEPS, ROUNDS = (1, 2, 3, 5, 8, 13, 21), 1
 
 
 @dataclass
@@ -75,18 +77,23 @@ def sets_of(texts: scan.Texts, shingle: int) -> Sets:
 
 
 def _width(size: np.ndarray) -> np.ndarray:
-    """Bits of a signature: a power of two not below four times the set's size, 64 to 16384."""
-    return (1 << np.clip(np.ceil(np.log2(np.maximum(4 * size, 1))).astype(np.int64), 6, 14)).astype(np.int64)
+    """Bits of a signature: a power of two not below twice the set's size, 64 to 16384."""
+    return (1 << np.clip(np.ceil(np.log2(np.maximum(2 * size, 1))).astype(np.int64), 6, 14)).astype(np.int64)
 
 
-PROFILE = pa.schema(
-    [(KEY, pa.int64()), (PRINT, pa.int64()), ("n", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()), ("bits", pa.binary()), ("frequent", pa.list_(pa.int64())), ("times", pa.list_(pa.int64()))]
-)
-PROFILE_SQL = f"{KEY} long, {PRINT} long, n long, c1 long, c2 long, bits binary, frequent array<long>, times array<long>"
+PROFILE = pa.schema([(KEY, pa.int64()), (PRINT, pa.int64()), ("n", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()), ("bits", pa.binary())])
+PROFILE_SQL = f"{KEY} long, {PRINT} long, n long, c1 long, c2 long, bits binary"
+#: Stands for n in rows that are parts of a task's sketch: c1 is the part, bits its counters.
+SKETCH = -1
+
+
+def slots(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> U(64 - SLOT_BITS)).astype(np.int64)
 
 
 def _profiles(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sketch = np.zeros(1 << SLOT_BITS, np.uint16)
         for b in batches:
             keys, prints = b.column(KEY).to_numpy(), b.column(PRINT).to_numpy()
             for i, j, texts in scan.slices(b.column("text")):
@@ -102,17 +109,54 @@ def _profiles(shingle: int):
                 flat[at[s.doc] * 8 + (s.hashes & (width[s.doc] - 1).astype(U)).astype(np.int64)] = 1
                 bits = np.packbits(flat)
                 cells = pa.BinaryArray.from_buffers(pa.binary(), j - i, [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(bits)])
-                ordered = np.sort(s.hashes)
-                starts = np.flatnonzero(scan.first_of_runs(ordered)) if len(ordered) else np.zeros(0, np.int64)
-                times = np.diff(np.append(starts, len(ordered)))
-                often = times >= REPORT
-                # The slice's frequent shingles ride on its first row.
-                lists = [pa.ListArray.from_arrays(pa.array([0] + [int(often.sum())] * (j - i), pa.int32()), pa.array(v)) for v in (scan.signed(ordered[starts[often]]), times[often].astype(np.int64))]
-                yield pa.RecordBatch.from_arrays([pa.array(keys[i:j]), pa.array(prints[i:j]), pa.array(n.astype(np.int64)), pa.array(c[0]), pa.array(c[1]), cells, *lists], schema=PROFILE)
+                np.add.at(sketch, slots(s.hashes), 1)
+                np.minimum(sketch, 60_000, out=sketch)
+                yield scan.batch(PROFILE, keys[i:j], prints[i:j], n.astype(np.int64), *c, cells)
+        parts = sketch.reshape(-1, 1 << min(PART_BITS, SLOT_BITS))
+        used = np.flatnonzero(parts.any(axis=1))
+        zero = np.zeros(len(used), np.int64)
+        packed = pa.array([pa.compress(parts[k].tobytes(), "zstd", asbytes=True) for k in used], pa.binary())
+        yield scan.batch(PROFILE, zero, zero, zero + SKETCH, used, zero, packed)
 
     return run
 
 
+LEVELS = pa.schema([("part", pa.int64()), ("levels", pa.binary())])
+
+
+def _levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parts of sketches, sorted by part: the sums of each part's counters, as their place among one another, 0 to 255.
+
+    Parts are ranges of a hash, so counters are spread alike over all parts."""
+    size = 1 << min(PART_BITS, SLOT_BITS)
+    held, total = None, None
+
+    def done() -> pa.RecordBatch:
+        used = total[total > 0]
+        cuts = np.unique(np.quantile(used, np.arange(1, 256) / 256, method="higher")) if len(used) else used
+        levels = np.searchsorted(cuts, total).astype(np.uint8)
+        return scan.batch(LEVELS, np.array([held]), pa.array([levels.tobytes()], pa.binary()))
+
+    for b in batches:
+        for part, cells in zip(b.column("part").to_pylist(), b.column("bits"), strict=True):
+            if part != held:
+                if held is not None:
+                    yield done()
+                held, total = part, np.zeros(size, np.int64)
+            total += np.frombuffer(pa.decompress(cells.as_py(), 2 * size, "zstd"), np.uint16)
+    if held is not None:
+        yield done()
+
+
+def rarity(sketches: DataFrame) -> np.ndarray:
+    """A level for each slot, rare ones lowest: a table of fixed size, whatever the input."""
+    rows = sketches.select(F.col("c1").alias("part"), "bits").repartition("part").sortWithinPartitions("part").mapInArrow(_levels, "part long, levels binary")
+    out = np.zeros((1 << max(0, SLOT_BITS - PART_BITS), 1 << min(PART_BITS, SLOT_BITS)), np.uint8)
+    for r in rows.collect():
+        out[r.part] = np.frombuffer(r.levels, np.uint8)
+    return out.ravel()
+
+
 def _needed(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     """The least overlap of linked sets of these sizes: o >= p (a + b) / (100 + p)."""
     return -(-percent * (a + b) // (100 + percent))
@@ -121,17 +165,16 @@ def _needed(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
 POSTING = pa.schema([("token", pa.int64()), ("cid", pa.int64()), ("n", pa.int32()), ("pos", pa.int32())])
 
 
-def _prefixes(shingle: int, percent: int, frequent):
-    """Prefix shingles of each class: hashes in ascending order, frequent ones behind the others."""
+def _prefixes(shingle: int, percent: int, levels):
+    """Prefix shingles of each class: the rarest, by level and hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        late = frequent.value
+        level = levels.value
         for b in batches:
             ids = b.column("cid").to_numpy()
             for i, j, texts in scan.slices(b.column("text")):
                 s = sets_of(texts, shingle)
-                last = np.isin(s.hashes, late)
-                order = np.lexsort((s.hashes, last, s.doc))
+                order = np.lexsort((s.hashes, level[slots(s.hashes)], s.doc))
                 n = s.sizes()
                 keep = np.where(n > 0, n - -(-percent * n // 100) + 1, 0)
                 doc, pos = scan.within(keep)
@@ -140,23 +183,37 @@ def _prefixes(shingle: int, percent: int, frequent):
     return run
 
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by token: those whose token another class has too. Holds a row of each batch for the next."""
-    held = None
-    for b in batches:
-        if not b.num_rows:
-            continue
-        rows = [b.column(k).to_numpy() for k in range(4)]
-        token = rows[0]
-        before = np.concatenate([[held is not None and held[0][0] == token[0]], token[1:] == token[:-1]])
-        after = np.append(token[1:] == token[:-1], False)
-        if held is not None and (held[1] or before[0]):  # the row held: shared if the token went on or had begun before
-            yield scan.batch(POSTING, *[np.array([x]) for x in held[0]])
-        pick = (before | after)[:-1]
-        yield scan.batch(POSTING, *(c[:-1][pick] for c in rows))
-        held = ([c[-1] for c in rows], bool(before[-1]))
-    if held is not None and held[1]:
-        yield scan.batch(POSTING, *[np.array([x]) for x in held[0]])
+GROUPED = pa.schema([("leader", pa.int64()), ("cid", pa.int64()), ("n", pa.int32()), ("pos", pa.int32())])
+
+
+def _led(percent: int):
+    """Rows sorted by (token, n): those with another row of their token whose size allows a link, and the leader, their token's first row.
+
+    Holds the last row of a batch for the next."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # (token, cid, n, pos, whether a row before fits) and the leader of its token
+        for b in batches:
+            if not b.num_rows:
+                continue
+            token, cid, n, pos = (b.column(k).to_numpy() for k in range(4))
+            fits_first, lead = False, None
+            if held is not None:
+                token, cid, n, pos = (np.append(np.array([h], c.dtype), c) for h, c in zip(held[:4], (token, cid, n, pos), strict=True))
+                fits_first, lead = held[4], held[5]
+            fits = (token[1:] == token[:-1]) & (100 * n[:-1].astype(np.int64) >= percent * n[1:].astype(np.int64))
+            before, after = np.append(fits_first, fits), np.append(fits, False)
+            head = scan.first_of_runs(token)
+            leader = cid[np.flatnonzero(head)][np.cumsum(head) - 1]
+            if lead is not None:
+                leader[token == token[0]] = lead
+            pick = (before | after)[:-1]
+            yield scan.batch(GROUPED, *(c[:-1][pick] for c in (leader, cid, n, pos)))
+            held = (token[-1], cid[-1], n[-1], pos[-1], bool(before[-1]), leader[-1])
+        if held is not None and held[4]:
+            yield scan.batch(GROUPED, *[np.array([held[k]]) for k in (5, 1, 2, 3)])
+
+    return run
 
 
 PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -169,7 +226,7 @@ def _may_link(n1, n2, p1, p2, percent: int) -> np.ndarray:
 
 
 def _neighbours(percent: int):
-    """Candidates of different components: rows a few STEPS apart in a bucket sorted by (token, size, class).
+    """Candidates of different components: rows a few STEPS apart in a group sorted by (leader, size).
 
     Of the pairs of two components, each batch gives the first."""
 
@@ -178,12 +235,12 @@ def _neighbours(percent: int):
         for b in batches:
             old = len(held[0])
             rows = tuple(np.append(h, b.column(k).to_numpy().astype(np.int64)) for k, h in enumerate(held))
-            token, cid, n, _, comp = rows
+            leader, cid, n, _, comp = rows
             pairs = [np.zeros((0, 4), np.int64)]
             for step in STEPS:
-                late = np.arange(max(old, step), len(token))
+                late = np.arange(max(old, step), len(leader))
                 early = late - step
-                ok = (token[late] == token[early]) & (comp[late] != comp[early]) & (100 * np.minimum(n[late], n[early]) >= percent * np.maximum(n[late], n[early]))
+                ok = (leader[late] == leader[early]) & (comp[late] != comp[early]) & (100 * np.minimum(n[late], n[early]) >= percent * np.maximum(n[late], n[early]))
                 late, early = late[ok], early[ok]
                 ends = np.sort(np.column_stack([comp[early], comp[late]]), axis=1)
                 pairs.append(np.column_stack([ends, np.sort(np.column_stack([cid[early], cid[late]]), axis=1)]))
@@ -211,15 +268,15 @@ def _count(bits: np.ndarray) -> np.ndarray:
 
 
 class Node:
-    """Rows [start, end) of a bucket: the OR of their bitmaps, their sizes' range, and the fewest bits one of them has."""
+    """Rows [start, end) of a group: the OR of their bitmaps, their sizes' range, and the fewest bits one of them has."""
 
     def __init__(self, start: int, end: int, width: int, either: np.ndarray, low: int, high: int, fewest: int, parts: list[Node]):
         self.start, self.end, self.width, self.either = start, end, width, either
         self.low, self.high, self.fewest, self.parts = low, high, fewest, parts
 
 
-class Bucket:
-    """Rows of one bucket, sorted by size, with a signature tree over them."""
+class Group:
+    """Rows of one group, sorted by size, with a signature tree over them."""
 
     def __init__(self, cid, n, pos, comp, bits: list[bytes]):
         order = np.lexsort((cid, n))
@@ -262,21 +319,21 @@ def _nodes_may_link(x: Node, y: Node, percent: int) -> bool:
     return most >= int(_needed(np.int64(x.low), np.int64(y.low), percent))
 
 
-def _row_pairs(bucket: Bucket, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+def _row_pairs(group: Group, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
     """Which of the pairs of rows (i, j) may link."""
-    n, pos = bucket.n, bucket.pos
-    ok = (bucket.comp[i] != bucket.comp[j]) & _may_link(n[i], n[j], pos[i], pos[j], percent)
+    n, pos = group.n, group.pos
+    ok = (group.comp[i] != group.comp[j]) & _may_link(n[i], n[j], pos[i], pos[j], percent)
     at = np.flatnonzero(ok)
     if not len(at):
         return at
     i, j = i[at], j[at]
-    widths = np.array([len(b) for b in bucket.bits])
+    widths = np.array([len(b) for b in group.bits])
     width = np.minimum(widths[i], widths[j])
     keep = np.zeros(len(at), bool)
     for w in np.unique(width):
         sel = np.flatnonzero(width == w)
         used, where = np.unique(np.concatenate([i[sel], j[sel]]), return_inverse=True)
-        rows = np.stack([_fold(bucket.bits[k][None, :], int(w))[0] for k in used])
+        rows = np.stack([_fold(group.bits[k][None, :], int(w))[0] for k in used])
         for part in np.array_split(np.arange(len(sel)), max(1, len(sel) * int(w) // (8 << 20) + 1)):
             x, y = rows[where[part]], rows[where[len(sel) + part]]
             a, b = n[i[sel[part]]], n[j[sel[part]]]
@@ -285,11 +342,11 @@ def _row_pairs(bucket: Bucket, i: np.ndarray, j: np.ndarray, percent: int) -> np
     return at[keep]
 
 
-def tree_join(bucket: Bucket, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Classes of rows of different components that may link, by dual traversal of the bucket's tree with itself."""
-    if len(bucket.n) < 2:
+def tree_join(group: Group, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Classes of rows of different components that may link, by dual traversal of the group's tree with itself."""
+    if len(group.n) < 2:
         return
-    root = bucket.tree()
+    root = group.tree()
     todo = [(root, root)]
     while todo:
         x, y = todo.pop()
@@ -306,21 +363,21 @@ def tree_join(bucket: Bucket, percent: int) -> Iterator[tuple[np.ndarray, np.nda
         i, j = (v.ravel() for v in np.meshgrid(np.arange(x.start, x.end), np.arange(y.start, y.end), indexing="ij"))
         if x is y:
             i, j = i[i < j], j[i < j]
-        at = _row_pairs(bucket, i, j, percent)
+        at = _row_pairs(group, i, j, percent)
         if len(at):
-            yield bucket.cid[i[at]], bucket.cid[j[at]]
+            yield group.cid[i[at]], group.cid[j[at]]
 
 
 def _tree_candidates(percent: int):
-    """Rows sorted by (token, part): each bucket, or part of a bucket, at a time."""
+    """Rows sorted by (leader, part): each group, or part of a group, at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
-        def buckets(t: pa.Table, last: bool):
-            token, part = t.column("token").to_numpy(), t.column("part").to_numpy()
-            at = np.flatnonzero(scan.first_of_runs(token, part))
-            ends = np.append(at[1:], len(token))
+        def joined(t: pa.Table, last: bool):
+            leader, part = t.column("leader").to_numpy(), t.column("part").to_numpy()
+            at = np.flatnonzero(scan.first_of_runs(leader, part))
+            ends = np.append(at[1:], len(leader))
             stop = len(at) if last else len(at) - 1
             cid, n, pos, comp, bits = (t.column(c) for c in ("cid", "n", "pos", "comp", "bits"))
             cid, n, pos, comp = (c.to_numpy().astype(np.int64) for c in (cid, n, pos, comp))
@@ -328,7 +385,7 @@ def _tree_candidates(percent: int):
             a, b = [], []
             for s, e in zip(at[:stop].tolist(), ends[:stop].tolist(), strict=True):
                 if len(set(comp[s:e].tolist())) > 1:
-                    for x, y in tree_join(Bucket(cid[s:e], n[s:e], pos[s:e], comp[s:e], bits[s:e]), percent):
+                    for x, y in tree_join(Group(cid[s:e], n[s:e], pos[s:e], comp[s:e], bits[s:e]), percent):
                         a.append(np.minimum(x, y))
                         b.append(np.maximum(x, y))
             rest = t.slice(int(at[stop])) if stop < len(at) else None
@@ -338,12 +395,12 @@ def _tree_candidates(percent: int):
         for b in batches:
             if b.num_rows:
                 held.append(b)
-                if b.column("token")[0] != b.column("token")[-1] or b.column("part")[0] != b.column("part")[-1] or len(held) > 1:
-                    out, rest = buckets(pa.Table.from_batches(held), False)
+                if b.column("leader")[0] != b.column("leader")[-1] or b.column("part")[0] != b.column("part")[-1] or len(held) > 1:
+                    out, rest = joined(pa.Table.from_batches(held), False)
                     yield out
                     held = rest.to_batches() if rest is not None else []
         if held:
-            yield buckets(pa.Table.from_batches(held), True)[0]
+            yield joined(pa.Table.from_batches(held), True)[0]
 
     return run
 
@@ -377,7 +434,7 @@ def _bounded(percent: int):
             m = len(a)
             if not m:
                 continue
-            pairs = Bucket.__new__(Bucket)
+            pairs = Group.__new__(Group)
             pairs.cid, pairs.n, pairs.pos, pairs.comp = np.arange(2 * m), n, np.zeros(2 * m, np.int64), np.arange(2 * m)
             pairs.bits = [np.frombuffer(x, np.uint8) for c in ("bits_a", "bits_b") for x in b.column(c).to_pylist()]
             at = _row_pairs(pairs, np.arange(m), np.arange(m, 2 * m), percent)
@@ -399,23 +456,28 @@ def similar(docs: DataFrame, shingle: int = 5, percent: int = 80, every_link: bo
     """Links and components; with every_link=False components alone, without comparing rows that are known to be in one."""
     spark = docs.sparkSession
     texts = keyed(docs)
-    profiles = stored(texts.mapInArrow(_profiles(shingle), PROFILE_SQL), "op5-profiles")
-    total = profiles.count()
-    reported = profiles.select(F.explode(F.arrays_zip("frequent", "times")).alias("r")).select("r.*")
-    often = reported.groupBy("frequent").agg(F.sum("times").alias("times")).where(F.col("times") * SHARE >= total)
-    # At most SHARE times the mean set size: sums over shingles cannot exceed the sum of set sizes.
-    frequent = spark.sparkContext.broadcast(np.array([r.frequent for r in often.select("frequent").collect()], np.int64).view(U))
+    made = stored(texts.mapInArrow(_profiles(shingle), PROFILE_SQL), "op5-profiles")
+    profiles = made.where(F.col("n") != SKETCH)
+    levels = spark.sparkContext.broadcast(rarity(made.where(F.col("n") == SKETCH)))
 
     # Classes of equal sets; cid numbers them, and the smallest row stands for each.
-    classes = profiles.where("n > 0").groupBy("n", "c1", "c2").agg(F.min(F.struct(KEY, PRINT)).alias("first"), F.min("bits").alias("bits"))
-    classes = stored(classes.select("n", "c1", "c2", "first", "bits", F.monotonically_increasing_id().alias("cid")), "op5-classes")
-    heads = classes.select(F.col(f"first.{KEY}").alias(KEY), F.col(f"first.{PRINT}").alias(PRINT), "cid")
-    # Rows equal in id and text have equal sets; one of them is enough.
-    standing = texts.join(narrow(heads, BROADCAST_ROWS), [KEY, PRINT]).select("cid", "text")
-
-    dealt = standing.mapInArrow(_prefixes(shingle, percent, frequent), "token long, cid long, n int, pos int")
+    classes = profiles.where("n > 0").groupBy("n", "c1", "c2").agg(F.min(F.struct(KEY, PRINT)).alias("first"), F.min("bits").alias("bits"), F.count(F.lit(1)).alias("rows"))
+    classes = stored(classes.select("n", "c1", "c2", "first", "bits", "rows", F.monotonically_increasing_id().alias("cid")), "op5-classes")
+    heads = classes.select(F.col(f"first.{KEY}").alias(KEY), F.col(f"first.{PRINT}").alias(PRINT), "cid", "rows")
+    heads = texts.join(narrow(heads, BROADCAST_ROWS), [KEY, PRINT])
+    # Where several rows have one set, that which stands for it may be given more than once: one of them is enough.
+    again = stored(heads.where("rows > 1").select("cid", "text").dropDuplicates(["cid"]), "op5-repeated")
+    standing = heads.where("rows = 1").select("cid", "text").unionByName(again)
+
+    dealt = standing.mapInArrow(_prefixes(shingle, percent, levels), "token long, cid long, n int, pos int")
     dealt = dealt.repartition("token").sortWithinPartitions("token", "n", "cid")
-    shared = stored(dealt.mapInArrow(_shared, "token long, cid long, n int, pos int"), "op5-shared")
+    led = dealt.mapInArrow(_led(percent), "leader long, cid long, n int, pos int")
+    # A shared shingle stands no earlier than the first that the group has of a row.
+    shared = stored(led.groupBy("leader", "cid").agg(F.min("n").alias("n"), F.min("pos").alias("pos")), "op5-groups")
+
+    # Texts that some candidate may ask for are kept once, for all rounds of verification.
+    partners = narrow(shared.select("cid").distinct(), BROADCAST_ROWS)
+    standing = stored(standing.join(partners, "cid", "left_semi"), "op5-texts")
 
     signs = classes.select("cid", "n", "bits")
     if every_link:
@@ -433,17 +495,34 @@ def similar(docs: DataFrame, shingle: int = 5, percent: int = 80, every_link: bo
 
 
 def _from_trees(all_rows: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
-    """Candidates of the signature trees: pairs of classes of different components, from the buckets that hold several."""
-    mixed = all_rows.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("rows")).where("low < high")
-    mixed = mixed.select("token", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks"))
-    rows = all_rows.join(mixed, "token").join(signs.select("cid", "bits"), "cid")
-    # A bucket of several blocks is joined block by block: a row goes to each pair of blocks that its own is in.
-    own = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    rows = rows.select("*", own.alias("own")).select("*", other.alias("other"))
-    part = F.least("own", "other") * F.col("blocks") + F.greatest("own", "other")
-    rows = rows.select("token", part.cast("int").alias("part"), "cid", "n", "pos", "comp", "bits")
-    return rows.repartition("token", "part").sortWithinPartitions("token", "part").mapInArrow(_tree_candidates(percent), "a long, b long").distinct()
+    """Candidates of the signature trees: pairs of classes of different components, from the groups that hold several."""
+    mixed = all_rows.groupBy("leader").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("rows")).where("low < high")
+    rows = all_rows.join(mixed.select("leader", "rows"), "leader")
+    whole = rows.where(F.col("rows") <= BLOCK).select("leader", F.lit(0).cast("long").alias("part"), "cid", "n", "pos", "comp")
+    parts = whole.unionByName(_blocks(rows.where(F.col("rows") > BLOCK), percent)).join(signs.select("cid", "bits"), "cid")
+    parts = parts.select("leader", "part", "cid", "n", "pos", "comp", "bits")
+    return parts.repartition("leader", "part").sortWithinPartitions("leader", "part").mapInArrow(_tree_candidates(percent), "a long, b long").distinct()
+
+
+def _blocks(rows: DataFrame, percent: int) -> DataFrame:
+    """Rows of large groups, once for each pair of blocks (part) that their own block meets.
+
+    Sizes are cut into classes, each 100 / percent times as far up as the one before, so that rows link only within a class or with the next;
+    a class is dealt in blocks by a hash."""
+    own = rows.withColumn("class", F.floor(F.log("n") / F.log(F.lit(100 / percent))).cast("int") if percent < 100 else F.col("n"))
+    blocks = own.groupBy("leader", "class").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    own = own.join(blocks, ["leader", "class"]).withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
+    # A part is named by its lower block and its higher block.
+    near = blocks.select("leader", (F.col("class") - 1).alias("class"), F.col("blocks").alias("above"))
+    far = blocks.select("leader", (F.col("class") + 1).alias("class"), F.col("blocks").alias("below"))
+    own = own.join(near, ["leader", "class"], "left").join(far, ["leader", "class"], "left")
+    name = lambda c1, b1, c2, b2: F.xxhash64(c1, b1, c2, b2)
+    each = lambda count: F.sequence(F.lit(0), F.coalesce(count, F.lit(0)))
+    this, at = F.col("class"), F.col("block")
+    within = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: name(this, F.least(at, x), this, F.greatest(at, x)))
+    above = F.transform(F.filter(each(F.col("above")), lambda x: x < F.col("above")), lambda x: name(this, at, this + 1, x))
+    below = F.transform(F.filter(each(F.col("below")), lambda x: x < F.col("below")), lambda x: name(this - 1, x, this, at))
+    return own.select("leader", F.explode(F.concat(within, above, below)).alias("part"), "cid", "n", "pos", "comp")
 
 
 def _joined_components(shared: DataFrame, signs: DataFrame, standing: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -451,9 +530,9 @@ def _joined_components(shared: DataFrame, signs: DataFrame, standing: DataFrame,
     pair = ["a", "b"]
     asked = known = None
     for turn in range(ROUNDS):
-        early = _with_components(shared.where(F.pmod("token", F.lit(EACH)) == 0), known)
+        early = _with_components(shared, known)
         # Rows of one size come in another order each time.
-        near = early.repartition("token").sortWithinPartitions("token", "n", F.xxhash64("cid", F.lit(turn)), "cid").mapInArrow(_neighbours(percent), "a long, b long").distinct()
+        near = early.repartition("leader").sortWithinPartitions("leader", "n", F.xxhash64("cid", F.lit(turn)), "cid").mapInArrow(_neighbours(percent), "a long, b long").distinct()
         near = near.join(asked, pair, "left_anti") if asked is not None else near
         fresh = stored(_with_signs(near, signs, percent), "op5-near")
         found = stored(_verified(fresh, standing, shingle, percent), "op5-links")
@@ -510,15 +589,21 @@ def _verified(pairs: DataFrame, standing: DataFrame, shingle: int, percent: int)
 
 
 def one_of_each_group(docs: DataFrame, **options) -> DataFrame:
-    """The rows of docs that are the first of their component, with all their columns; of rows equal in id and text, one.
+    """The rows of docs that are the first of their component, with all their columns; of rows equal in id and text, one: that whose columns,
+    as JSON, have the smallest hash.
 
     Of rows that share the smallest id of a component, that with the smallest print stays."""
     rows = similar(docs, **options, every_link=False).rows
     # A row without words is a group of its own.
     alone = F.when(F.col("root").isNull(), F.struct(KEY, PRINT))
     stay = rows.groupBy("root", alone.alias("alone")).agg(F.min(F.struct(KEY, PRINT)).alias("first")).select("first.*")
-    whole = docs.select(*row_key(), F.struct("*").alias("_row")).join(stay, [KEY, PRINT], "left_semi")
-    return whole.dropDuplicates([KEY, PRINT]).select("_row.*")
+    times = rows.groupBy(KEY, PRINT).agg(F.count(F.lit(1)).alias("_times"))
+    stay = stored(stay.join(times, [KEY, PRINT]), "op5-stay")
+    whole = docs.select(*row_key(), F.struct("*").alias("_row"))
+    once = whole.join(stay.where("_times = 1"), [KEY, PRINT], "left_semi").select("_row")
+    again = whole.join(stay.where("_times > 1"), [KEY, PRINT], "left_semi")
+    again = again.groupBy(KEY, PRINT).agg(F.min_by("_row", F.sha2(F.to_json("_row"), 256)).alias("_row")).select("_row")
+    return once.unionByName(again).select("_row.*")
 
 
 def op5_jaccard_join(spark, sf_dir) -> DataFrame:

@@ -268,7 +268,7 @@ def test_tree_join_loses_no_link(picks, spread):
         flat = np.zeros(int(jaccard._width(np.array([len(s)]))[0]), np.uint8)
         flat[(s & np.uint64(len(flat) - 1)).astype(np.int64)] = 1
         bits.append(np.packbits(flat).tobytes())
-    bucket = jaccard.Bucket(np.arange(len(sets)), n, np.zeros(len(sets), np.int64), np.arange(len(sets)), bits)
+    bucket = jaccard.Group(np.arange(len(sets)), n, np.zeros(len(sets), np.int64), np.arange(len(sets)), bits)
     found = {(min(a, b), max(a, b)) for x, y in jaccard.tree_join(bucket, 80) for a, b in zip(x.tolist(), y.tolist(), strict=True)}
     for a in range(len(sets)):
         for b in range(a + 1, len(sets)):
