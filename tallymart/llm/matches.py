@@ -204,7 +204,8 @@ class Found:
 
 def repeated_in_smaller(docs: DataFrame, reader: Reader, name: str) -> Found:
     """Regions and windows of each row that a row with a smaller id holds too. docs: row key and text."""
-    rows = docs.mapInArrow(_regions(reader), ROWS_SQL)
+    # Stored first: the splitters of the ranges come from a look at these rows, and the texts are read once for both.
+    rows = stored(docs.mapInArrow(_regions(reader), ROWS_SQL), f"{name}-seeds")
     ranged = rows.repartitionByRange("seed", "kind", KEY, PRINT).sortWithinPartitions("seed", "kind", KEY, PRINT)
     settled = stored(ranged.mapInArrow(_settle_regions, ROWS_SQL), f"{name}-regions")
     single = settled.where(F.col("verdict") == SINGLE).groupBy(KEY, PRINT).agg(F.collect_set("kind").alias("kinds"))

@@ -1,10 +1,10 @@
 """Repeated byte strings by seeds and regions over bytes. This stands in place of bucket-pointer refinement (as in suffix array construction).
 
-A pointer is a hash of the bytes at a position, so that all tasks agree on it without a global sort. Pointers are doubled: that of 2m bytes
-at x joins those of m bytes at x and at x + m, until it stands for `length` bytes. This is done for every position of every text; no
-bucket is sorted or refined by itself, and one direct hash of `length` bytes would give the same equalities.
+Refinement by rank tables needs a row for each byte that is in a bucket of several members, and moves it in every round; README has what
+that would cost. Here a pointer is a hash of the bytes at a position, made where the text is, so that all tasks agree on it without a sort of
+positions: that of 2m bytes at x joins those of m bytes at x and at x + m, until it stands for `length` bytes.
 
-The first sort is on a sample that cannot miss a repeat: the position with the least q-byte pointer of each window. Its seed is split by
+The first sort is on a sample that cannot miss a repeat: the position with the least pointer of q = length / 2 bytes of each window. Its seed is split by
 the pointers around it (the region it stands for); members equal in them are settled together, and only seeds that still have different
 regions are compared at single positions (see matches.py). Within one document the same is done where the text is read.
 
@@ -40,7 +40,7 @@ def refined(pointers: np.ndarray, later: int, count: int) -> np.ndarray:
 
 def _units(length: int):
     def read(texts: scan.Texts) -> Units:
-        n, q = len(texts.buf), max(1, length // 4)
+        n, q = len(texts.buf), max(1, length // 2)
         at = np.arange(max(0, n - q + 1))
         first = pointers = scan.mix(scan.stretch(scan.byte_sums(texts.buf), at, at + q))
         m = q
