@@ -12,11 +12,13 @@ first turn of each branch) and the turn, so a reply comes after what it replies
 own text without quotes, without lines that announce a quote, and without blank lines at both ends.
 
 Only conversations with a quote are joined; others keep their turns. A conversation is never gathered: rows are keyed by conversation
-and hash, and running maxima are taken over stretches of `stretch` turns.
+and hash. The message a passage comes from is found as of its turn: passages and messages with its hash are put in the order of turns, and
+the last message is carried forward within stretches of `stretch` turns, then from stretch to stretch. A line that every turn quotes thus
+costs one row for each quote. Passages joined by their single lines are the exception: they meet every earlier message with one of them.
 
 Defined cases: null texts are empty; null conv_id or turn stand for the smallest number (and come back as null); rows that share conv_id
-and turn are one place in the conversation and keep their own bodies; passages without words are none; an empty table gives an empty
-result.
+and turn are one place in the conversation and keep their own bodies; rows equal in these, role and text are joined once and get equal
+results; passages without words are none; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -81,7 +83,7 @@ def link_quotations(messages: DataFrame, stretch: int = 1024) -> Linked:
     some = narrow(quoting, BROADCAST_ROWS)
     mixed, plain = rows.join(some, "conv", "left_semi"), rows.join(some, "conv", "left_anti")
 
-    links = stored(_links(mixed), "op1-links")
+    links = stored(_links(mixed, stretch), "op1-links")
     first = F.min(F.struct("level", "start", "source"))
     branches = links.groupBy("conv", "turn").agg(first.alias("f")).select("conv", F.col("turn").alias("start"), F.col("f.source").alias("source"))
     turns = mixed.select("conv", "turn").distinct()
@@ -108,7 +110,8 @@ def link_quotations(messages: DataFrame, stretch: int = 1024) -> Linked:
     return Linked(out, links)
 
 
-def _links(mixed: DataFrame) -> DataFrame:
+def _links(mixed: DataFrame, stretch: int) -> DataFrame:
+    mixed = mixed.select(*PLACE, "text").distinct()
     lines = mixed.select(*PLACE, F.posexplode(lines_of(F.col("text"))).alias("pos", "line"))
     quoted = lines.select(*PLACE, "pos", level_of(F.col("line")).alias("level"), content_of(F.col("line")).alias("said")).where("level > 0")
     # Consecutive lines of one level: their place less their number is the same.
@@ -131,17 +134,35 @@ def _links(mixed: DataFrame) -> DataFrame:
     units = stored(units.distinct(), "op1-units")
 
     one = [*PLACE, "level", "start"]
-    before = F.col("source") < F.col("turn")
     asked = passages.select(*one, F.xxhash64("whole").alias("hash"), F.length("whole").alias("length"))
-    whole = asked.join(units, ["conv", "hash", "length"]).where(before).groupBy(*one).agg(F.max(F.struct(-F.col("kind"), "source")).alias("best"))
-    whole = whole.select(*one, F.col("best.source").alias("source"))
+    whole = stored(_last_before(asked, units, one, stretch), "op1-whole")
     parts = passages.join(whole, one, "left_anti").select(*one, F.posexplode("lines").alias("k", "line")).withColumn("said", normal(F.col("line"))).where("said != ''")
     parts = parts.select(*one, "k", F.xxhash64("said").alias("hash"), F.length("said").alias("length"))
+    before = F.col("source") < F.col("turn")
     counted = parts.join(units.where("kind = 2"), ["conv", "hash", "length"]).where(before).groupBy(*one, "source").agg(F.count(F.lit(1)).alias("lines"))
     some = counted.groupBy(*one).agg(F.max(F.struct("lines", "source")).alias("best")).select(*one, F.col("best.source").alias("source"))
     return whole.unionByName(some)
 
 
+def _last_before(asked: DataFrame, units: DataFrame, one: list[str], stretch: int) -> DataFrame:
+    """The columns `one` of each passage and its source: of the messages of a smaller turn with its hash, those of the smallest kind, the last of them."""
+    key, kinds = ["conv", "hash", "length"], ["s0", "s1", "s2"]
+    # Of one turn, passages come first: they do not see messages of their own turn.
+    quotes = asked.select(*key, F.col("turn").alias("at"), F.lit(0).alias("is_source"), F.struct(*one).alias("passage"), *[F.lit(None).cast("long").alias(s) for s in kinds])
+    sources = units.groupBy(*key, "source").agg(*[F.max(F.when(F.col("kind") == k, F.col("source"))).alias(s) for k, s in enumerate(kinds)])
+    sources = sources.select(*key, F.col("source").alias("at"), F.lit(1).alias("is_source"), F.lit(None).cast(quotes.schema["passage"].dataType).alias("passage"), *kinds)
+    rows = quotes.unionByName(sources).withColumn("part", F.floor(F.col("at") / stretch))
+    up_to = Window.partitionBy(*key, "part").orderBy("at", "is_source").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = rows.select(*key, "part", "passage", *[F.max(s).over(up_to).alias(s) for s in kinds]).where(F.col("passage").isNotNull())
+    parts = sources.withColumn("part", F.floor(F.col("at") / stretch)).groupBy(*key, "part").agg(*[F.max(s).alias(s) for s in kinds])
+    parts = parts.unionByName(inside.select(*key, "part").distinct(), allowMissingColumns=True).groupBy(*key, "part").agg(*[F.max(s).alias(s) for s in kinds])
+    earlier = Window.partitionBy(*key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = parts.select(*key, "part", *[F.max(s).over(earlier).alias(f"before_{s}") for s in kinds])
+    found = inside.join(carried, [*key, "part"])
+    source = F.coalesce(*[F.coalesce(s, f"before_{s}") for s in kinds])
+    return found.select("passage.*", source.alias("source")).where(F.col("source").isNotNull()).select(*one, "source")
+
+
 def _branch_of(turns: DataFrame, branches: DataFrame, stretch: int) -> DataFrame:
     """conv, turn, start: the largest first turn of a branch up to each turn; null before any."""
     rows = turns.join(branches.select("conv", F.col("start").alias("turn"), F.col("start").alias("begun")), ["conv", "turn"], "left")

@@ -29,6 +29,11 @@ TALK = [
     (3, 9, "user", "> a\n> b"),
     (3, 11, "x", ">> a\n\n> b"),
     *[(4, k, "user", f"> message {k - 1}\nmessage {k}") for k in range(40)],
+    *[(6, k, "user", "> Unquoted line.\n> more words\nyes") for k in (1, 1, 1, 2)],
+    *[(6, 0, "user", "Unquoted line.\nmore words\nthird")] * 2,
+    (6, 1, "user", "> Unquoted line.\n>> third\n> Unquoted line.\nyes"),
+    (6, 3, "user", "Unquoted line."),
+    *[(6, 4, "user", "> unquoted LINE.\nUnquoted line.")] * 2,
     *[(5, k, "user", f"line {k}\n" + "".join(f"{'>' * d} line {k - d}\n" for d in range(1, min(k, 9) + 1))) for k in range(0, 5000, 250)],
 ]
 
@@ -45,6 +50,40 @@ def comparable(names, rows):
     return sorted(tuple(str(r[i]) for i in order) for r in rows)
 
 
+def test_repeated_rows_are_linked_once(spark):
+    """A message that quotes two lines, given twice, has one link for both rows; passages begin where they do in one row."""
+    rows = [(1, 0, "user", "one line\n\nother line")] + [(1, 1, "user", "> one line\nyes\n> other line")] * 2
+    found = quotation.link_quotations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    assert [r.linked for r in found.messages.where("turn = 1").collect()] == [2, 2]
+    assert sorted((r.start, r.source) for r in found.links.collect()) == [(0, 0), (2, 0)]
+
+
+@pytest.mark.parametrize("stretch", [1, 7, 1024])
+def test_a_line_that_all_turns_quote(spark, monkeypatch, stretch):
+    """Each passage gets its last source, with a row for each quote and message, not for each pair of them."""
+    rows = [(1, k, "user", "> the same line\nthe same line") for k in range(2000)]
+    mixed = spark.createDataFrame(rows, "conv long, turn long, role string, text string").selectExpr("*", "xxhash64(role, text) AS mid")
+    kept, seen = quotation.stored, {}
+
+    def spy(df, name):
+        out = kept(df, name)
+        seen[name] = out.count()
+        return out
+
+    monkeypatch.setattr(quotation, "stored", spy)
+    found = quotation._links(mixed, stretch)
+    assert {(r.turn, r.source) for r in found.collect()} == {(k, k - 1) for k in range(1, 2000)}
+    assert seen == {"op1-passages": 2000, "op1-units": 6000, "op1-whole": 1999}
+
+
+@pytest.mark.parametrize("clash", [["_k", "line", "hash", "source", "part", "kind", "passage"]])
+def test_quotation_with_clashing_columns(spark, talk, clash):
+    df = spark.read.parquet(f"{talk}/conversations.parquet")
+    more = df.selectExpr("*", *[f"'x' AS {c}" for c in clash])
+    both = [sorted(map(str, quotation.link_quotations(x).messages.collect())) for x in (df, more)]
+    assert both[0] == both[1]
+
+
 def test_quotation_equals_sql(spark, talk):
     got = quotation.op1_quotation(spark, talk)
     con = duckdb.connect()
