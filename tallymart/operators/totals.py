@@ -1,6 +1,6 @@
 """Monthly totals per customer and per salesperson."""
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,18 +25,25 @@ def with_group_total(rows: DataFrame, keys: Sequence[str], amount: str, name: st
     )
 
 
-def _group_total(rows: DataFrame, keys: Sequence[str], attributes: Sequence[str]) -> DataFrame:
+Keep = Callable[[DataFrame], DataFrame]
+
+
+def _as_is(df: DataFrame) -> DataFrame:
+    return df
+
+
+def _group_total(rows: DataFrame, keys: Sequence[str], attributes: Sequence[str], keep: Keep) -> DataFrame:
     # One row per distinct (keys, attributes), each with the total over `keys` alone. The second
     # sum runs over rows that are already summed, one per variant of the attributes.
-    variants = rows.groupBy(*keys, *attributes).agg(F.sum("total_cost").alias("total_cost"))
+    variants = keep(rows.groupBy(*keys, *attributes).agg(F.sum("total_cost").alias("total_cost")))
     return with_group_total(variants, keys, "total_cost", "total_sales").drop("total_cost")
 
 
-def customer_monthly_of(mart: DataFrame) -> DataFrame:
+def customer_monthly_of(mart: DataFrame, keep: Keep = _as_is) -> DataFrame:
     """Month total per customer from any customer mart.
 
     A customer who appears with several addresses or names keeps one row for each, all with the
-    customer's whole total.
+    customer's whole total. `keep` may store the summed rows, which are read twice.
     """
     named = mart.select(
         "customer_id",
@@ -47,15 +54,15 @@ def customer_monthly_of(mart: DataFrame) -> DataFrame:
         "total_cost",
     )
     totals = _group_total(
-        named, ["customer_id", "sales_date_month"], ["full_name", "address", "phone_number"]
+        named, ["customer_id", "sales_date_month"], ["full_name", "address", "phone_number"], keep
     )
     return totals.select(
         "customer_id", "full_name", "address", "phone_number", "sales_date_month", "total_sales"
     )
 
 
-def sales_person_monthly_of(mart: DataFrame) -> DataFrame:
-    """Month total per store and salesperson from any sales mart."""
+def sales_person_monthly_of(mart: DataFrame, keep: Keep = _as_is) -> DataFrame:
+    """Month total per store and salesperson from any sales mart; `keep` as for customers."""
     named = mart.select(
         "store_id",
         "sales_person_id",
@@ -63,7 +70,7 @@ def sales_person_monthly_of(mart: DataFrame) -> DataFrame:
         "sales_month",
         "total_cost",
     )
-    totals = _group_total(named, ["store_id", "sales_person_id", "sales_month"], ["full_name"])
+    totals = _group_total(named, ["store_id", "sales_person_id", "sales_month"], ["full_name"], keep)
     return totals.select("store_id", "sales_person_id", "full_name", "sales_month", "total_sales")
 
 

@@ -66,7 +66,7 @@ def sales_mart(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _stored(mart: DataFrame) -> DataFrame:
-    """A detail mart as a run stores it: what reads it twice does not join twice."""
+    """Rows that are read twice, stored: what they are made of is not joined twice."""
     path = new_folder(mart.sparkSession, "mart")
     writers.write_parquet(mart, path)
     return mart.sparkSession.read.schema(mart.schema).parquet(path)
@@ -80,7 +80,7 @@ def customer_monthly_sales(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def customer_monthly_sales_window(spark: SparkSession, folder: str) -> DataFrame:
-    return totals.customer_monthly_of(_stored(customer_mart(spark, folder)))
+    return totals.customer_monthly_of(customer_mart(spark, folder), keep=_stored)
 
 
 def customer_line_totals(spark: SparkSession, folder: str) -> DataFrame:
@@ -108,7 +108,7 @@ def sales_person_monthly(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sales_person_monthly_window(spark: SparkSession, folder: str) -> DataFrame:
-    return totals.sales_person_monthly_of(_stored(sales_mart(spark, folder)))
+    return totals.sales_person_monthly_of(sales_mart(spark, folder), keep=_stored)
 
 
 def sales_person_rank(spark: SparkSession, folder: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallymart.functions.columns import fold_extras, sales_month
+from tallymart.functions.columns import EXTRA_SEPARATOR, sales_month
 from tallymart.schemas import (
     ADDITIONAL,
     CANONICAL,
@@ -23,18 +23,39 @@ from tallymart.schemas import (
 from tallymart.sources.files import literal_path
 
 
-_RAW_LINE = "raw_line"
+# A character that stands in no file: where it does, the reader hands out the whole line all the same.
+_NEVER = "\u0001"
+# Fields a line is cut into at least; wider headers double it.
+_LEAST_FIELDS = 16
 
 
-def _extra_name(position: int) -> str:
-    # Extra columns are read by position under names no file can clash with.
-    return f"extra_{position}"
+def read_lines(spark: SparkSession, files: Sequence[str]) -> DataFrame:
+    """The lines of CSV files as they are, without headers and blank lines.
 
+    The CSV reader drops each file's header; as its separator never occurs and nothing is a quote, a line is a
+    single field.
+    """
+    lines = (
+        spark.read.schema("line string, odd_line string")
+        .option("header", "true")
+        .option("sep", _NEVER)
+        .option("quote", "")
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", "odd_line")
+        .option("columnPruning", "false")
+        .csv([literal_path(f) for f in files])
+    )
+    return lines.select(F.coalesce("odd_line", "line").alias("line"), F.col("_metadata.file_path").alias("source_file"))
+
+
+def _plain_path(path: Column) -> Column:
+    """Files are named in two ways: a path as listed, and a URI in which characters are escaped."""
+    return F.regexp_replace(path, "^file:/+", "/")
 
-def csv_schema(header: Sequence[str]) -> T.StructType:
-    """Read schema for files with this header: every field as text, in file order."""
-    names = [name if name in MANDATORY else _extra_name(i) for i, name in enumerate(header)]
-    return T.StructType([T.StructField(name, T.StringType()) for name in [*names, _RAW_LINE]])
+
+def _width_class(width: int) -> int:
+    """How many fields lines of a file with so many columns are cut into: two more at least, and a power of two."""
+    return max(_LEAST_FIELDS, 1 << (width + 1).bit_length())
 
 
 _WIDE = T.DecimalType(38, 18)
@@ -54,39 +75,41 @@ def _typed(name: str) -> Column:
     return value
 
 
-def read_signature(spark: SparkSession, header: Sequence[str], files: Sequence[str]) -> DataFrame:
-    """All files sharing one header as canonical rows.
+def parse_lines(lines: DataFrame, places: DataFrame, fields: int) -> DataFrame:
+    """Lines of files with any headers as canonical rows, in one plan.
 
-    A row with too few or too many fields, or with a field that does not fit its type, carries its
-    text in `unparsed_line`. The conversion is spelled out instead of left to the CSV reader,
-    which checks only the columns a query happens to use: here the verdict on a row depends on
-    all of its columns, whatever is selected later.
+    `places` says for each file where its mandatory columns and its extras stand, and how many columns it has.
+    A marker is put behind a line's last field: in a line with the right number of fields it stands where the
+    header ends. A row with too few or too many fields, or with a field that does not fit its type, carries its
+    line in `unparsed_line`. The conversion is spelled out instead of left to the CSV reader, which
+    checks only the columns a query happens to use: here the verdict on a row depends on all of its columns,
+    whatever is selected later.
     """
-    fields = [name if name in MANDATORY else _extra_name(i) for i, name in enumerate(header)]
-    extras = [F.col(f) for f in fields if f not in MANDATORY]
+    uri = F.url_decode(F.replace("source_file", F.lit("+"), F.lit("%2B")))
+    # One row for each file of a run, whose number Options.files_per_run bounds.
+    rows = lines.withColumn("file", _plain_path(uri)).join(F.broadcast(places), "file")
+    filled = F.concat("line", F.lit("," + _NEVER), F.repeat(F.lit(","), F.lit(fields) - F.col("width") - 1))
+    cut = rows.withColumn("cut", F.from_csv(filled, ", ".join(f"c{i} string" for i in range(fields))))
+    # Exploded, one row to one: a projection would be put into each of its many uses below.
+    cut = cut.withColumn("fields", F.explode(F.array(F.array(*[F.col(f"cut.c{i}") for i in range(fields)]))))
+    at = lambda place: F.get(F.col("fields"), place)
+    extras = F.array_join(F.transform("extras", at), EXTRA_SEPARATOR)
     typed = [name for name in MANDATORY if name != "product_name"]
-    raw = (
-        spark.read.schema(csv_schema(header))
-        .option("header", "true")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", _RAW_LINE)
-        .option("columnPruning", "false")
-        .csv([literal_path(f) for f in files])
+    named = cut.select(
+        "line",
+        "source_file",
+        *[at(F.get("mandatory", F.lit(i))).alias(name) for i, name in enumerate(MANDATORY)],
+        F.when(F.size("extras") > 0, extras).alias(ADDITIONAL),
+        (at(F.col("width")).eqNullSafe(_NEVER) & at(F.col("width") + 1).isNull()).alias("whole"),
     )
     # Each field is converted once, below; the verdict on the row compares the result with the text.
-    converted = raw.select(
-        *fields,
-        _RAW_LINE,
-        F.col("_metadata.file_path").alias("source_file"),
-        *[_typed(name).alias(f"typed_{name}") for name in typed],
-    )
+    converted = named.select("*", *[_typed(name).alias(f"typed_{name}") for name in typed])
     unfit = [(F.col(name) != "") & F.col(f"typed_{name}").isNull() for name in typed]
     unfit = reduce(operator.or_, [F.coalesce(one, F.lit(False)) for one in unfit])
-    joined = F.to_csv(F.struct(*fields))
     return converted.select(
         *[F.col(f"typed_{name}" if name in typed else name).alias(name) for name in MANDATORY],
-        fold_extras(extras).alias(ADDITIONAL),
-        F.coalesce(F.col(_RAW_LINE), F.when(unfit, joined)).alias(UNPARSED),
+        ADDITIONAL,
+        F.when(~F.col("whole") | unfit, F.col("line")).alias(UNPARSED),
         "source_file",
     )
 
@@ -107,8 +130,21 @@ def stack_by_name(frames: Iterable[DataFrame]) -> DataFrame:
 
 
 def read_sales(spark: SparkSession, files: Mapping[tuple[str, ...], Sequence[str]]) -> DataFrame:
-    """Fact rows of files grouped by header; plan size follows distinct headers, not files."""
-    return stack_by_name(read_signature(spark, header, paths) for header, paths in files.items())
+    """Fact rows of files grouped by header. All files of like widths are one scan: the plan does not grow with headers."""
+    classes: dict[int, list[tuple[tuple[str, ...], Sequence[str]]]] = {}
+    for header, paths in files.items():
+        classes.setdefault(_width_class(len(header)), []).append((header, paths))
+    schema = "path string, mandatory array<int>, extras array<int>, width int"
+    frames = []
+    for fields, group in classes.items():
+        rows = []
+        for header, paths in group:
+            mandatory = [header.index(name) for name in MANDATORY]
+            extras = [i for i, name in enumerate(header) if name not in MANDATORY]
+            rows += [(path, mandatory, extras, len(header)) for path in paths]
+        places = spark.createDataFrame(rows, schema).withColumn("file", _plain_path(F.col("path"))).drop("path")
+        frames.append(parse_lines(read_lines(spark, [r[0] for r in rows]), places, fields))
+    return stack_by_name(frames)
 
 
 def to_store_rows(rows: DataFrame, batch: str) -> DataFrame:

@@ -182,6 +182,65 @@ def test_parts_of_cents_and_quotes_are_kept(spark, tmp_path):
     }
 
 
+def test_a_bad_row_keeps_its_line_as_it_was(spark, tmp_path):
+    """Byte for byte: quotes that were not needed, blanks, escapes, a header in mid-file, too few and too many fields."""
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    bad = [
+        'q,121,"sugar",2023-03-04,"1",50,1,50',
+        ' 1 ,121,sugar,2023-03-04,1,50,1,"5 0"',
+        'q,121,"salt \\"fine\\", white",2023-03-04,1,50,1,50',
+        ",".join(HEADER),
+        "1,121,sugar,2023-03-04,1,50,1,50,",
+        "1,121,sugar,2023-03-04,1,50,1,50,\u0001",
+        "1,121,sugar,2023-03-04,1,50,1",
+        "1,121,sugar,2023-03-04,1,50,\u0001",
+        "\u00e9,\u0001,x",
+    ]
+    good = '1,121,"sugar, ""brown""",2023-03-04,1,50,1,50'
+    for name, end in (("a b+c%20.csv", "\n"), ("d.csv", "\r\n")):
+        (inbox / name).write_bytes(end.join([",".join(HEADER), "", *bad, good, "  "]).encode())
+    df = sales.read_sales(spark, by_header(spark, inbox))
+    kept = sorted(r[0] for r in df.where(F.col(UNPARSED).isNotNull()).select(UNPARSED).collect())
+    assert kept == sorted(bad * 2)
+    assert rows(df.where(F.col(UNPARSED).isNull()).select("customer_id", "total_cost")) == [(1, Decimal("50.00"))] * 2
+
+
+def test_plans_do_not_grow_with_headers(spark, tmp_path):
+    base = sale(1, 121, 1, "2023-03-04", "1.5")
+    sizes = []
+    for count in (1, 500):
+        inbox = tmp_path / f"inbox{count}"
+        inbox.mkdir()
+        headers = {}
+        for k in range(count):
+            path = inbox / f"{k}.csv"
+            # The extra's name and place differ from file to file.
+            at = k % (len(HEADER) + 1)
+            header = [*HEADER[:at], f"extra{k}", *HEADER[at:]]
+            path.write_text("\n".join(",".join(line) for line in (header, [*map(str, base[:at]), f"v{k}", *map(str, base[at:])])) + "\n")
+            headers[tuple(header)] = [str(path)]
+        df = sales.read_sales(spark, headers)
+        sizes.append(len(df._jdf.queryExecution().optimizedPlan().toString().splitlines()))
+        got = rows(df.select("customer_id", "sales_person_id", "total_cost", "additional_column", UNPARSED))
+        assert sorted(got) == sorted((1, 1, Decimal("1.50"), f"v{k}", None) for k in range(count))
+    assert sizes[0] == sizes[1]
+
+
+def test_wide_and_narrow_files_together(spark, tmp_path):
+    base = [str(x) for x in sale(1, 121, 1, "2023-03-04", "1.5")]
+    headers = {}
+    for extra in (0, 5, 6, 7, 40, 300):
+        path = tmp_path / f"{extra}.csv"
+        header = [*[f"e{i}" for i in range(extra)], *HEADER]
+        path.write_text("\n".join([",".join(header), ",".join([*["x"] * extra, *base]), ",".join([*["x"] * extra, *base, ""])]))
+        headers[tuple(header)] = [str(path)]
+    df = sales.read_sales(spark, headers)
+    good = rows(df.where(F.col(UNPARSED).isNull()).select("additional_column"))
+    assert sorted(map(str, good)) == sorted(str((", ".join(["x"] * e) if e else None,)) for e in (0, 5, 6, 7, 40, 300))
+    assert df.where(F.col(UNPARSED).isNotNull()).count() == 6
+
+
 def test_stacking(spark):
     a = spark.createDataFrame([(1, "x")], "a int, b string")
     b = spark.createDataFrame([("y", 2)], "b string, a int")
