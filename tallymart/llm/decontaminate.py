@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymart.llm.shared import KEY, PRINT, id_back, keyed, narrow, row_key, stored
+from tallymart.llm.shared import KEY, PRINT, id_back, keyed, narrow, row_key, small_enough, stored
 
 #: Fixed value: characters of a word, after A-Z are lower-cased.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -142,16 +142,18 @@ def _by_size(sizes: list[int], words: Column, at: Column, size: Column) -> Colum
 def _hits(docs: DataFrame, tokens: DataFrame, sizes: list[int], shingle: int) -> DataFrame:
     """Every place of a document where a token of some window stands, and a head row for each document."""
     cut = keyed(docs).select(KEY, PRINT, words_of(F.col("text")).alias("words"))
-    n = F.size("words")
     each = cut.select(KEY, PRINT, "words", F.posexplode_outer("words").alias("pos", "word"))
     if len(sizes) > 1:
         each = each.select("*", F.explode(F.array(*map(F.lit, sizes))).alias("gram"))
     else:
         each = each.withColumn("gram", F.lit(sizes[0] if sizes else shingle))
-    fits = F.col("pos") + F.col("gram") <= n
+    fits = F.col("pos") + F.col("gram") <= F.size("words")
     each = each.withColumn("token", F.when(fits, _by_size(sizes, F.col("words"), F.col("pos"), F.col("gram"))))
-    known = tokens.select("token", F.col("gram").alias("known")).distinct()
-    joined = each.join(narrow(known, BROADCAST_ROWS), (each["token"] == known["token"]) & (F.col("gram") == F.col("known")), "left").drop(known["token"])
+    known = stored(tokens.select(F.col("token").alias("known"), F.col("gram").alias("known_gram")).distinct(), "op7-known")
+    same = (F.col("token") == F.col("known")) & (F.col("gram") == F.col("known_gram"))
+    if not small_enough(known, BROADCAST_ROWS):
+        return _hits_apart(cut, each, known, same)
+    joined = each.join(F.broadcast(known), same, "left")
     head = F.coalesce(F.col("pos"), F.lit(0)) == 0
     if len(sizes) > 1:
         head &= F.col("gram") == sizes[0]
@@ -160,13 +162,24 @@ def _hits(docs: DataFrame, tokens: DataFrame, sizes: list[int], shingle: int) ->
         KEY,
         PRINT,
         "pos",
-        n.alias("n_words"),
+        F.size("words").alias("n_words"),
         F.when(hit, F.col("token")).alias("token"),
         F.when(hit, F.slice("words", F.coalesce(F.col("pos"), F.lit(0)) + 1, F.col("gram"))).alias("said"),
         head.alias("head"),
     )
 
 
+def _hits_apart(cut: DataFrame, each: DataFrame, known: DataFrame, same: Column) -> DataFrame:
+    """As _hits, with more tokens than are broadcast: tokens are shuffled without the words around them, which are then taken from each hit document."""
+    places = each.where(F.col("token").isNotNull()).select(KEY, PRINT, "pos", "gram", "token").join(known, same)
+    found = places.groupBy(KEY, PRINT).agg(F.collect_set(F.struct("pos", "gram", "token")).alias("at"))
+    n = F.size("words").alias("n_words")
+    hits = cut.join(found, [KEY, PRINT]).select(KEY, PRINT, "words", F.explode("at").alias("at"))
+    hits = hits.select(KEY, PRINT, "at.pos", n, "at.token", F.slice("words", F.col("at.pos") + 1, F.col("at.gram")).alias("said"), F.lit(False).alias("head"))
+    none = [F.lit(0).alias("pos"), n, F.lit(None).cast("long").alias("token"), F.lit(None).cast("array<string>").alias("said")]
+    return hits.unionByName(cut.select(KEY, PRINT, *none, F.lit(True).alias("head")))
+
+
 def clean_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of docs that are not contaminated, with all their columns."""
     dirty = contamination(docs, benchmark, **options).documents.where("contaminated").select(KEY, PRINT).distinct()

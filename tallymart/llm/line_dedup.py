@@ -392,13 +392,14 @@ def op3_line_dedup(spark, sf_dir) -> DataFrame:
 
 SQL = {
     "op3_line_dedup": r"""
-WITH lines AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+lines AS (SELECT r, doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM doc),
 keys AS (SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines),
-repeated AS (SELECT k, max(doc_id) AS last FROM keys WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3),
+repeated AS (SELECT k, max(doc_id) AS last FROM keys WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT r) >= 3),
 judged AS (SELECT keys.*, coalesce(doc_id < last, false) AS gone FROM keys LEFT JOIN repeated USING (k))
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
-FROM judged GROUP BY doc_id
+FROM judged GROUP BY r, doc_id
 """
 }
 QUERIES = {"op3_line_dedup": op3_line_dedup}

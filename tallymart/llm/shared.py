@@ -10,6 +10,8 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallymart.workdir import shared_folder
+
 KEY, PRINT = "_k", "_f"
 #: Stands for a null id: ids are compared as if null came before all others.
 NO_ID = -(2**63)
@@ -33,9 +35,9 @@ def ship(spark: SparkSession) -> None:
 
 
 def folder(spark: SparkSession, name: str) -> str:
-    """A new folder below spark.checkpoint.dir, which all executors share; below the warehouse where that is unset, as in tests."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_llm"
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new folder below spark.checkpoint.dir, which all executors share. Where that is unset, a local session takes its warehouse, as in
+    tests, and a cluster is refused."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -69,4 +69,6 @@ def edge_documents():
         (None, " ".join(base)),
         (None, line),
     ]
-    return rows
+    # Rows given twice, and ids with several texts.
+    again = [rows[3], rows[3], rows[1], rows[8], rows[18], (6, " ".join(["other", *passage, "text"])), (15, line + "\nsame id, other text"), (16, None)]
+    return [*rows, *again]

@@ -53,6 +53,22 @@ def test_line_dedup(edge, nothing):
     assert line_dedup.without_repeated_lines(edge).columns == edge.columns
 
 
+def test_rows_that_share_an_id_are_documents(spark, tmp_path):
+    """Each row counts as a document, in the code as in its SQL."""
+    import duckdb
+    from helpers import save
+
+    said = "A line that is long enough"
+    rows = [(1, said), (1, said + "\nx"), (2, said + "\ny"), (3, None), (3, None), (4, "only twice, a long line"), (4, "only twice, a long line")]
+    save(frame(spark, rows), tmp_path, "documents")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = con.execute(line_dedup.SQL["op3_line_dedup"]).fetchall()
+    got = line_dedup.op3_line_dedup(spark, str(tmp_path)).select("doc_id", "n_lines", "n_dropped", "kept_sha256")
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    assert sorted(r[2] for r in want if r[0] < 3) == [0, 1, 1]
+
+
 def test_index_forgets_deleted_documents(spark, edge):
     index = line_dedup.LineIndex(spark, shards=8).insert(edge)
     more = frame(spark, [(90, "This line stands in many documents."), (91, "Only here, but thrice in all.\nx"), (92, "only HERE, but thrice in all."), (93, " Only here, but thrice in all.")])
@@ -106,15 +122,15 @@ def test_substring_dedup(edge, length, seed):
 
 
 def clean_bytes(rows, length):
-    seen, out = {}, []
+    least, out = {}, []
     for i, t in sorted(rows, key=lambda r: FIRST(r[0])):
         b = (t or "").encode()
-        gone = [False] * len(b)
+        gone, own = [False] * len(b), set()
         for k in range(len(b) - length + 1):
             x = b[k : k + length]
-            if x in seen and (seen[x][0] < FIRST(i) or seen[x][1] == id(t)):
+            if x in own or least.setdefault(x, FIRST(i)) < FIRST(i):
                 gone[k : k + length] = [True] * length
-            seen.setdefault(x, (FIRST(i), id(t)))
+            own.add(x)
         spans = sum(g and (k == 0 or not gone[k - 1]) for k, g in enumerate(gone))
         out.append((i, len(b), sum(gone), spans, bytes(x for x, g in zip(b, gone, strict=True) if not g)))
     return out
@@ -355,6 +371,42 @@ def test_decontamination_without_broadcasts(spark, edge, monkeypatch):
     assert clean.columns == edge.columns and clean.count() == sum(1 for r in want if not r[2])
 
 
+def test_tokens_are_shuffled_without_their_words(spark, edge, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 0)
+    kept, seen = decontaminate.stored, {}
+    monkeypatch.setattr(decontaminate, "stored", lambda df, name: seen.setdefault(name, df) and kept(df, name))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        decontaminate.contamination(edge, frame(spark, ITEMS, "item_id"))
+        lines = seen["op7-hits"]._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    below = [lines[k + 1] for k, line in enumerate(lines) if "Exchange hashpartitioning(token" in line]
+    assert below and not any(re.search(r"(\[|, )words#\d+(,|\])", line) for line in below)
+
+
+# -- texts longer than a slice ---------------------------------------------------------------------------------------------------
+
+
+def test_texts_longer_than_a_slice(spark):
+    long = " ".join(lorem(11, 300_000))
+    assert len(long) > scan.SLICE_BYTES
+    tail = " ".join(lorem(12, 400))
+    rows = [(1, long), (2, long + " " + tail), (3, None), (4, tail + "\nshort")]
+    df = frame(spark, rows)
+    n, m = len(words(long)), len(words(tail))
+    assert by_id(substring_dedup.dedup_substrings(df), "n_words", "n_removed") == [(1, n, 0), (2, n + m, n), (3, 0, 0), (4, m + 1, m)]
+    sizes = {i: len((t or "").encode()) for i, t in rows}
+    gone = dict(by_id(suffix_dedup.dedup_bytes(df), "n_removed"))
+    assert gone[2] >= sizes[1] and gone[4] >= sizes[4] - len("\nshort") and gone[3] == 0
+    assert [r[1] for r in by_id(jaccard.similar(df).rows, "component")] == [1, 1, 3, 4]
+    item = " ".join(words(long.translate(LOWER))[-40:-20])
+    hit = decontaminate.contamination(df, frame(spark, [(7, item)], "item_id")).documents
+    assert [(r[0], r[2]) for r in by_id(hit, "n_words", "n_hit")] == [(1, 20), (2, 20), (3, 0), (4, 0)]
+    lines = frame(spark, [(k, long + "\nx") for k in range(3)])
+    assert [r[1:] for r in by_id(line_dedup.dedup_lines(lines), "n_lines", "n_dropped")] == [(2, 1), (2, 1), (2, 0)]
+
+
 # -- packing ---------------------------------------------------------------------------------------------------------------------
 
 
@@ -376,13 +428,15 @@ def test_packing(edge, vocabulary, size, open_bins):
     got = Counter()
     for (i, _), pieces in texts.items():
         pieces.sort(key=lambda r: r.piece)
-        assert [r.piece for r in pieces] == list(range(len(pieces)))
+        copies = sum(r.piece == 0 for r in pieces)
+        assert [r.piece for r in pieces] == [k for k in range(len(pieces) // copies) for _ in range(copies)]
+        pieces = pieces[::copies]
         assert [r.length for r in pieces[1:]] == [size] * (len(pieces) - 1)
         ids, at = [], 0
         for r in pieces:
             assert r.start == at and r.length == len(r.ids) and zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32
             ids, at = ids + r.ids, at + r.length
-        got[i, tuple(ids)] += 1
+        got[i, tuple(ids)] += copies
     assert got == Counter((i, (*tokenizer.encode(t or "", add_special_tokens=False).ids, 2)) for i, t in edge_documents())
     for places in bins.values():
         end = 0
@@ -390,6 +444,16 @@ def test_packing(edge, vocabulary, size, open_bins):
             assert offset == end
             end += length
         assert end <= size
+    # With many open bins it is about as tight as laying the longest first, with all bins open.
+    fills = []
+    for length in sorted((r.length for r in rows), reverse=True):
+        fits = next((k for k, f in enumerate(fills) if f + length <= size), None)
+        if fits is None:
+            fills.append(length)
+        else:
+            fills[fits] += length
+    assert sum(r.length for r in rows) <= size * len(bins)
+    assert len(bins) <= len(fills) + (2 if open_bins > 100 else len(fills) // 4)
 
 
 def test_packing_of_an_empty_table(nothing, vocabulary):
