@@ -23,6 +23,8 @@ from tallymart.schemas import (
     FACT_STORE,
     IDENTITY,
     MANIFEST,
+    MONTH_STATE,
+    MONTH_STATE_PARTITIONS,
     NO_HEADER,
     REJECTED,
     ROW_BAD,
@@ -33,7 +35,7 @@ from tallymart.schemas import (
 from tallymart.sinks import writers
 from tallymart.sources import files as source_files
 from tallymart.sources.sales import read_sales, to_store_rows
-from tallymart.sources.tables import read_fact, read_store, require_unique_keys
+from tallymart.sources.tables import read_fact, read_store, require_unique_keys, store_exists
 
 log = logging.getLogger(__name__)
 
@@ -52,6 +54,8 @@ class Layout:
         self.customer_monthly = f"{base}/customer_monthly"
         self.sales_person_monthly = f"{base}/sales_person_monthly"
         self.report = f"{base}/report"
+        # Sums by month, batch and key: months are made of them.
+        self.month_state = f"{base}/month_state"
         # Intermediate tables, by run; a repeated run replaces its own.
         self.work = f"{base}/work"
 
@@ -209,16 +213,27 @@ def in_months(df: DataFrame, months: Sequence[str | None], column: str) -> DataF
     return df.where(wanted | F.col(column).isNull() if None in months else wanted)
 
 
+def update_month_state(spark: SparkSession, layout: Layout, run_id: str) -> None:
+    """Add a run's sums to the month state, in place of any it added before.
+
+    The sales of earlier batches are not read again. Only where there is no state yet, it is made of all batches.
+    """
+    fact = read_fact(spark, layout.fact)
+    if store_exists(spark, layout.month_state):
+        fact = fact.where(F.col("ingest_batch") == run_id)
+    writers.write_partitioned(marts.month_state(fact), layout.month_state, MONTH_STATE_PARTITIONS, only_touched=True)
+
+
 def publish_months(
     spark: SparkSession, dims: Dimensions, layout: Layout, months: Sequence[str | None]
 ) -> None:
-    """Recompute whole months from all batches and replace just those months."""
-    fact = in_months(read_fact(spark, layout.fact), months, "sales_month")
+    """Make whole months from what all batches added to them, and replace just those months."""
+    state = in_months(read_store(spark, layout.month_state, MONTH_STATE), months, "sales_month")
     writers.write_partitioned(
-        marts.customer_monthly(fact, dims), layout.customer_monthly, ["sales_date_month"], only_touched=True
+        marts.customer_monthly(state, dims), layout.customer_monthly, ["sales_date_month"], only_touched=True
     )
     writers.write_partitioned(
-        marts.sales_person_monthly(fact, dims), layout.sales_person_monthly, ["sales_month"], only_touched=True
+        marts.sales_person_monthly(state, dims), layout.sales_person_monthly, ["sales_month"], only_touched=True
     )
     monthly = in_months(
         read_store(spark, layout.sales_person_monthly, SALES_PERSON_MONTHLY), months, "sales_month"
@@ -248,6 +263,7 @@ def publish(
     months = tuple(r.sales_month for r in parts if r.row_status == ROW_OK)
     publish_details(spark, read_fact(spark, layout.fact).where(own), dims, layout, run_id, options.hot_customer_share)
     if months:
+        update_month_state(spark, layout, run_id)
         publish_months(spark, dims, layout, months)
         if options.database is not None:
             publish_tables(spark, layout, options.database, months)

@@ -5,10 +5,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallymart.functions.columns import month_start
 from tallymart.operators.joins import enrich_sales, known_only
 from tallymart.operators.ranking import with_incentive
 from tallymart.operators.totals import customer_names, customer_totals, seller_names, seller_totals
-from tallymart.schemas import CUSTOMER_MART, SALES_MART
+from tallymart.schemas import CUSTOMER_MART, MONTH_STATE, SALES_MART
 
 
 @dataclass(frozen=True)
@@ -50,6 +51,17 @@ def _known(sales: DataFrame, dims: Dimensions, customer: bool = True, team: bool
     return known
 
 
+def month_state(fact: DataFrame) -> DataFrame:
+    """What each batch adds to its months, in a form that is merged by adding.
+
+    All keys are kept: which sales count is decided with the dimensions of the day the months are published.
+    The rows have the columns of sales that totals need, and give the same totals as the sales.
+    """
+    keys = ["customer_id", "store_id", "sales_person_id", "sales_month", "ingest_batch"]
+    sums = fact.groupBy(*keys, month_start(F.col("sales_date")).alias("sales_date")).agg(F.sum("total_cost").alias("total_cost"))
+    return sums.select(*MONTH_STATE.names)
+
+
 def customer_monthly(fact: DataFrame, dims: Dimensions) -> DataFrame:
     """Month total of each customer.
 

@@ -105,6 +105,17 @@ SALES_MART = _table(
     total_cost=MONEY,
     sales_month=T.StringType(),
 )
+# What a batch adds to its months: sums by all keys of a sale, under the first day of the month.
+MONTH_STATE = _table(
+    customer_id=T.LongType(),
+    store_id=T.LongType(),
+    sales_person_id=T.LongType(),
+    sales_date=T.DateType(),
+    total_cost=T.DecimalType(28, 2),
+    sales_month=T.StringType(),
+    ingest_batch=T.StringType(),
+)
+MONTH_STATE_PARTITIONS = ["sales_month", "ingest_batch"]
 CUSTOMER_MONTHLY = _table(
     customer_id=T.LongType(),
     full_name=T.StringType(),

@@ -40,15 +40,6 @@ def read_jdbc(
     )
 
 
-def require_unique(dimension: DataFrame, key: str) -> DataFrame:
-    """The dimension itself, once it is known that no key occurs twice. Null keys match nothing."""
-    known = dimension.where(F.col(key).isNotNull())
-    repeated = known.groupBy(key).count().where(F.col("count") > 1)
-    if not repeated.isEmpty():
-        raise DuplicateKeys(f"{key} is not unique")
-    return dimension
-
-
 def require_unique_keys(*dimensions: tuple[DataFrame, str]) -> None:
     """Raises when a key occurs twice in its dimension: one query over all of them."""
     keys = [
@@ -75,6 +66,17 @@ def read_store(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
         return spark.createDataFrame([], schema)
 
 
+def store_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a store of ours has been written."""
+    try:
+        spark.read.schema("x int").parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
     """Accepted rows of the fact store; the status filter prunes partitions."""
     return read_store(spark, path, FACT_STORE).where(F.col("row_status") == ROW_OK)

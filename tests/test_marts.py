@@ -8,7 +8,7 @@ from fixtures import dimensions, rows, sales_frame
 from tallymart.errors import DuplicateKeys
 from tallymart.operators import joins, ranking, totals
 from tallymart.plans import marts
-from tallymart.sources.tables import require_unique
+from tallymart.sources.tables import require_unique_keys
 
 D = Decimal
 SALES = [
@@ -162,6 +162,6 @@ def test_totals_agree_with_each_other(fact, dims):
 
 
 def test_dimension_keys_must_be_unique(dims):
-    assert require_unique(dims.store, "id") is dims.store
+    require_unique_keys((dims.store, "id"))
     with pytest.raises(DuplicateKeys):
-        require_unique(dims.store.union(dims.store), "id")
+        require_unique_keys((dims.store.union(dims.store), "id"))

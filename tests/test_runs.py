@@ -3,6 +3,7 @@ from datetime import datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from fixtures import HEADER, dimensions, rows, sale, sales_frame, write_csv
 from tallymart import ledger, schemas
@@ -94,6 +95,38 @@ def test_next_run_takes_only_new_files_and_recomputes_late_months(spark, dims, t
     assert monthly(spark, layout) == expected(spark, dims, MARCH + LATE)
 
 
+def test_a_late_file_reads_its_own_sales_and_the_state(spark, dims, tmp_path, monkeypatch):
+    """Months that earlier batches have sales in are made of sums; sales of earlier batches are not read again."""
+    inbox, layout = tmp_path / "inbox", Layout(str(tmp_path / "out"))
+    write_csv(inbox / "a.csv", HEADER, as_sales(MARCH))
+    run_batch(spark, str(inbox), dims, layout, run_id="1")
+    write_csv(inbox / "b.csv", HEADER, as_sales(LATE))
+    read = {}
+    source_files_of = lambda df: [r[0] for r in df.select(F.input_file_name()).distinct().collect()]
+    for name in ("month_state", "customer_monthly", "sales_person_monthly"):
+        made = getattr(marts, name)
+        monkeypatch.setattr(marts, name, lambda df, *more, made=made, name=name: read.update({name: source_files_of(df)}) or made(df, *more))
+    run_batch(spark, str(inbox), dims, layout, run_id="2")
+    monkeypatch.undo()
+    assert monthly(spark, layout) == expected(spark, dims, MARCH + LATE)
+    assert read["month_state"] and all("/fact/" in f and "ingest_batch=2" in f for f in read["month_state"])
+    assert all("/month_state/" in f for name in ("customer_monthly", "sales_person_monthly") for f in read[name])
+    assert {f.split("ingest_batch=")[1][0] for f in read["customer_monthly"]} == {"1", "2"}
+
+
+def test_the_state_is_made_of_all_batches_where_there_is_none(spark, dims, tmp_path):
+    inbox, layout = tmp_path / "inbox", Layout(str(tmp_path / "out"))
+    write_csv(inbox / "a.csv", HEADER, as_sales(MARCH))
+    run_batch(spark, str(inbox), dims, layout, run_id="1")
+    layout.month_state = str(tmp_path / "another place")
+    write_csv(inbox / "b.csv", HEADER, as_sales(LATE))
+    run_batch(spark, str(inbox), dims, layout, run_id="2")
+    assert monthly(spark, layout) == expected(spark, dims, MARCH + LATE)
+    batch.update_month_state(spark, layout, "2")  # again: nothing is added twice
+    batch.publish_months(spark, dims, layout, ["2023-03", "2023-05"])
+    assert monthly(spark, layout) == expected(spark, dims, MARCH + LATE)
+
+
 def test_crashed_run_is_resumed_under_its_own_id(spark, dims, tmp_path, monkeypatch):
     inbox, layout = tmp_path / "inbox", Layout(str(tmp_path / "out"))
     write_csv(inbox / "a.csv", HEADER, as_sales(MARCH))
