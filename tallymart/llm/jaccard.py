@@ -40,8 +40,8 @@ from tallymart.llm.shared import KEY, NO_ID, PRINT, id_back, keyed, narrow, row_
 
 U = np.uint64
 BROADCAST_ROWS = 500_000
-#: Counters of the sketch (16 MiB as broadcast), and those of a part that is summed by itself.
-SLOT_BITS, PART_BITS = 24, 18
+#: Counters of the sketch (8 MiB in a task, 4 MiB as broadcast), and those of a part that is summed by itself.
+SLOT_BITS, PART_BITS = 22, 16
 #: Rows of a leaf, and rows of a block of a group that is dealt over several tasks.
 LEAF, BLOCK = 32, 20_000
 #: Provisional components come from rows of a group so many STEPS apart, in ROUNDS orders. They only save comparisons: what they do not
@@ -456,7 +456,7 @@ def similar(docs: DataFrame, shingle: int = 5, percent: int = 80, every_link: bo
     """Links and components; with every_link=False components alone, without comparing rows that are known to be in one."""
     spark = docs.sparkSession
     texts = keyed(docs)
-    made = stored(texts.mapInArrow(_profiles(shingle), PROFILE_SQL), "op5-profiles")
+    made = stored(texts.mapInArrow(scan.tidy(_profiles(shingle)), PROFILE_SQL), "op5-profiles")
     profiles = made.where(F.col("n") != SKETCH)
     levels = spark.sparkContext.broadcast(rarity(made.where(F.col("n") == SKETCH)))
 
@@ -469,7 +469,7 @@ def similar(docs: DataFrame, shingle: int = 5, percent: int = 80, every_link: bo
     again = stored(heads.where("rows > 1").select("cid", "text").dropDuplicates(["cid"]), "op5-repeated")
     standing = heads.where("rows = 1").select("cid", "text").unionByName(again)
 
-    dealt = standing.mapInArrow(_prefixes(shingle, percent, levels), "token long, cid long, n int, pos int")
+    dealt = standing.mapInArrow(scan.tidy(_prefixes(shingle, percent, levels)), "token long, cid long, n int, pos int")
     dealt = dealt.repartition("token").sortWithinPartitions("token", "n", "cid")
     led = dealt.mapInArrow(_led(percent), "leader long, cid long, n int, pos int")
     # A shared shingle stands no earlier than the first that the group has of a row.
@@ -501,7 +501,7 @@ def _from_trees(all_rows: DataFrame, signs: DataFrame, percent: int) -> DataFram
     whole = rows.where(F.col("rows") <= BLOCK).select("leader", F.lit(0).cast("long").alias("part"), "cid", "n", "pos", "comp")
     parts = whole.unionByName(_blocks(rows.where(F.col("rows") > BLOCK), percent)).join(signs.select("cid", "bits"), "cid")
     parts = parts.select("leader", "part", "cid", "n", "pos", "comp", "bits")
-    return parts.repartition("leader", "part").sortWithinPartitions("leader", "part").mapInArrow(_tree_candidates(percent), "a long, b long").distinct()
+    return parts.repartition("leader", "part").sortWithinPartitions("leader", "part").mapInArrow(scan.tidy(_tree_candidates(percent)), "a long, b long").distinct()
 
 
 def _blocks(rows: DataFrame, percent: int) -> DataFrame:
@@ -532,7 +532,7 @@ def _joined_components(shared: DataFrame, signs: DataFrame, standing: DataFrame,
     for turn in range(ROUNDS):
         early = _with_components(shared, known)
         # Rows of one size come in another order each time.
-        near = early.repartition("leader").sortWithinPartitions("leader", "n", F.xxhash64("cid", F.lit(turn)), "cid").mapInArrow(_neighbours(percent), "a long, b long").distinct()
+        near = early.repartition("leader").sortWithinPartitions("leader", "n", F.xxhash64("cid", F.lit(turn)), "cid").mapInArrow(scan.tidy(_neighbours(percent)), "a long, b long").distinct()
         near = near.join(asked, pair, "left_anti") if asked is not None else near
         fresh = stored(_with_signs(near, signs, percent), "op5-near")
         found = stored(_verified(fresh, standing, shingle, percent), "op5-links")
@@ -576,7 +576,7 @@ def _with_components(rows: DataFrame, known: DataFrame | None) -> DataFrame:
 
 def _with_signs(pairs: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
     side = lambda x: signs.select(F.col("cid").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_bounded(percent), "a long, b long")
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(scan.tidy(_bounded(percent)), "a long, b long")
 
 
 def _verified(pairs: DataFrame, standing: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -585,7 +585,7 @@ def _verified(pairs: DataFrame, standing: DataFrame, shingle: int, percent: int)
     texts = standing.join(narrow(asked, BROADCAST_ROWS), "cid", "left_semi")
     side = lambda x: texts.select(F.col("cid").alias(x), F.col("text").alias(f"text_{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    return both.mapInArrow(_verify(shingle, percent), "a long, b long").distinct()
+    return both.mapInArrow(scan.tidy(_verify(shingle, percent)), "a long, b long").distinct()
 
 
 def one_of_each_group(docs: DataFrame, **options) -> DataFrame:
