@@ -1,10 +1,12 @@
 """A deterministic, sharded WARC writer and the reader of its archives.
 
 1. Every page's record is made and compressed once, as a gzip member of its own. Records are range-sorted by page_id; running sums of
-   the sizes (within ranges by a window, across ranges by the ranges' sums) give each record the archive it belongs to: a new one
-   begins whenever `roll_bytes` are full. That depends on pages alone, not on how many tasks there are.
-2. One task writes one archive, records in order, under a temporary name with the attempt in it. Headers and digests are made from the
-   payload; a payload already seen is a revisit record that refers to the response.
+   the sizes (within ranges by a window, across ranges by the ranges' sums) mark each record that begins an archive: a new one begins
+   whenever `roll_bytes` are full. That depends on pages alone, not on how many tasks there are.
+2. Records are dealt by lots of consecutive archives, at most `LOTS` of them, so that the list of the lots' first records stays small
+   however many archives there are. Marks are sorted in among the records of their lot: a task writes one archive from each mark to the
+   next, records in order, under a temporary name with the attempt in it. Headers and digests are made from the payload; a payload
+   already seen is a revisit record that refers to the response.
 3. Tasks return name, size, records and digest of what they wrote; Spark keeps one attempt of each. A second job gives those files
    their final names, which can be repeated at will. The manifest is written last: an archive counts if it is in the manifest.
 
@@ -39,6 +41,8 @@ SMALL = 1000
 STEP = 1 << 14
 #: Tables of revisits and of archives are broadcast up to so many rows; beyond it the same joins shuffle.
 BROADCAST_ROWS = 500_000
+#: Lots of consecutive archives: the driver and every task know the first record of each lot, not of each archive.
+LOTS = 20_000
 
 
 def record(page: int, url: str | None, payload: bytes, refers: int | None, date: str = DATE) -> bytes:
@@ -77,17 +81,21 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column("page"), part.column("print"), sizes, pa.array(made, pa.binary())], names=["page", "print", "size", "member"])
 
 
-def _placed(pages: np.ndarray, prints: np.ndarray):
-    """Adds the archive of each member: the last whose first (page, print) is not behind it."""
+DEALT = "lot long, page long, print long, archive long, member binary"
+
+
+def _dealt(pages: np.ndarray, prints: np.ndarray):
+    """Adds the lot of each member: the last whose first (page, print) is not behind it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             page, prints_ = b.column("page").to_numpy(), b.column("print").to_numpy()
             low, high = np.searchsorted(pages, page, "left"), np.searchsorted(pages, page, "right")
-            archive = low - 1
-            for k in np.flatnonzero(high > low):  # an archive begins with this page: its print decides
-                archive[k] = low[k] - 1 + np.searchsorted(prints[low[k] : high[k]], prints_[k], "right")
-            yield pa.RecordBatch.from_arrays([pa.array(archive.astype(np.int64)), *(b.column(c) for c in ("page", "print", "member"))], names=["archive", "page", "print", "member"])
+            lot = low - 1
+            for k in np.flatnonzero(high > low):  # a lot begins with this page: its print decides
+                lot[k] = low[k] - 1 + np.searchsorted(prints[low[k] : high[k]], prints_[k], "right")
+            columns = [pa.array(lot.astype(np.int64)), b.column("page"), b.column("print"), pa.nulls(b.num_rows, pa.int64()), b.column("member")]
+            yield pa.RecordBatch.from_arrays(columns, names=["lot", "page", "print", "archive", "member"])
 
     return run
 
@@ -96,25 +104,28 @@ WRITTEN = "archive long, part string, bytes long, records long, sha1 string"
 
 
 def _write(base: str):
-    """Archives one after the other, each streamed to its temporary file."""
+    """Archives one after the other, each streamed to its temporary file. A row with an archive marks where it begins."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, top = fs.FileSystem.from_uri(base)
         attempt = uuid.uuid4().hex
         store.create_dir(f"{top}/_parts", recursive=True)
-        now, out, done = None, None, []
+        now, open_now, out, done = None, None, None, []
 
         def close():
             out[0].close()
-            done.append((now, out[1], out[2], out[3], out[4].hexdigest()))
+            done.append((open_now, out[1], out[2], out[3], out[4].hexdigest()))
 
         for b in batches:
             for archive, data in zip(b.column("archive").to_pylist(), b.column("member"), strict=True):
-                if archive != now:
+                if archive is not None:
+                    now = archive
+                    continue
+                if now != open_now:
                     if out:
                         close()
-                    part = f"_parts/{archive:08d}-{attempt}.warc.gz"
-                    now, out = archive, [store.open_output_stream(f"{top}/{part}", compression=None), part, 0, 0, hashlib.sha1()]
+                    part = f"_parts/{now:08d}-{attempt}.warc.gz"
+                    open_now, out = now, [store.open_output_stream(f"{top}/{part}", compression=None), part, 0, 0, hashlib.sha1()]
                 data = data.as_py()
                 out[0].write(data)
                 out[4].update(data)
@@ -158,32 +169,59 @@ def referred(pages: DataFrame, small: int = SMALL) -> DataFrame:
     sums = rows.select("page", "print", F.sha1(html).alias("sha1")).where(F.octet_length(html) >= small)
     most = sums.groupBy("sha1").agg(F.max("page").alias("last"), F.count(F.lit(1)).alias("n")).where("n > 1").select("sha1", "last")
     later = sums.join(most, "sha1").where((F.col("page") < F.col("last"))).select("page", "print", F.col("last").alias("refers")).distinct()
-    return rows.join(narrow(later, BROADCAST_ROWS), ["page", "print"], "left")
+    # Stored, so that counting it does not make all digests a second time.
+    return rows.join(narrow(stored(later, "op6-revisits"), BROADCAST_ROWS), ["page", "print"], "left")
+
 
+def begun(sizes: DataFrame, roll_bytes: int) -> tuple[DataFrame, int]:
+    """archive, page, print: the record that begins each archive, and how many archives there are. sizes: page, print, size.
 
-def write_archives(pages: DataFrame, base: str, roll_bytes: int = 16 << 20, small: int = SMALL) -> DataFrame:
+    Archives are numbered from 0. Where rows equal in page and print begin several, their records all go to the last of these, and the
+    others get no file.
+    """
+    spark = sizes.sparkSession
+    # Written, so that a row stays in its range however often it is read.
+    ranged = stored(sizes.repartitionByRange("page", "print").withColumn("range", F.spark_partition_id()), "op6-sizes")
+    place = F.struct("page", "print")
+    sums = ranged.groupBy("range").agg(F.sum("size").alias("sum"), F.max_by("size", place).alias("last")).orderBy("range").collect()  # one row per task
+    before, total, fill = [], 0, -1
+    for r in sums:
+        before.append((r["range"], total, fill))
+        total += r["sum"]
+        fill = (total - r["last"]) // roll_bytes
+    offsets = F.broadcast(spark.createDataFrame(before, "range int, before long, fill_before long"))
+    order = Window.partitionBy("range").orderBy("page", "print")
+    inside = F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    summed = ranged.select("range", "page", "print", inside.alias("inside")).join(offsets, "range")
+    full = F.floor((F.col("before") + F.col("inside")) / roll_bytes)
+    filled = summed.withColumn("fill", full)
+    previous = F.coalesce(F.lag("fill").over(Window.partitionBy("range").orderBy("page", "print", "fill")), F.col("fill_before"))
+    marks = stored(filled.withColumn("previous", previous).where("fill > previous").select("range", "fill", "page", "print"), "op6-marks")
+    counts = marks.groupBy("range").count().orderBy("range").collect()  # one row per task
+    earlier, count = [], 0
+    for r in counts:
+        earlier.append((r["range"], count))
+        count += r["count"]
+    place_in_range = F.row_number().over(Window.partitionBy("range").orderBy("fill")) - 1
+    numbers = F.broadcast(spark.createDataFrame(earlier, "range int, earlier long"))
+    numbered = marks.withColumn("place", place_in_range).join(numbers, "range")
+    return numbered.select((F.col("earlier") + F.col("place")).alias("archive"), "page", "print"), count
+
+
+def write_archives(pages: DataFrame, base: str, roll_bytes: int = 16 << 20, small: int = SMALL, lots: int = LOTS) -> DataFrame:
     """Writes pages below `base` and returns the manifest: archive, file, bytes, records, sha1."""
     spark = pages.sparkSession
     ship(spark)
     rows = referred(pages, small)
     members = stored(rows.mapInArrow(_members, "page long, print long, size long, member binary"), "op6-members")
-    sizes = members.select("page", "print", "size")
-    # Written, so that a row stays in its range however often it is read.
-    ranged = stored(sizes.repartitionByRange("page", "print").withColumn("range", F.spark_partition_id()), "op6-sizes")
-    sums = ranged.groupBy("range").agg(F.sum("size").alias("sum")).orderBy("range").collect()  # one row per task
-    before, total = [], 0
-    for r in sums:
-        before.append((r["range"], total))
-        total += r["sum"]
-    offsets = F.broadcast(spark.createDataFrame(before, "range int, before long"))
-    inside = F.sum("size").over(Window.partitionBy("range").orderBy("page", "print").rowsBetween(Window.unboundedPreceding, -1))
-    placed = ranged.select("*", F.coalesce(inside, F.lit(0)).alias("inside")).join(offsets, "range")
-    placed = placed.select("page", "print", F.floor((F.col("before") + F.col("inside")) / roll_bytes).alias("archive"))
-    # One row per archive: its first page.
-    firsts = sorted(r.first for r in placed.groupBy("archive").agg(F.min(F.struct("page", "print")).alias("first")).select("first").collect())
-    edges = [np.array([r[k] for r in firsts], np.int64) for k in (0, 1)]
-    dealt = members.mapInArrow(_placed(*edges), "archive long, page long, print long, member binary")
-    written = dealt.repartition("archive").sortWithinPartitions("archive", "page", "print").mapInArrow(_write(base), WRITTEN)
+    marks, count = begun(members.select("page", "print", "size"), roll_bytes)
+    each = max(1, -(-count // lots))  # archives in a lot
+    firsts = sorted((r["page"], r["print"]) for r in marks.where(F.col("archive") % each == 0).collect())  # at most `lots` rows
+    edges = [np.array([f[k] for f in firsts], np.int64) for k in (0, 1)]
+    marked = marks.select(F.floor(F.col("archive") / each).alias("lot"), "page", "print", "archive", F.lit(None).cast("binary").alias("member"))
+    dealt = members.select("page", "print", "member").mapInArrow(_dealt(*edges), DEALT).unionByName(marked)
+    order = ["lot", "page", "print", F.asc_nulls_last("archive")]
+    written = dealt.repartition("lot").sortWithinPartitions(*order).mapInArrow(_write(base), WRITTEN)
     written = stored(written, "op6-written")
     committed = written.select("archive", "part", "bytes", "records", "sha1").mapInArrow(_commit(base), "archive long, file string, bytes long, records long, sha1 string")
     committed.write.mode("overwrite").parquet(f"{base}/manifest")

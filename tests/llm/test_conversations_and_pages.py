@@ -169,6 +169,42 @@ def test_archives_do_not_depend_on_partitions(spark, pages, tmp_path):
     assert b"\r\nX: y" not in whole
 
 
+def expected_archives(df, roll_bytes):
+    """Page ids by file, by one pass over the records in order: an archive begins with the first record behind each full roll_bytes."""
+    rows = warc.referred(df.select("page_id", "url", "html")).collect()
+    rows = sorted(((r.page, r.print), len(warc.member(warc.record(r.page, r.url, (r.html or "").encode(), r.refers)))) for r in rows)
+    at, fill, firsts = 0, -1, []
+    for key, size in rows:
+        if at // roll_bytes > fill:
+            fill = at // roll_bytes
+            firsts.append(key)
+        at += size
+    out = {}
+    for key, _ in rows:
+        out.setdefault(warc.name_of(sum(first <= key for first in firsts) - 1), []).append(key[0])
+    return out
+
+
+@pytest.mark.parametrize("lots", [1, 3, warc.LOTS])
+@pytest.mark.parametrize("roll_bytes", [900, 4000])
+def test_archives_do_not_depend_on_lots(spark, pages, tmp_path, lots, roll_bytes):
+    repeated = pages.union(pages.where("page_id in (3, 120)")).union(pages.where("page_id = 139").crossJoin(spark.range(9)).drop("id"))
+    manifest = warc.write_archives(repeated.repartition(5), str(tmp_path), roll_bytes=roll_bytes, lots=lots)
+    want = expected_archives(repeated, roll_bytes)
+    assert {r.file: r.records for r in manifest.collect()} == {k: len(v) for k, v in want.items()}
+    for file, ids in want.items():
+        data = (tmp_path / file).read_bytes()
+        assert [r["page_id"] for r in warc.parse(data)] == [None if i == warc.NO_ID else i for i in ids]
+
+
+def test_only_the_first_records_of_lots_reach_the_driver(spark, pages, tmp_path, monkeypatch):
+    taken = []
+    dealt = warc._dealt
+    monkeypatch.setattr(warc, "_dealt", lambda *edges: (taken.append(len(edges[0])), dealt(*edges))[1])
+    assert warc.write_archives(pages, str(tmp_path), roll_bytes=900, lots=4).count() > 8
+    assert len(taken) == 1 and taken[0] <= 4
+
+
 def test_damaged_or_uncommitted_archives(spark, pages, tmp_path):
     manifest = warc.write_archives(pages, str(tmp_path), roll_bytes=4000)
     (tmp_path / "pages-99999999.warc.gz").write_bytes(b"left by a dead run")
