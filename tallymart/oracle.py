@@ -170,6 +170,10 @@ ORACLE: dict[str, str] = {
         f"WITH {_FACT}, {_DROPS} SELECT kind, year, '.csv' AS extension, TRUE AS is_csv FROM drops"
         " UNION SELECT 'notes', 0, '.txt', FALSE FROM part"
     ),
+    "unseen_listing": (
+        f"WITH {_FACT} SELECT DISTINCT '_staged' AS kind, CAST(EXTRACT(year FROM sales_date) AS INT) AS year,"
+        " 'ignored' AS status, 'hidden name' AS reason FROM fact"
+    ),
     "header_manifest": (
         f"WITH {_FACT}, {_DROPS} SELECT kind, year, header, missing_columns,"
         " CASE WHEN missing_columns = '' THEN 'accepted' ELSE 'rejected' END AS status,"

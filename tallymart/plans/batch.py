@@ -22,6 +22,7 @@ from tallymart.schemas import (
     FACT_PARTITIONS,
     FACT_STORE,
     IDENTITY,
+    IGNORED,
     MANIFEST,
     MONTH_STATE,
     MONTH_STATE_PARTITIONS,
@@ -35,6 +36,7 @@ from tallymart.schemas import (
 from tallymart.sinks import writers
 from tallymart.sources import files as source_files
 from tallymart.sources.sales import read_sales, to_store_rows
+from tallymart.sources.stores import DIRECT
 from tallymart.sources.tables import read_fact, read_store, require_unique_keys, store_exists
 
 log = logging.getLogger(__name__)
@@ -84,12 +86,16 @@ class Options:
     in further runs of the same call, until none is left.
 
     `hot_customer_share`: customers with more than this share of the sales are joined apart.
+
+    `direct_schemes`: stores that tasks may open themselves, to read the head of a file and to list
+    what Spark's scans pass over. Elsewhere headers take a pass over all text, and such files are not recorded.
     """
 
     clustered_drops: bool = False
     database: Database | None = None
     files_per_run: int = 50_000
     hot_customer_share: float | None = None
+    direct_schemes: frozenset[str] = DIRECT
 
 
 @dataclass(frozen=True)
@@ -127,7 +133,12 @@ class Judged:
 
 
 def check_files(
-    spark: SparkSession, inbox: str, listing: DataFrame, layout: Layout, run_id: str
+    spark: SparkSession,
+    inbox: str,
+    listing: DataFrame,
+    layout: Layout,
+    run_id: str,
+    direct: frozenset[str] = DIRECT,
 ) -> Judged:
     """Judge the listed files, copy refused CSV text to the error area, and record the verdicts.
 
@@ -139,7 +150,7 @@ def check_files(
     writers.write_parquet(listing, f"{work}/listing")
     listing = spark.read.schema(listing.schema).parquet(f"{work}/listing")
     csv = [r.file_location for r in listing.where(F.col("file_name").endswith(".csv")).select("file_location").collect()]
-    writers.write_parquet(source_files.manifest(spark, inbox, listing, csv), f"{work}/verdicts")
+    writers.write_parquet(source_files.manifest(spark, inbox, listing, csv, direct), f"{work}/verdicts")
     verdicts = read_store(spark, f"{work}/verdicts", MANIFEST)
     is_csv = F.col("missing_columns").isNotNull().alias("is_csv")
     judged = Judged(verdicts, verdicts.select("file_location", "header", "status", "reason", is_csv).collect())
@@ -280,7 +291,7 @@ def process_files(
     options: Options = Options(),
 ) -> RunResult:
     """Take the listed files through one whole run. Repeating it changes nothing."""
-    judged = check_files(spark, inbox, listing, layout, run_id)
+    judged = check_files(spark, inbox, listing, layout, run_id, options.direct_schemes)
     accepted, rejected = count_files(judged)
     opened = judged.verdicts.where(F.col("status") == ACCEPTED)
     ledger.append(ledger.open_events(opened, run_id), layout.ledger)
@@ -298,6 +309,20 @@ def pending_files(spark: SparkSession, inbox: str, layout: Layout) -> DataFrame:
     return ledger.among(ledger.unprocessed(listed, ledger.read(spark, layout.ledger)), refused, "left_anti")
 
 
+def record_ignored(spark: SparkSession, inbox: str, layout: Layout, run_id: str, direct: frozenset[str] = DIRECT) -> None:
+    """Add to the manifest the files that no scan shows and no run has recorded yet."""
+    work = writers.run_path(layout.work, run_id)
+    found = source_files.ignored(spark, inbox, f"{work}/listed", direct)
+    if found is None:
+        return
+    known = read_store(spark, layout.manifest, MANIFEST).where(F.col("status") == IGNORED)
+    # Written down first: the manifest it is compared with is the one it is added to.
+    writers.write_parquet(ledger.among(found, known, "left_anti"), f"{work}/ignored")
+    new = read_store(spark, f"{work}/ignored", MANIFEST)
+    if not new.isEmpty():
+        new.write.mode("append").parquet(writers.run_path(layout.manifest, f"{run_id}-ignored"))
+
+
 def check_dimensions(dims: Dimensions) -> None:
     require_unique_keys((dims.customer, "customer_id"), (dims.store, "id"), (dims.team, "id"))
 
@@ -355,6 +380,7 @@ def run_batch(
         repeated = _repeat(spark, inbox, dims, layout, earlier, still_open, options)
         results += [repeated] if repeated else []
     first, count, refusal, more = run_id or new_run_id(), 0, None, True
+    record_ignored(spark, inbox, layout, first, options.direct_schemes)
     while more:
         name = first if not count else f"{first}.{count}"
         listing = pending_files(spark, inbox, layout).orderBy(*IDENTITY).limit(options.files_per_run)

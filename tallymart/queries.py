@@ -225,6 +225,20 @@ def header_manifest(spark: SparkSession, folder: str) -> DataFrame:
     ).distinct()
 
 
+def unseen_listing(spark: SparkSession, folder: str) -> DataFrame:
+    """Files that no scan shows: lines still in a staging folder, by year, below an inbox with a drop beside it."""
+    inbox = new_folder(spark, "inbox")
+    lines = star.sales_lines(spark, folder).withColumn("year", F.year("sales_date"))
+    lines.select(*MANDATORY, "year").write.partitionBy("year").csv(f"{inbox}/_staged")
+    _drop(lines.select(*MANDATORY), f"{inbox}/all")
+    found = files.ignored(spark, inbox, new_folder(spark, "listed"))
+    if found is None:
+        raise ValueError("tasks cannot open this inbox themselves")
+    # Spark's own marker and check-sum files are hidden as well, and differ from store to store.
+    data = found.where(F.col("file_name").endswith(".csv"))
+    return data.select(*_kind_and_year(F.col("file_location"), inbox), "status", "reason").distinct()
+
+
 def _judged(spark: SparkSession, inbox: str, layout: Layout) -> Judged:
     return check_files(spark, inbox, files.list_files(spark, inbox), layout, "run")
 
@@ -450,6 +464,7 @@ QUERIES: dict[str, Query] = {
             union_by_name_missing,
             source_listing,
             header_manifest,
+            unseen_listing,
             rejected_file_lines,
             csv_ingest_roundtrip,
             mixed_header_ingest,

@@ -159,4 +159,6 @@ MANIFEST = _table(
 )
 ACCEPTED = "accepted"
 REJECTED = "rejected"
+# Files that no scan shows: recorded, neither taken nor refused.
+IGNORED = "ignored"
 NO_HEADER = "no header"

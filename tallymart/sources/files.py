@@ -1,12 +1,14 @@
 """What lies in the inbox: every file, its header, and whether it can be processed."""
 
+import os
 import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.schemas import ACCEPTED, MANDATORY, NO_HEADER, REJECTED
+from tallymart.schemas import ACCEPTED, IGNORED, MANDATORY, NO_HEADER, REJECTED
+from tallymart.sources.stores import DIRECT, file_heads, scheme, unseen_files
 
 _GLOB_CHARACTERS = re.compile(r"([{}\[\]*?\\])")
 # A comma that has an even number of quotes to its right separates two names.
@@ -80,15 +82,29 @@ def header_lines(
     spark: SparkSession,
     inbox: str,
     files: Sequence[str] | None = None,
-    small: int = SMALL_FILE,
+    small: int | None = None,
+    listing: DataFrame | None = None,
+    direct: frozenset[str] = DIRECT,
 ) -> DataFrame:
     """The header line of each CSV file: its first line that is not blank, as in the CSV reader.
 
+    Where tasks can open the store themselves (`direct` schemes), they read the first block of each file of the listing and no
+    more. Elsewhere, or with `small` given, all text is read:
+
     One pass over the text without sort or shuffle. Files up to `small` bytes are one value each,
     many to a task, and the line is cut out of the text. Larger ones are read by line and in
     splits: as no two share a task, the header is the first line of its task, which is what the
     lower 33 bits of the row id count. The size filters keep each scan to its own files.
     """
+    if small is None:
+        if listing is None and files:
+            listing = spark.read.format("binaryFile").load([literal_path(f) for f in files]).select(*file_columns())
+        listing = list_files(spark, inbox) if listing is None else listing
+        csv = listing.where(F.col("file_name").endswith(".csv"))
+        known = csv.select("file_location").first()
+        if known is None or scheme(known.file_location) in direct:
+            return file_heads(csv)
+        small = SMALL_FILE
     uri, size = F.col("_metadata.file_path").alias("file_uri"), F.col("_metadata.file_size")
     texts = _text(spark, inbox, files, whole=True).where(size <= small)
     cut = texts.select(uri, F.regexp_extract("value", _FIRST_LINE, 1).alias("header_line"))
@@ -127,16 +143,17 @@ def manifest(
     inbox: str,
     listing: DataFrame | None = None,
     files: Sequence[str] | None = None,
+    direct: frozenset[str] = DIRECT,
 ) -> DataFrame:
     """One row per listed file with the verdict on it.
 
-    Each use of the result passes over the text again; write it down to use it more than once.
+    Each use of the result reads the headers again; write it down to use it more than once.
 
     A file is accepted when it ends in `.csv` and its header has every mandatory column. A CSV
     file whose lines are all blank has no header and is refused.
     """
     listing = list_files(spark, inbox) if listing is None else listing
-    headers = header_lines(spark, inbox, files).select(
+    headers = header_lines(spark, inbox, files, listing=listing, direct=direct).select(
         "file_uri", header_names(F.col("header_line")).alias("header")
     )
     judged = (
@@ -164,6 +181,34 @@ def manifest(
     )
 
 
+def ignored(
+    spark: SparkSession, inbox: str, work: str, direct: frozenset[str] = DIRECT
+) -> DataFrame | None:
+    """Manifest rows of the files Spark's scans do not show: hidden ones and those without a byte.
+
+    None where tasks cannot open the store themselves. An inbox given without a scheme is a folder
+    of the local or mounted file system if its visible files are.
+    """
+    if not scheme(inbox):
+        shown = list_files(spark, inbox).select("file_location").first()
+        inbox = f"file:{os.path.abspath(inbox)}" if shown is None or scheme(shown.file_location) == "file" else inbox
+    elif scheme(inbox) == "file":
+        inbox = "file:/" + inbox.removeprefix("file:").lstrip("/")
+    if scheme(inbox) not in direct:
+        return None
+    nothing = F.lit(None).cast("array<string>")
+    return unseen_files(spark, inbox, work).select(
+        "file_location",
+        "file_name",
+        "modification_time",
+        "length",
+        nothing.alias("header"),
+        nothing.alias("missing_columns"),
+        F.lit(IGNORED).alias("status"),
+        "reason",
+    )
+
+
 def rejected_lines(spark: SparkSession, rejected: Sequence[str]) -> DataFrame:
     """The text of refused CSV files, line by line, for the error area."""
     return spark.read.text([literal_path(f) for f in rejected]).select(
