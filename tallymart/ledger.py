@@ -7,11 +7,14 @@ Events written before times were kept stand for every delivery under their path.
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallymart.logs import PART, Log
 from tallymart.schemas import CLOSED, IDENTITY, LEDGER_EVENT, LOST, OPEN
-from tallymart.sources.tables import read_store
+
+# The part of a snapshot whose deliveries were opened last, and that of all others.
+UNENDED, ENDED = "open", "ended"
 
 
 def with_identity(files: DataFrame) -> DataFrame:
@@ -72,11 +75,37 @@ def lost_events(
 
 
 def append(events: DataFrame, path: str) -> None:
-    events.select(*LEDGER_EVENT.names).write.mode("append").parquet(path)
+    Log(events.sparkSession, path, LEDGER_EVENT).append(events)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    return read_store(spark, path, LEDGER_EVENT)
+    """The events of all deliveries; after a compaction those that `compacted` keeps, and all later ones."""
+    return Log(spark, path, LEDGER_EVENT).read()
+
+
+def read_open(spark: SparkSession, path: str) -> DataFrame:
+    """Events enough to find the unfinished deliveries: what the last compaction found ended is not read."""
+    return Log(spark, path, LEDGER_EVENT).read(UNENDED)
+
+
+def compacted(events: DataFrame) -> DataFrame:
+    """Of each delivery and run the last opening and the last ending, in parts by how the delivery stands.
+
+    Whatever is asked of all events, or of those of some runs, has the same answer of these.
+    """
+    order = F.struct("event_time", "status")
+    kept = events.groupBy(*IDENTITY, "run_id", (F.col("status") == OPEN).alias("opening")).agg(
+        F.max_by(F.struct("file_name", "event_time", "status"), order).alias("last")
+    )
+    flat = kept.select(*IDENTITY, "run_id", "last.*")
+    # A window here holds the few runs of one delivery.
+    stands = F.max(order).over(Window.partitionBy(*IDENTITY)).getField("status")
+    return flat.withColumn(PART, F.when(stands == OPEN, UNENDED).otherwise(ENDED))
+
+
+def compact(spark: SparkSession, path: str, after: int) -> bool:
+    """Make one snapshot of the ledger when its tail has more than `after` files."""
+    return Log(spark, path, LEDGER_EVENT).compact(compacted, after)
 
 
 def latest(events: DataFrame) -> DataFrame:
@@ -111,6 +140,11 @@ def left_behind(files: DataFrame, events: DataFrame) -> DataFrame:
     return among(files, unfinished(events)).distinct()
 
 
+def closed(events: DataFrame) -> DataFrame:
+    """Deliveries whose last event is a closing one."""
+    return latest(events).where(F.col("status") == CLOSED)
+
+
 def unprocessed(files: DataFrame, events: DataFrame) -> DataFrame:
     """Listed files without a closing event; nothing has to be moved out of the inbox."""
-    return among(files, latest(events).where(F.col("status") == CLOSED), "left_anti")
+    return among(files, closed(events), "left_anti")

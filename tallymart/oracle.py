@@ -212,6 +212,7 @@ ORACLE: dict[str, str] = {
     ),
     "ledger_events": f"WITH {_LEDGER} SELECT * FROM events",
     "ledger_latest": f"WITH {_LEDGER} SELECT * FROM latest",
+    "ledger_compacted": f"WITH {_LEDGER} SELECT * FROM latest",
     "ledger_unfinished": (
         f"WITH {_LEDGER} SELECT DISTINCT file_name, file_location FROM known"
         " WHERE file_location IN (SELECT file_location FROM latest WHERE status = 'A')"

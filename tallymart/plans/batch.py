@@ -1,19 +1,22 @@
 """One run: from the files in the inbox to published marts.
 
-Every step writes under the run's id or replaces whole months, so a run that died half-way is
-simply run again under the same id. One writer at a time is assumed.
+Every step writes under the run's id, or new versions of whole months that count from one moment on, so a run that died
+half-way is simply run again under the same id. One writer at a time is assumed.
 """
 
 import logging
 import time
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallymart import ledger
 from tallymart.errors import NoCsvFiles, NoSourceFiles, NoValidFiles, UnfinishedRun
+from tallymart.logs import Log
 from tallymart.plans import marts
 from tallymart.plans.marts import Dimensions
 from tallymart.schemas import (
@@ -27,11 +30,13 @@ from tallymart.schemas import (
     MONTH_STATE,
     MONTH_STATE_PARTITIONS,
     NO_HEADER,
+    PUBLISHED,
     REJECTED,
     ROW_BAD,
     ROW_OK,
     SALES_MART,
     SALES_PERSON_MONTHLY,
+    SETTLED,
 )
 from tallymart.sinks import writers
 from tallymart.sources import files as source_files
@@ -48,14 +53,18 @@ class Layout:
     def __init__(self, base: str) -> None:
         self.ledger = f"{base}/ledger"
         self.manifest = f"{base}/manifest"
+        # Refused and ignored deliveries of all manifests, so that no run reads those of earlier ones.
+        self.settled = f"{base}/settled"
         self.error_files = f"{base}/error_files"
         self.fact = f"{base}/fact"
         self.customer_mart = f"{base}/customer_mart"
         self.sales_mart = f"{base}/sales_mart"
         self.sales_mart_by_month = f"{base}/sales_mart_by_month"
+        # Versions of months, and which version of a month counts: `read_months` reads them.
         self.customer_monthly = f"{base}/customer_monthly"
         self.sales_person_monthly = f"{base}/sales_person_monthly"
         self.report = f"{base}/report"
+        self.published = f"{base}/published"
         # Sums by month, batch and key: months are made of them.
         self.month_state = f"{base}/month_state"
         # Intermediate tables, by run; a repeated run replaces its own.
@@ -87,6 +96,8 @@ class Options:
 
     `hot_customer_share`: customers with more than this share of the sales are joined apart.
 
+    `compact_after`: logs that more files than this were added to are compacted when a call begins.
+
     `direct_schemes`: stores that tasks may open themselves, to read the head of a file and to list
     what Spark's scans pass over. Elsewhere headers take a pass over all text, and such files are not recorded.
     """
@@ -95,6 +106,7 @@ class Options:
     database: Database | None = None
     files_per_run: int = 50_000
     hot_customer_share: float | None = None
+    compact_after: int = 100
     direct_schemes: frozenset[str] = DIRECT
 
 
@@ -132,6 +144,22 @@ class Judged:
         return grouped
 
 
+def settled(spark: SparkSession, layout: Layout) -> Log:
+    """The refused and ignored deliveries. Where that log has not begun, it begins with those of all manifests."""
+    log = Log(spark, layout.settled, SETTLED)
+    if not log.generation():
+        known = read_store(spark, layout.manifest, MANIFEST).where(F.col("status").isin(REJECTED, IGNORED))
+        log.start_next(known.select(*SETTLED.names).distinct())
+    return log
+
+
+def compact_logs(spark: SparkSession, layout: Layout, after: int) -> None:
+    """Begin new generations of the logs that have grown, so that what a run reads does not grow with runs."""
+    ledger.compact(spark, layout.ledger, after)
+    settled(spark, layout).compact(DataFrame.distinct, after)
+    Log(spark, layout.published, PUBLISHED).compact(DataFrame.distinct, after)
+
+
 def check_files(
     spark: SparkSession,
     inbox: str,
@@ -142,9 +170,10 @@ def check_files(
 ) -> Judged:
     """Judge the listed files, copy refused CSV text to the error area, and record the verdicts.
 
-    The inbox is only read. The manifest comes last: a run that dies before has recorded nothing,
-    and its files are judged again.
+    The inbox is only read. The manifest comes late: a run that dies before has recorded nothing,
+    and its files are judged again. Refused files count as settled last of all.
     """
+    log = settled(spark, layout)
     work = writers.run_path(layout.work, run_id)
     # The listing is written down first: a file that arrives meanwhile belongs to the next run.
     writers.write_parquet(listing, f"{work}/listing")
@@ -162,6 +191,8 @@ def check_files(
         writers.write_parquet(copied, writers.run_path(layout.error_files, run_id))
     path = writers.run_path(layout.manifest, run_id)
     writers.write_parquet(verdicts, path)
+    if judged.paths(REJECTED):
+        log.append(verdicts.where(F.col("status") == REJECTED))
     return Judged(read_store(spark, path, MANIFEST), judged.rows)
 
 
@@ -235,29 +266,98 @@ def update_month_state(spark: SparkSession, layout: Layout, run_id: str) -> None
     writers.write_partitioned(marts.month_state(fact), layout.month_state, MONTH_STATE_PARTITIONS, only_touched=True)
 
 
+def months_to_publish(spark: SparkSession, layout: Layout, months: Sequence[str | None]) -> tuple[str | None, ...]:
+    """The given months; where no version has been published yet, all months of the state."""
+    if Log(spark, layout.published, PUBLISHED).read().inputFiles():
+        return tuple(months)
+    every = read_store(spark, layout.month_state, MONTH_STATE).select("sales_month").distinct().collect()
+    return tuple({*months, *(r.sales_month for r in every)})
+
+
 def publish_months(
     spark: SparkSession, dims: Dimensions, layout: Layout, months: Sequence[str | None]
 ) -> None:
-    """Make whole months from what all batches added to them, and replace just those months."""
+    """Make whole months from what all batches added to them, as a new version of just those months.
+
+    Nothing that a reader may have open is touched. One file, written last, makes the version count for all its months, in
+    both marts and the report, at once; a call that dies before has published nothing.
+    """
+    months, version = months_to_publish(spark, layout, months), uuid.uuid4().hex
     state = in_months(read_store(spark, layout.month_state, MONTH_STATE), months, "sales_month")
+    sellers = writers.version_path(layout.sales_person_monthly, version)
     writers.write_partitioned(
-        marts.customer_monthly(state, dims), layout.customer_monthly, ["sales_date_month"], only_touched=True
+        marts.customer_monthly(state, dims), writers.version_path(layout.customer_monthly, version), ["sales_date_month"]
     )
-    writers.write_partitioned(
-        marts.sales_person_monthly(state, dims), layout.sales_person_monthly, ["sales_month"], only_touched=True
+    writers.write_partitioned(marts.sales_person_monthly(state, dims), sellers, ["sales_month"])
+    monthly = read_store(spark, sellers, SALES_PERSON_MONTHLY)
+    writers.write_csv_report(marts.sales_person_report(monthly), writers.version_path(layout.report, version), ["sales_month"])
+    rows = spark.createDataFrame([(m, version) for m in months], "sales_month string, version string")
+    Log(spark, layout.published, PUBLISHED).append_at_once(rows.withColumn("published_at", F.current_timestamp()))
+
+
+def current_versions(spark: SparkSession, layout: Layout) -> DataFrame:
+    """One row per published month with the version that counts."""
+    versions = Log(spark, layout.published, PUBLISHED).read()
+    return versions.groupBy("sales_month").agg(F.max_by("version", F.struct("published_at", "version")).alias("version"))
+
+
+def superseded_versions(spark: SparkSession, layout: Layout) -> DataFrame:
+    """Versions that no month counts any more, with the time of the last that replaced them.
+
+    Their folders in the two marts and the report may be deleted when their readers are done.
+    """
+    every = Log(spark, layout.published, PUBLISHED).read()
+    current = current_versions(spark, layout).select("version")
+    # A month's next version is what replaced it; a version is replaced when the last of its months is.
+    after = Window.partitionBy("sales_month").orderBy("published_at", "version")
+    replaced = every.withColumn("replaced_at", F.lead("published_at").over(after))
+    return (
+        replaced.join(current, "version", "left_anti").groupBy("version").agg(F.max("replaced_at").alias("replaced_at"))
     )
-    monthly = in_months(
-        read_store(spark, layout.sales_person_monthly, SALES_PERSON_MONTHLY), months, "sales_month"
+
+
+def read_months(
+    spark: SparkSession,
+    layout: Layout,
+    path: str,
+    schema: T.StructType,
+    column: str,
+    months: Sequence[str | None] | None = None,
+) -> DataFrame:
+    """Published months of a mart at `path` (all, or the given ones), each in the version that counts now.
+
+    Which versions count is read once, here: the result stays the same while later versions are published. Only folders of
+    these versions are listed, and only those of the months are read.
+    """
+    current = [r for r in current_versions(spark, layout).collect() if months is None or r.sales_month in months]
+    if not current:
+        return spark.createDataFrame([], schema)
+    folders = sorted({writers.version_path(path, r.version) for r in current})
+    # On columns of folder names alone, so it chooses folders; a month that is null adds nothing to the name.
+    name = F.concat_ws("/", "version", column)
+    return (
+        spark.read.schema(T.StructType([*schema, T.StructField("version", T.StringType())]))
+        .option("basePath", path)
+        .parquet(*folders)
+        .where(name.isin([r.version if r.sales_month is None else f"{r.version}/{r.sales_month}" for r in current]))
+        .select(*schema.names)
     )
-    writers.write_csv_report(marts.sales_person_report(monthly), layout.report, ["sales_month"])
+
+
+def read_customer_monthly(spark: SparkSession, layout: Layout, months: Sequence[str | None] | None = None) -> DataFrame:
+    return read_months(spark, layout, layout.customer_monthly, CUSTOMER_MONTHLY, "sales_date_month", months)
+
+
+def read_sales_person_monthly(spark: SparkSession, layout: Layout, months: Sequence[str | None] | None = None) -> DataFrame:
+    return read_months(spark, layout, layout.sales_person_monthly, SALES_PERSON_MONTHLY, "sales_month", months)
 
 
 def publish_tables(
     spark: SparkSession, layout: Layout, database: Database, months: Sequence[str | None]
 ) -> None:
     """Fill the staging tables of the database with the months of a run, and nothing else."""
-    customers = in_months(read_store(spark, layout.customer_monthly, CUSTOMER_MONTHLY), months, "sales_date_month")
-    sellers = in_months(read_store(spark, layout.sales_person_monthly, SALES_PERSON_MONTHLY), months, "sales_month")
+    customers = read_customer_monthly(spark, layout, months)
+    sellers = read_sales_person_monthly(spark, layout, months)
     for rows, name in (
         (writers.customer_table_rows(customers), database.customer_table),
         (sellers, database.sales_team_table),
@@ -304,23 +404,26 @@ def process_files(
 
 def pending_files(spark: SparkSession, inbox: str, layout: Layout) -> DataFrame:
     """Deliveries in the inbox that no run has closed or refused."""
-    refused = read_store(spark, layout.manifest, MANIFEST).where(F.col("status") == REJECTED)
-    listed = source_files.list_files(spark, inbox)
-    return ledger.among(ledger.unprocessed(listed, ledger.read(spark, layout.ledger)), refused, "left_anti")
+    refused = settled(spark, layout).read().where(F.col("status") == REJECTED)
+    closed = ledger.closed(ledger.read(spark, layout.ledger))
+    done = closed.select(*IDENTITY).union(refused.select(*IDENTITY))
+    return ledger.among(source_files.list_files(spark, inbox), done, "left_anti")
 
 
 def record_ignored(spark: SparkSession, inbox: str, layout: Layout, run_id: str, direct: frozenset[str] = DIRECT) -> None:
     """Add to the manifest the files that no scan shows and no run has recorded yet."""
+    log = settled(spark, layout)
     work = writers.run_path(layout.work, run_id)
     found = source_files.ignored(spark, inbox, f"{work}/listed", direct)
-    if found is None:
+    if found is None or found.isEmpty():
         return
-    known = read_store(spark, layout.manifest, MANIFEST).where(F.col("status") == IGNORED)
-    # Written down first: the manifest it is compared with is the one it is added to.
+    known = log.read().where(F.col("status") == IGNORED)
+    # Written down first: the log it is compared with is the one it is added to.
     writers.write_parquet(ledger.among(found, known, "left_anti"), f"{work}/ignored")
     new = read_store(spark, f"{work}/ignored", MANIFEST)
     if not new.isEmpty():
         new.write.mode("append").parquet(writers.run_path(layout.manifest, f"{run_id}-ignored"))
+        log.append(new)
 
 
 def check_dimensions(dims: Dimensions) -> None:
@@ -369,14 +472,15 @@ def run_batch(
     not stop those after it; the call fails if no run could take a file.
     """
     check_dimensions(dims)
+    compact_logs(spark, layout, options.compact_after)
     results = []
-    open_files = ledger.unfinished(ledger.read(spark, layout.ledger))
+    open_files = ledger.unfinished(ledger.read_open(spark, layout.ledger))
     runs = sorted(r.run_id for r in open_files.select("run_id").distinct().collect())
     if runs and on_unfinished == "fail":
         raise UnfinishedRun(f"not finished: {', '.join(runs)}")
     for earlier in runs:
         # Read anew: the events of the run before it are in the ledger by now.
-        still_open = ledger.unfinished(ledger.read(spark, layout.ledger))
+        still_open = ledger.unfinished(ledger.read_open(spark, layout.ledger))
         repeated = _repeat(spark, inbox, dims, layout, earlier, still_open, options)
         results += [repeated] if repeated else []
     first, count, refusal, more = run_id or new_run_id(), 0, None, True

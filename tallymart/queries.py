@@ -14,7 +14,7 @@ from tallymart import ledger, schemas
 from tallymart.functions.columns import fold_extras, sales_month
 from tallymart.operators import joins, ranking, totals
 from tallymart.plans import marts, star
-from tallymart.plans.batch import Judged, Layout, check_files, ingest, run_batch
+from tallymart.plans.batch import Judged, Layout, check_files, ingest, read_customer_monthly, read_sales_person_monthly, run_batch
 from tallymart.schemas import ADDITIONAL, CANONICAL, MANDATORY
 from tallymart.sinks import writers
 from tallymart.sources import files, sales
@@ -361,6 +361,15 @@ def ledger_latest(spark: SparkSession, folder: str) -> DataFrame:
     return _plain_times(ledger.latest(_order_files(spark, folder)[1])).drop("modification_time", "length")
 
 
+def ledger_compacted(spark: SparkSession, folder: str) -> DataFrame:
+    """The state of the deliveries, from a snapshot of the first events and the events after it."""
+    path, events = new_folder(spark, "ledger"), _order_files(spark, folder)[1]
+    ledger.append(events.where(F.col("status") == ledger.OPEN), path)
+    ledger.compact(spark, path, 0)
+    ledger.append(events.where(F.col("status") != ledger.OPEN), path)
+    return _plain_times(ledger.latest(ledger.read(spark, path))).drop("modification_time", "length")
+
+
 def ledger_unfinished(spark: SparkSession, folder: str) -> DataFrame:
     listing, events = _order_files(spark, folder)
     return ledger.left_behind(listing, events)
@@ -378,7 +387,7 @@ def batch_run(spark: SparkSession, folder: str) -> DataFrame:
     inbox, layout = new_folder(spark, "inbox"), Layout(new_folder(spark, "stores"))
     _drop(star.sales_lines(spark, folder), f"{inbox}/all")
     run_batch(spark, inbox, star.dimensions(spark, folder), layout)
-    return read_store(spark, layout.sales_person_monthly, schemas.SALES_PERSON_MONTHLY)
+    return read_sales_person_monthly(spark, layout)
 
 
 def late_month_recompute(spark: SparkSession, folder: str) -> DataFrame:
@@ -387,7 +396,7 @@ def late_month_recompute(spark: SparkSession, folder: str) -> DataFrame:
     for number, half in enumerate(_halves(spark, folder)):
         _drop(half, f"{inbox}/drop{number}")
         run_batch(spark, inbox, dims, layout)
-    return read_store(spark, layout.customer_monthly, schemas.CUSTOMER_MONTHLY)
+    return read_customer_monthly(spark, layout)
 
 
 def incremental_ingest(spark: SparkSession, folder: str) -> DataFrame:
@@ -397,7 +406,7 @@ def incremental_ingest(spark: SparkSession, folder: str) -> DataFrame:
     for number, half in enumerate(_halves(spark, folder)):
         _drop(half, f"{inbox}/drop{number}")
         ingest_available(spark, inbox, dims, layout, checkpoint)
-    return read_store(spark, layout.sales_person_monthly, schemas.SALES_PERSON_MONTHLY)
+    return read_sales_person_monthly(spark, layout)
 
 
 def _deliver(lines: DataFrame, inbox: str, name: str) -> None:
@@ -419,7 +428,7 @@ def redelivered_file_ingest(spark: SparkSession, folder: str) -> DataFrame:
     for half in _halves(spark, folder):
         _deliver(half.select(*MANDATORY), inbox, "sales")
         run_batch(spark, inbox, dims, layout)
-    return read_store(spark, layout.sales_person_monthly, schemas.SALES_PERSON_MONTHLY)
+    return read_sales_person_monthly(spark, layout)
 
 
 def refused_then_corrected(spark: SparkSession, folder: str) -> DataFrame:
@@ -432,7 +441,7 @@ def refused_then_corrected(spark: SparkSession, folder: str) -> DataFrame:
     run_batch(spark, inbox, dims, layout)
     _deliver(second, inbox, "fixed")
     run_batch(spark, inbox, dims, layout)
-    return read_store(spark, layout.customer_monthly, schemas.CUSTOMER_MONTHLY)
+    return read_customer_monthly(spark, layout)
 
 
 QUERIES: dict[str, Query] = {
@@ -476,6 +485,7 @@ QUERIES: dict[str, Query] = {
             customer_table_rows,
             ledger_events,
             ledger_latest,
+            ledger_compacted,
             ledger_unfinished,
             ledger_unprocessed,
             batch_run,

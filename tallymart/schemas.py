@@ -147,6 +147,19 @@ LEDGER_EVENT = _table(
     modification_time=T.TimestampType(),
     length=T.LongType(),
 )
+# Deliveries that need no second look: refused or ignored ones.
+SETTLED = _table(
+    file_location=T.StringType(),
+    modification_time=T.TimestampType(),
+    length=T.LongType(),
+    status=T.StringType(),
+)
+# Which version of a month counts: the one published last.
+PUBLISHED = _table(
+    sales_month=T.StringType(),
+    version=T.StringType(),
+    published_at=T.TimestampType(),
+)
 MANIFEST = _table(
     file_location=T.StringType(),
     file_name=T.StringType(),

@@ -35,6 +35,11 @@ def run_path(base: str, run_id: str) -> str:
     return f"{base}/run_id={run_id}"
 
 
+def version_path(path: str, version: str) -> str:
+    """Folder of one version of a mart; it is written once and never changed."""
+    return f"{path}/version={version}"
+
+
 def write_csv_report(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
     """A CSV report with header; laid out by columns, it replaces only the folders it has rows for."""
     writer = df.write.mode("overwrite").option("header", "true")

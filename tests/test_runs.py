@@ -37,8 +37,8 @@ def dims(spark):
 
 def monthly(spark, layout):
     return (
-        rows(read_store(spark, layout.customer_monthly, schemas.CUSTOMER_MONTHLY)),
-        rows(read_store(spark, layout.sales_person_monthly, schemas.SALES_PERSON_MONTHLY)),
+        rows(batch.read_customer_monthly(spark, layout)),
+        rows(batch.read_sales_person_monthly(spark, layout)),
     )
 
 
