@@ -6,7 +6,7 @@ salesperson is unknown is dropped by the inner joins.
 Spark broadcasts a side whose known size is under `spark.sql.autoBroadcastJoinThreshold` and otherwise
 shuffles both sides, where adaptive execution splits skewed partitions. `join_hot_keys` is for large
 dimensions and fact keys that hold much of the data: it does not depend on the skew settings of the
-session. `enrich_sales` takes it for customers when it is given a share.
+session. `enrich_sales` takes it for customers when it is given a share. `broadcast_small` is for stores and the team.
 """
 
 from collections.abc import Sequence
@@ -16,6 +16,16 @@ from pyspark.sql import functions as F
 
 from tallymart.workdir import new_folder
 
+
+# Rows of a dimension that is sent to every executor whole.
+BROADCAST_ROWS = 500_000
+
+
+def broadcast_small(dimension: DataFrame) -> DataFrame:
+    """The dimension, marked to be broadcast if it has few rows; they are counted, as the size of a join is not known to Spark."""
+    return F.broadcast(dimension) if dimension.count() <= BROADCAST_ROWS else dimension
+
+
 def with_customer(fact: DataFrame, customer: DataFrame) -> DataFrame:
     """Sales with the customer's name, address, pincode and phone."""
     ct = customer.select(
@@ -26,6 +36,14 @@ def with_customer(fact: DataFrame, customer: DataFrame) -> DataFrame:
     )
 
 
+def with_customers(lines: DataFrame, customer: DataFrame, hot_share: float | None = None) -> DataFrame:
+    """As `with_customer`; customers that hold more than `hot_share` of the sales, if it is given, are joined apart."""
+    if hot_share is None:
+        return with_customer(lines, customer)
+    people = customer.select("customer_id", "first_name", "last_name", "address", "pincode", "phone_number")
+    return join_hot_keys(lines, people, "customer_id", "customer_id", hot_share)
+
+
 def with_store(sales: DataFrame, store: DataFrame) -> DataFrame:
     """Sales with the store's address and manager."""
     sd = store.select(
@@ -61,12 +79,7 @@ def enrich_sales(
     With `hot_share`, customers that hold more than that share of the sales are joined apart.
     """
     lines = fact.select("customer_id", "store_id", "sales_date", "sales_person_id", "total_cost")
-    if hot_share is None:
-        sold = with_customer(lines, customer)
-    else:
-        people = customer.select("customer_id", "first_name", "last_name", "address", "pincode", "phone_number")
-        sold = join_hot_keys(lines, people, "customer_id", "customer_id", hot_share)
-    return with_sales_person(with_store(sold, store), team)
+    return with_sales_person(with_store(with_customers(lines, customer, hot_share), store), team)
 
 
 def known_only(sales: DataFrame, dimension: DataFrame, key: str, dimension_key: str) -> DataFrame:

@@ -8,7 +8,7 @@ import logging
 import time
 import uuid
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
@@ -16,9 +16,11 @@ from pyspark.sql import types as T
 
 from tallymart import ledger
 from tallymart.errors import NoCsvFiles, NoSourceFiles, NoValidFiles, UnfinishedRun
+from tallymart.functions.columns import month_start, sales_month
 from tallymart.logs import Log
+from tallymart.operators.joins import broadcast_small
 from tallymart.plans import marts
-from tallymart.plans.marts import Dimensions
+from tallymart.plans.marts import Dimensions, Unknown
 from tallymart.schemas import (
     ACCEPTED,
     CUSTOMER_MONTHLY,
@@ -37,6 +39,8 @@ from tallymart.schemas import (
     SALES_MART,
     SALES_PERSON_MONTHLY,
     SETTLED,
+    UNKNOWN,
+    UNPARSED,
 )
 from tallymart.sinks import writers
 from tallymart.sources import files as source_files
@@ -46,6 +50,9 @@ from tallymart.sources.tables import read_fact, read_store, require_unique_keys,
 
 log = logging.getLogger(__name__)
 
+# Sales of a month that one task sums up for the state.
+STATE_ROWS = 4_000_000
+
 
 class Layout:
     """Where the stores of one installation lie."""
@@ -215,10 +222,22 @@ def ingest(
     run_id: str,
     clustered: bool = False,
 ) -> None:
-    """Parse the accepted files once, into the fact store."""
-    rows = to_store_rows(read_sales(spark, by_header), run_id)
+    """Parse the accepted files once, into the fact store.
+
+    The texts of folder names are made behind the shuffle. A folder's rows lie by store and salesperson, whose texts the marts repeat.
+    """
+    rows = read_sales(spark, by_header)
+    if not clustered:
+        good = F.col(UNPARSED).isNull()
+        placed = {"good": good, "month": month_start(F.col("sales_date")), "source_file": F.when(~good, F.col("source_file"))}
+        rows = writers.gathered(rows.withColumns(placed), ["good", "month"])
     writers.write_partitioned(
-        rows, layout.fact, FACT_PARTITIONS, only_touched=True, rebalance=not clustered
+        to_store_rows(rows, run_id),
+        layout.fact,
+        FACT_PARTITIONS,
+        only_touched=True,
+        rebalance=False,
+        within=["store_id", "sales_person_id"],
     )
 
 
@@ -229,22 +248,25 @@ def publish_details(
     layout: Layout,
     run_id: str,
     hot_share: float | None = None,
+    unknown: Unknown | None = None,
 ) -> None:
     """The detail marts of one run, beside those of earlier runs.
 
-    The star join runs once; its result is stored with the run and read by both marts.
+    Each mart joins only what it shows; that the other keys of a sale are known is checked by the few that are not.
     """
-    folder = writers.run_path(layout.work, run_id) + "/enriched"
-    joined = marts.enriched(fact, dims, hot_share)
-    writers.write_parquet(joined, folder)
-    sales = spark.read.schema(joined.schema).parquet(folder)
     sales_mart_path = writers.run_path(layout.sales_mart, run_id)
-    writers.write_parquet(marts.customer_mart(sales), writers.run_path(layout.customer_mart, run_id))
-    writers.write_parquet(marts.sales_mart(sales), sales_mart_path)
+    writers.write_parquet(
+        marts.customer_details(fact, dims, unknown, hot_share), writers.run_path(layout.customer_mart, run_id)
+    )
+    writers.write_parquet(marts.sales_details(fact, dims, unknown), sales_mart_path)
+    # The text of the month is made behind the shuffle.
+    sold = read_store(spark, sales_mart_path, SALES_MART).drop("sales_month")
+    sold = writers.gathered(sold.withColumn("month", month_start(F.col("sales_date"))), ["month", "store_id"])
     writers.write_partitioned(
-        read_store(spark, sales_mart_path, SALES_MART),
+        sold.withColumn("sales_month", sales_month(F.col("sales_date"))).select(*SALES_MART.names),
         writers.run_path(layout.sales_mart_by_month, run_id),
         ["sales_month", "store_id"],
+        rebalance=False,
     )
 
 
@@ -263,7 +285,27 @@ def update_month_state(spark: SparkSession, layout: Layout, run_id: str) -> None
     fact = read_fact(spark, layout.fact)
     if store_exists(spark, layout.month_state):
         fact = fact.where(F.col("ingest_batch") == run_id)
-    writers.write_partitioned(marts.month_state(fact), layout.month_state, MONTH_STATE_PARTITIONS, only_touched=True)
+    # Counted in the files' footers: the shares of the largest month.
+    largest = fact.groupBy("sales_month", "ingest_batch").count().agg(F.max("count")).first()[0] or 0
+    writers.write_partitioned(
+        marts.month_state(fact, 1 + largest // STATE_ROWS),
+        layout.month_state,
+        MONTH_STATE_PARTITIONS,
+        only_touched=True,
+        rebalance=False,
+        within=["store_id", "sales_person_id"],
+    )
+
+
+def unknown_keys(
+    spark: SparkSession, dims: Dimensions, layout: Layout, months: Sequence[str | None], path: str
+) -> Unknown:
+    """The keys in the given months' state that no dimension has, stored at `path`: few, as a rule none."""
+    state = in_months(read_store(spark, layout.month_state, MONTH_STATE), months, "sales_month")
+    writers.write_parquet(marts.unknown_keys(state, dims), path)
+    found = read_store(spark, path, UNKNOWN)
+    kinds = {r.dimension for r in found.coalesce(1).select("dimension").distinct().collect()}
+    return {kind: found.where(F.col("dimension") == kind).select("unknown_key") for kind in kinds}
 
 
 def months_to_publish(spark: SparkSession, layout: Layout, months: Sequence[str | None]) -> tuple[str | None, ...]:
@@ -275,20 +317,26 @@ def months_to_publish(spark: SparkSession, layout: Layout, months: Sequence[str
 
 
 def publish_months(
-    spark: SparkSession, dims: Dimensions, layout: Layout, months: Sequence[str | None]
+    spark: SparkSession,
+    dims: Dimensions,
+    layout: Layout,
+    months: Sequence[str | None],
+    unknown: Unknown | None = None,
 ) -> None:
     """Make whole months from what all batches added to them, as a new version of just those months.
 
     Nothing that a reader may have open is touched. One file, written last, makes the version count for all its months, in
     both marts and the report, at once; a call that dies before has published nothing.
     """
-    months, version = months_to_publish(spark, layout, months), uuid.uuid4().hex
+    if unknown is None:
+        months = months_to_publish(spark, layout, months)
+    version = uuid.uuid4().hex
     state = in_months(read_store(spark, layout.month_state, MONTH_STATE), months, "sales_month")
     sellers = writers.version_path(layout.sales_person_monthly, version)
     writers.write_partitioned(
-        marts.customer_monthly(state, dims), writers.version_path(layout.customer_monthly, version), ["sales_date_month"]
+        marts.customer_monthly(state, dims, unknown), writers.version_path(layout.customer_monthly, version), ["sales_date_month"]
     )
-    writers.write_partitioned(marts.sales_person_monthly(state, dims), sellers, ["sales_month"])
+    writers.write_partitioned(marts.sales_person_monthly(state, dims, unknown), sellers, ["sales_month"])
     monthly = read_store(spark, sellers, SALES_PERSON_MONTHLY)
     writers.write_csv_report(marts.sales_person_report(monthly), writers.version_path(layout.report, version), ["sales_month"])
     rows = spark.createDataFrame([(m, version) for m in months], "sales_month string, version string")
@@ -372,10 +420,16 @@ def publish(
     own = F.col("ingest_batch") == run_id
     parts = read_store(spark, layout.fact, FACT_STORE).where(own).groupBy("row_status", "sales_month").count().collect()
     months = tuple(r.sales_month for r in parts if r.row_status == ROW_OK)
-    publish_details(spark, read_fact(spark, layout.fact).where(own), dims, layout, run_id, options.hot_customer_share)
+    unknown, whole = None, months
     if months:
         update_month_state(spark, layout, run_id)
-        publish_months(spark, dims, layout, months)
+        whole = months_to_publish(spark, layout, months)
+        unknown = unknown_keys(spark, dims, layout, whole, writers.run_path(layout.work, run_id) + "/unknown")
+        dims = replace(dims, store=broadcast_small(dims.store), team=broadcast_small(dims.team))
+    fact = read_fact(spark, layout.fact).where(own)
+    publish_details(spark, fact, dims, layout, run_id, options.hot_customer_share, unknown)
+    if months:
+        publish_months(spark, dims, layout, whole, unknown)
         if options.database is not None:
             publish_tables(spark, layout, options.database, months)
     return sum(r["count"] for r in parts if r.row_status == ROW_BAD), months

@@ -409,10 +409,14 @@ def incremental_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return read_sales_person_monthly(spark, layout)
 
 
-def _deliver(lines: DataFrame, inbox: str, name: str) -> None:
-    """CSV files of fixed names, in place of any delivered under them before."""
+def _made(lines: DataFrame) -> str:
     made = new_folder(lines.sparkSession, "made")
     _drop(lines, made)
+    return made
+
+
+def _deliver(made: str, inbox: str, name: str) -> None:
+    """CSV files of fixed names, in place of any delivered under them before."""
     store, source = fs.FileSystem.from_uri(made)
     target = fs.FileSystem.from_uri(inbox)[1]
     store.create_dir(target, recursive=True)
@@ -426,7 +430,7 @@ def redelivered_file_ingest(spark: SparkSession, folder: str) -> DataFrame:
     inbox, layout = new_folder(spark, "inbox"), Layout(new_folder(spark, "stores"))
     dims = star.dimensions(spark, folder)
     for half in _halves(spark, folder):
-        _deliver(half.select(*MANDATORY), inbox, "sales")
+        _deliver(_made(half.select(*MANDATORY)), inbox, "sales")
         run_batch(spark, inbox, dims, layout)
     return read_sales_person_monthly(spark, layout)
 
@@ -436,10 +440,13 @@ def refused_then_corrected(spark: SparkSession, folder: str) -> DataFrame:
     inbox, layout = new_folder(spark, "inbox"), Layout(new_folder(spark, "stores"))
     dims = star.dimensions(spark, folder)
     first, second = (half.select(*MANDATORY) for half in _halves(spark, folder))
-    _deliver(first, inbox, "good")
-    _deliver(second.drop("store_id"), inbox, "fixed")
+    # The files with the error are made of the correct ones, so that their lines are joined once.
+    correct = _made(second)
+    with_error = spark.read.option("header", "true").csv(correct).drop("store_id")
+    _deliver(_made(first), inbox, "good")
+    _deliver(_made(with_error), inbox, "fixed")
     run_batch(spark, inbox, dims, layout)
-    _deliver(second, inbox, "fixed")
+    _deliver(correct, inbox, "fixed")
     run_batch(spark, inbox, dims, layout)
     return read_customer_monthly(spark, layout)
 

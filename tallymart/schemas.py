@@ -170,6 +170,8 @@ MANIFEST = _table(
     status=T.StringType(),
     reason=T.StringType(),
 )
+# Keys of sales that a dimension lacks.
+UNKNOWN = _table(dimension=T.StringType(), unknown_key=T.LongType())
 ACCEPTED = "accepted"
 REJECTED = "rejected"
 # Files that no scan shows: recorded, neither taken nor refused.

@@ -50,7 +50,7 @@ def read_lines(spark: SparkSession, files: Sequence[str]) -> DataFrame:
 
 def _plain_path(path: Column) -> Column:
     """Files are named in two ways: a path as listed, and a URI in which characters are escaped."""
-    return F.regexp_replace(path, "^file:/+", "/")
+    return F.when(path.startswith("file:/"), F.concat(F.lit("/"), F.ltrim(F.substr(path, F.lit(6)), F.lit("/")))).otherwise(path)
 
 
 def _width_class(width: int) -> int:
@@ -85,7 +85,9 @@ def parse_lines(lines: DataFrame, places: DataFrame, fields: int) -> DataFrame:
     checks only the columns a query happens to use: here the verdict on a row depends on all of its columns,
     whatever is selected later.
     """
-    uri = F.url_decode(F.replace("source_file", F.lit("+"), F.lit("%2B")))
+    uri = F.col("source_file")
+    # Only what is escaped is decoded: this is done for every line.
+    uri = F.when(uri.contains("%"), F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))).otherwise(uri)
     # One row for each file of a run, whose number Options.files_per_run bounds.
     rows = lines.withColumn("file", _plain_path(uri)).join(F.broadcast(places), "file")
     filled = F.concat("line", F.lit("," + _NEVER), F.repeat(F.lit(","), F.lit(fields) - F.col("width") - 1))
