@@ -23,6 +23,7 @@ from tallymart.plans import marts
 from tallymart.plans.marts import Dimensions, Unknown
 from tallymart.schemas import (
     ACCEPTED,
+    ADDITIONAL,
     CUSTOMER_MONTHLY,
     FACT_PARTITIONS,
     FACT_STORE,
@@ -50,8 +51,24 @@ from tallymart.sources.tables import read_fact, read_store, require_unique_keys,
 
 log = logging.getLogger(__name__)
 
-# Sales of a month that one task sums up for the state.
+# Sales of a month that one task sums up for the state, and that a few files of the fact hold.
 STATE_ROWS = 4_000_000
+# Rows on their way to the fact: columns that are the same in most rows stand first, side by side, and take next to no bytes.
+SHUFFLED = [
+    "good",
+    "month",
+    ADDITIONAL,
+    UNPARSED,
+    "source_file",
+    "store_id",
+    "product_name",
+    "sales_date",
+    "quantity",
+    "customer_id",
+    "sales_person_id",
+    "price",
+    "total_cost",
+]
 
 
 class Layout:
@@ -230,7 +247,7 @@ def ingest(
     if not clustered:
         good = F.col(UNPARSED).isNull()
         placed = {"good": good, "month": month_start(F.col("sales_date")), "source_file": F.when(~good, F.col("source_file"))}
-        rows = writers.gathered(rows.withColumns(placed), ["good", "month"])
+        rows = writers.gathered(rows.withColumns(placed).select(*SHUFFLED), ["good", "month"])
     writers.write_partitioned(
         to_store_rows(rows, run_id),
         layout.fact,
@@ -249,19 +266,23 @@ def publish_details(
     run_id: str,
     hot_share: float | None = None,
     unknown: Unknown | None = None,
+    by_month: bool = False,
 ) -> None:
     """The detail marts of one run, beside those of earlier runs.
 
     Each mart joins only what it shows; that the other keys of a sale are known is checked by the few that are not.
+    With `by_month`, each month's sales lie together in few files of the fact. They come out of the joins in that order, so
+    their folders get few files without a shuffle.
     """
     sales_mart_path = writers.run_path(layout.sales_mart, run_id)
     writers.write_parquet(
         marts.customer_details(fact, dims, unknown, hot_share), writers.run_path(layout.customer_mart, run_id)
     )
     writers.write_parquet(marts.sales_details(fact, dims, unknown), sales_mart_path)
-    # The text of the month is made behind the shuffle.
     sold = read_store(spark, sales_mart_path, SALES_MART).drop("sales_month")
-    sold = writers.gathered(sold.withColumn("month", month_start(F.col("sales_date"))), ["month", "store_id"])
+    if not by_month:
+        # The text of the month is made behind the shuffle.
+        sold = writers.gathered(sold.withColumn("month", month_start(F.col("sales_date"))), ["month", "store_id"])
     writers.write_partitioned(
         sold.withColumn("sales_month", sales_month(F.col("sales_date"))).select(*SALES_MART.names),
         writers.run_path(layout.sales_mart_by_month, run_id),
@@ -338,7 +359,8 @@ def publish_months(
     )
     writers.write_partitioned(marts.sales_person_monthly(state, dims, unknown), sellers, ["sales_month"])
     monthly = read_store(spark, sellers, SALES_PERSON_MONTHLY)
-    writers.write_csv_report(marts.sales_person_report(monthly), writers.version_path(layout.report, version), ["sales_month"])
+    # Each file of the mart holds rows of one month.
+    writers.write_csv_report(marts.sales_person_report(monthly), writers.version_path(layout.report, version), ["sales_month"], False)
     rows = spark.createDataFrame([(m, version) for m in months], "sales_month string, version string")
     Log(spark, layout.published, PUBLISHED).append_at_once(rows.withColumn("published_at", F.current_timestamp()))
 
@@ -420,14 +442,18 @@ def publish(
     own = F.col("ingest_batch") == run_id
     parts = read_store(spark, layout.fact, FACT_STORE).where(own).groupBy("row_status", "sales_month").count().collect()
     months = tuple(r.sales_month for r in parts if r.row_status == ROW_OK)
-    unknown, whole = None, months
+    unknown, whole, by_month = None, months, False
     if months:
         update_month_state(spark, layout, run_id)
         whole = months_to_publish(spark, layout, months)
         unknown = unknown_keys(spark, dims, layout, whole, writers.run_path(layout.work, run_id) + "/unknown")
+        given = dims
         dims = replace(dims, store=broadcast_small(dims.store), team=broadcast_small(dims.team))
+        # Sales keep the order of the fact where nothing shuffles them; a month of many files would leave as many in each folder.
+        unshuffled = dims.store is not given.store and dims.team is not given.team and "customer" not in unknown
+        by_month = unshuffled and not options.clustered_drops and all(r["count"] <= STATE_ROWS for r in parts)
     fact = read_fact(spark, layout.fact).where(own)
-    publish_details(spark, fact, dims, layout, run_id, options.hot_customer_share, unknown)
+    publish_details(spark, fact, dims, layout, run_id, options.hot_customer_share, unknown, by_month)
     if months:
         publish_months(spark, dims, layout, whole, unknown)
         if options.database is not None:

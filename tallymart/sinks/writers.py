@@ -58,12 +58,15 @@ def version_path(path: str, version: str) -> str:
     return f"{path}/version={version}"
 
 
-def write_csv_report(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
-    """A CSV report with header; laid out by columns, it replaces only the folders it has rows for."""
+def write_csv_report(df: DataFrame, path: str, by: Sequence[str] = (), rebalance: bool = True) -> None:
+    """A CSV report with header; laid out by columns, it replaces only the folders it has rows for.
+
+    Rows that lie by these columns already need no rebalancing.
+    """
     writer = df.write.mode("overwrite").option("header", "true")
     if by:
         writer = (
-            gathered(df, by)
+            (gathered(df, by) if rebalance else df)
             .write.mode("overwrite")
             .option("header", "true")
             .option("partitionOverwriteMode", "dynamic")

@@ -1,10 +1,12 @@
 """What a run moves: the sales that are shuffled, joined and written, at small size."""
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
 from fixtures import HEADER, dimensions, rows, sale, sales_frame, write_csv
-from tallymart import queries
+from tallymart import queries, schemas
 from tallymart.operators import joins
 from tallymart.plans import batch, marts
 from tallymart.plans.batch import Layout
@@ -104,3 +106,33 @@ def test_lines_of_corrected_files_are_joined_once(spark, monkeypatch):
     monkeypatch.setattr(queries, "_drop", lambda df, path: joined.append("lineitem" in df._jdf.queryExecution().executedPlan().toString()) or drop(df, path))
     queries.refused_then_corrected(spark, FOLDER)
     assert joined.count(True) == 2 and len(joined) == 3
+
+
+@pytest.mark.parametrize("rows, customers, shuffles", [(100, 3, 0), (1, 3, 1), (100, 1, 1)])
+def test_marts_that_lie_by_month_are_not_shuffled_again(spark, tmp_path, monkeypatch, rows, customers, shuffles):
+    """Neither the sales mart by month nor the report, but for months of many files and sales that a join has to leave out."""
+    sold = [sale(c, 121, p, f"2023-0{m}-04", "1.00") for c in (1, 2) for p in (1, 2) for m in (3, 5)]
+    write_csv(tmp_path / "in" / "a.csv", HEADER, sold)
+    monkeypatch.setattr(batch, "STATE_ROWS", rows)
+    layout, plans = Layout(str(tmp_path / "out")), {}
+    dims = dimensions(spark)
+    dims = replace(dims, customer=dims.customer.where(F.col("customer_id") <= customers))
+    whole, report = writers.write_partitioned, writers.write_csv_report
+    text = lambda df, again: df._jdf.queryExecution().executedPlan().toString().count("Exchange") + again
+
+    def write(df, path, by, **how):
+        plans[path] = text(df, how.get("rebalance", True))
+        whole(df, path, by, **how)
+
+    def write_report(df, path, by, rebalance=True):
+        plans["report"] = text(df, rebalance)
+        report(df, path, by, rebalance)
+
+    monkeypatch.setattr(writers, "write_partitioned", write)
+    monkeypatch.setattr(writers, "write_csv_report", write_report)
+    batch.run_batch(spark, f"file:{tmp_path}/in", dims, layout, run_id="1")
+    by_month = f"{layout.sales_mart_by_month}/run_id=1"
+    assert plans["report"] == 0 and plans[by_month] == shuffles
+    columns = [c for c in schemas.SALES_MART.names if c != "sales_month"]
+    found = [sorted(map(str, spark.read.parquet(p).select(*columns).collect())) for p in (by_month, f"{layout.sales_mart}/run_id=1")]
+    assert found[0] == found[1] and len(found[0]) == (8 if customers == 3 else 4)
