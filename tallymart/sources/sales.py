@@ -27,6 +27,8 @@ from tallymart.sources.files import literal_path
 _NEVER = "\u0001"
 # Fields a line is cut into at least; wider headers double it.
 _LEAST_FIELDS = 16
+# Extras up to this number are picked one by one; a function over an array is left to those that have more.
+_FEW_EXTRAS = 16
 
 
 def read_lines(spark: SparkSession, files: Sequence[str]) -> DataFrame:
@@ -70,15 +72,17 @@ def _typed(name: str) -> Column:
         text = F.when(text.rlike(_DAY), text)
     value = text.try_cast(SALES_TYPES[name])
     if isinstance(SALES_TYPES[name], T.DecimalType):
-        # A cast alone would round; parts of a cent do not fit.
-        value = F.when(text.try_cast(_WIDE) == value, value)
+        # A cast alone would round; parts of a cent do not fit. With two places at most nothing can be rounded, and no wide number is made.
+        point = F.instr(text, ".")
+        exact = ((point == 0) | (F.length(text) - point <= 2)) & ~(text.contains("e") | text.contains("E"))
+        value = F.when(exact, value).when(text.try_cast(_WIDE) == value, value)
     return value
 
 
-def parse_lines(lines: DataFrame, places: DataFrame, fields: int) -> DataFrame:
+def parse_lines(lines: DataFrame, places: DataFrame, fields: int, most_extras: int) -> DataFrame:
     """Lines of files with any headers as canonical rows, in one plan.
 
-    `places` says for each file where its mandatory columns and its extras stand, and how many columns it has.
+    `places` says for each file where its mandatory columns and its extras (at most `most_extras`) stand, and how many columns it has.
     A marker is put behind a line's last field: in a line with the right number of fields it stands where the
     header ends. A row with too few or too many fields, or with a field that does not fit its type, carries its
     line in `unparsed_line`. The conversion is spelled out instead of left to the CSV reader, which
@@ -95,13 +99,16 @@ def parse_lines(lines: DataFrame, places: DataFrame, fields: int) -> DataFrame:
     # Exploded, one row to one: a projection would be put into each of its many uses below.
     cut = cut.withColumn("fields", F.explode(F.array(F.array(*[F.col(f"cut.c{i}") for i in range(fields)]))))
     at = lambda place: F.get(F.col("fields"), place)
-    extras = F.array_join(F.transform("extras", at), EXTRA_SEPARATOR)
+    # A function over an array would keep the whole projection out of the generated code, at several times the seconds.
+    few = F.array(*[at(F.get("extras", F.lit(i))) for i in range(most_extras)])
+    extras = F.array_join(few if 0 < most_extras <= _FEW_EXTRAS else F.transform("extras", at), EXTRA_SEPARATOR)
+    folded = F.when(F.size("extras") > 0, extras) if most_extras else F.lit(None).cast("string")
     typed = [name for name in MANDATORY if name != "product_name"]
     named = cut.select(
         "line",
         "source_file",
         *[at(F.get("mandatory", F.lit(i))).alias(name) for i, name in enumerate(MANDATORY)],
-        F.when(F.size("extras") > 0, extras).alias(ADDITIONAL),
+        folded.alias(ADDITIONAL),
         (at(F.col("width")).eqNullSafe(_NEVER) & at(F.col("width") + 1).isNull()).alias("whole"),
     )
     # Each field is converted once, below; the verdict on the row compares the result with the text.
@@ -145,7 +152,7 @@ def read_sales(spark: SparkSession, files: Mapping[tuple[str, ...], Sequence[str
             extras = [i for i, name in enumerate(header) if name not in MANDATORY]
             rows += [(path, mandatory, extras, len(header)) for path in paths]
         places = spark.createDataFrame(rows, schema).withColumn("file", _plain_path(F.col("path"))).drop("path")
-        frames.append(parse_lines(read_lines(spark, [r[0] for r in rows]), places, fields))
+        frames.append(parse_lines(read_lines(spark, [r[0] for r in rows]), places, fields, max(len(r[2]) for r in rows)))
     return stack_by_name(frames)
 
 

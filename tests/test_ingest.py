@@ -182,6 +182,27 @@ def test_parts_of_cents_and_quotes_are_kept(spark, tmp_path):
     }
 
 
+@pytest.mark.parametrize("extras", [0, 1, 20])
+def test_lines_are_converted_in_generated_code(spark, tmp_path, extras):
+    """A function over an array in the projection costs more than all conversions; only files with many extras pay for it."""
+    more = [f"x{i}" for i in range(extras)]
+    values = [None if i == 1 else i for i in range(extras)]
+    at = write_csv(tmp_path / "a.csv", [*HEADER, *more], [[*sale(1, 121, 1, "2023-03-04", 5), *values]])
+    df = sales.read_sales(spark, {(*HEADER, *more): [f"file:{at}"]})
+    assert ("lambda" in df._jdf.queryExecution().optimizedPlan().toString()) == (extras > 16)
+    assert [r.additional_column for r in df.collect()] == [", ".join(str(v) for v in values if v is not None) if extras else None]
+
+
+def test_money_that_fits_in_any_spelling(spark, tmp_path):
+    texts = ["1.500", "1.505", "15e-1", "15e-3", "1.5", "-1.55", "+7", ".5", "5.", "", "1234567890123456.78", "12345678901234567", "1.5 ", "1.555 ", "x"]
+    at = write_csv(tmp_path / "a.csv", HEADER, [[i, 1, "p", "2023-03-04", 1, t, 1, 1] for i, t in enumerate(texts)])
+    got = {r.customer_id: r for r in sales.read_sales(spark, {tuple(HEADER): [f"file:{at}"]}).collect()}
+    assert [None if got[i].price is None else str(got[i].price) for i in range(len(texts))] == [
+        "1.50", None, "1.50", None, "1.50", "-1.55", "7.00", "0.50", "5.00", None, "1234567890123456.78", None, "1.50", None, None,
+    ]
+    assert [i for i in got if got[i][UNPARSED] is not None] == [1, 3, 11, 13, 14]
+
+
 def test_a_bad_row_keeps_its_line_as_it_was(spark, tmp_path):
     """Byte for byte: quotes that were not needed, blanks, escapes, a header in mid-file, too few and too many fields."""
     inbox = tmp_path / "inbox"
