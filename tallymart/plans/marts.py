@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymart.functions.columns import month_start
+from tallymart.functions.columns import month_start, sales_month
 from tallymart.operators.joins import enrich_sales, known_only, with_customers, with_sales_person, with_store
 from tallymart.operators.ranking import with_incentive
 from tallymart.operators.totals import customer_names, customer_totals, seller_names, seller_totals
@@ -115,11 +115,13 @@ def month_state(fact: DataFrame, shares: int = 1) -> DataFrame:
     Sales are dealt by month, batch and `shares` of their keys, in one shuffle for the sums and for the folders they are
     written to. Few sales share all keys, so that sums before the shuffle would save less than a second one costs.
     """
-    keys = ["customer_id", "store_id", "sales_person_id", "sales_month", "ingest_batch"]
-    share = F.pmod(F.xxhash64("customer_id", "store_id", "sales_person_id"), F.lit(shares))
-    sold = fact.select(*keys, month_start(F.col("sales_date")).alias("sales_date"), "total_cost", share.alias("share"))
+    keys = ["ingest_batch", "sales_date", "share", "store_id", "sales_person_id", "customer_id"]
+    share = F.pmod(F.xxhash64("customer_id", "store_id", "sales_person_id"), F.lit(shares)).alias("share")
+    # What is the same in most rows that lie side by side stands first, and takes next to no bytes. The text of the month is made behind the shuffle.
+    day = month_start(F.col("sales_date")).alias("sales_date")
+    sold = fact.select("ingest_batch", day, share, "store_id", "sales_person_id", "customer_id", "total_cost")
     dealt = sold.repartition("sales_date", "ingest_batch", "share")
-    sums = dealt.groupBy(*keys, "sales_date", "share").agg(F.sum("total_cost").alias("total_cost"))
+    sums = dealt.groupBy(*keys).agg(F.sum("total_cost").alias("total_cost")).withColumn("sales_month", sales_month(F.col("sales_date")))
     return sums.select(*MONTH_STATE.names)
 
 

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymart.functions.columns import fold_extras
+from tallymart.operators.joins import broadcast_small
 from tallymart.plans.marts import Dimensions
 from tallymart.schemas import ADDITIONAL, CANONICAL, MANDATORY, MONEY
 
@@ -45,11 +46,12 @@ def sales_lines(spark: SparkSession, folder: str, product: bool = True) -> DataF
     orders = table(spark, folder, "orders").select(
         "o_orderkey", F.col("o_custkey").alias("customer_id"), F.col("o_orderdate").cast("date").alias("sales_date")
     )
-    lines = sold.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
-        table(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")
-    )
+    lines = sold.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     if product:
         lines = lines.join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"), "left")
+    # Last, and without a shuffle while suppliers are few: their column does not go through the joins before.
+    team = broadcast_small(table(spark, folder, "supplier"))
+    lines = lines.join(team, F.col("l_suppkey") == F.col("s_suppkey"))
     return lines.select(
         "customer_id",
         F.col("s_nationkey").cast("bigint").alias("store_id"),

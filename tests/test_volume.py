@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from fixtures import HEADER, dimensions, rows, sale, sales_frame, write_csv
 from tallymart import queries, schemas
+from tallymart.functions.columns import sales_month
 from tallymart.operators import joins
-from tallymart.plans import batch, marts
+from tallymart.plans import batch, marts, star
 from tallymart.plans.batch import Layout
 from tallymart.sinks import writers
 
@@ -136,3 +137,25 @@ def test_marts_that_lie_by_month_are_not_shuffled_again(spark, tmp_path, monkeyp
     columns = [c for c in schemas.SALES_MART.names if c != "sales_month"]
     found = [sorted(map(str, spark.read.parquet(p).select(*columns).collect())) for p in (by_month, f"{layout.sales_mart}/run_id=1")]
     assert found[0] == found[1] and len(found[0]) == (8 if customers == 3 else 4)
+
+
+def test_few_suppliers_are_joined_last_without_a_shuffle(spark):
+    """Lines are shuffled for their orders and parts only, whatever Spark would broadcast by itself, and without the supplier's column."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = star.sales_lines(spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("Exchange hashpartitioning") == 4 and text.count("BroadcastExchange") == 1
+    assert text.index("BroadcastHashJoin") < text.index("SortMergeJoin")
+
+
+def test_the_text_of_the_month_is_not_shuffled_for_the_state(spark):
+    fact = sales_frame(spark, SALES).withColumns({"sales_month": sales_month(F.col("sales_date")), "ingest_batch": F.lit("1")})
+    state = marts.month_state(fact, 2)
+    optimized = state._jdf.queryExecution().optimizedPlan().toString()
+    below = optimized[optimized.index("RepartitionByExpression") :]
+    assert "sales_month" not in below.partition("LogicalRDD")[0].partition("LocalRelation")[0]
+    assert {(r.sales_month, r.sales_date) for r in state.collect()} == {
+        (r.sales_month, r.sales_date and r.sales_date.replace(day=1)) for r in fact.collect()
+    }
